@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, fingerprints, token_counts, url_filters
+from quarry.llm import bpe, decontamination, fingerprints, quality, secrets, token_counts, url_filters
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Documents of a lower score are rejected.
+QUALITY_LEAST = 0.7
 #: Host, path and verdict of each rule.
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
@@ -25,6 +27,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", quality.is_held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_LEAST).cast("int").alias("predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -35,17 +43,27 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = secrets.scan(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return out.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op4_decontamination, op7_token_counts, op8_bpe, op10_url_filters)}
+    return {f.__name__: f for f in (op2_fingerprints, op4_decontamination, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL, "op10_url_filters": OP10_SQL}
+    return {"op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL}
 
 
 OP4_SQL = r"""
@@ -90,3 +108,37 @@ WITH rules(rule_host, rule_path, rule_verdict) AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (k)
 """
+
+#: Letters of the names in either case are spelt out; runs are found whole and short ones dropped.
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents
+), patterns(kind, pattern, least) AS (
+  VALUES (0, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+    (1, '(AKIA[A-Z0-9]+)', 20), (2, '([0-9a-f]+)', 24), (3, '([A-Za-z0-9+/_-]+)', 24)
+), parts AS (
+  SELECT k, kind, least, regexp_split_to_array(text, pattern) AS between, regexp_extract_all(text, pattern, 0) AS found, regexp_extract_all(text, pattern, 1) AS val
+  FROM d, patterns
+), each AS (
+  SELECT k, kind, least, generate_subscripts(found, 1) AS i, unnest(found) AS m, unnest(val) AS v, unnest(between[1 : len(found)]) AS b FROM parts
+), spans AS (
+  SELECT k, kind, v, least, m, (sum(length(b) + length(m)) OVER (PARTITION BY k, kind ORDER BY i))::BIGINT AS e FROM each
+), fit AS (
+  SELECT k, kind, v, e - length(m) AS s, e FROM spans
+  WHERE length(v) >= least AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')))
+), kept AS (
+  SELECT * FROM fit f WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM fit g WHERE g.k = f.k AND g.kind < 3 AND g.s < f.e AND f.s < g.e)
+), owners AS (
+  SELECT v, count(DISTINCT owner) AS owners FROM kept JOIN d USING (k) GROUP BY v
+), said AS (
+  SELECT k, kind, s, CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'owned' END || ':' || s || ':' || e AS span
+  FROM kept JOIN owners USING (v) WHERE kind < 3 OR owners <= 1
+), per AS (
+  SELECT k, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base, string_agg(span, ',' ORDER BY s, kind) AS spans
+  FROM said GROUP BY k
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (k)
+"""
