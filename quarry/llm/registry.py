@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, fingerprints, quality, secrets, token_counts, url_filters
+from quarry.llm import bpe, decontamination, fingerprints, html_extraction, quality, secrets, token_counts, url_filters
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -59,7 +63,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op4_decontamination, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
+    return {f.__name__: f for f in (op2_fingerprints, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
