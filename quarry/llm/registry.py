@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, fingerprints, html_extraction, quality, secrets, token_counts, url_filters
+from quarry.llm import bpe, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, token_counts, url_filters
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,10 @@ QUALITY_LEAST = 0.7
 URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
@@ -63,12 +67,33 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL}
-
+    return {"op1_near_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL}
+
+
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + least(len(w), 3) - 1], ' ')) AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS i FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+  SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * m >= 85 * (p.n + q.n - m)
+), both_ways AS (
+  SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c ON d.doc_id = c.doc_id
+"""
 
 OP4_SQL = r"""
 WITH d AS (
