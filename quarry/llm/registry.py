@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, token_counts, url_filters
+from quarry.llm import bpe, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,11 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -67,7 +72,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
