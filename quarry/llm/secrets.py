@@ -25,6 +25,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}"
 ASSIGN_LEAST = 6
 #: A value of more owners is a copied example.
 MOST_OWNERS = 1
+#: Spans of up to this many bytes are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
 _SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
 
@@ -62,38 +64,58 @@ def _by_place(a: Column, b: Column) -> Column:
     return F.when(x < y, -1).when(x > y, 1).otherwise(0)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository: Column | None = None, owner: Column | None = None, most_owners: int = MOST_OWNERS) -> DataFrame:
-    """(id, base, spans) for every row: arrays of (start, end, kind, value, owners, repositories).
-
-    `base` has the base spans; `spans` also those that the method adds: the
-    candidates that overlap no base span and whose value occurs under at most
-    `most_owners` owners. Places are in code points, ends exclusive. A null
-    text counts as empty. A null owner or repository counts as one of its own.
-    Rows with null or repeated ids stay apart. Texts are read once and never
-    shuffled; only the found spans are.
-    """
+def _found(docs: DataFrame, id_col: str, text_col: str, repository: Column | None, owner: Column | None, most_owners: int) -> tuple[DataFrame, DataFrame]:
+    """(id, h) of every row, and (id, h, spans) of the rows that have any; h is a hash of the text."""
     repository = F.col("source") if repository is None else repository
     owner = F.col("source") if owner is None else owner
     text = F.coalesce(F.col(text_col), F.lit(""))
     looks = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
     found = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(repository, F.lit("")).alias("repository"), F.coalesce(owner, F.lit("")).alias("owner"),
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.coalesce(repository, F.lit("")).alias("repository"), F.coalesce(owner, F.lit("")).alias("owner"),
         base_spans(text).alias("base"), _spans(text, CANDIDATE, 3, accept=looks).alias("wide"),
     )
     apart = F.filter("wide", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    found = settle(found.withColumn("wide", apart).withColumn("row", F.monotonically_increasing_id()))
-    each = found.select("row", "repository", "owner", F.explode(F.concat("base", "wide")).alias("span"))
-    each = each.select("row", "repository", "owner", "span", F.sha2("span.value", 256).alias("h"))
+    found = settle(found.withColumn("wide", apart))
+    each = found.select("id", "h", "repository", "owner", F.explode(F.concat("base", "wide")).alias("span"))
+    each = each.withColumn("value", F.sha2("span.value", 256))
     # Distinct owners and repositories are folded before the count, so that a value that all share sends a row for each, not for each place.
-    owners = each.groupBy("h", "owner").agg(F.lit(1)).groupBy("h").agg(F.count("*").alias("owners"))
-    repositories = each.groupBy("h", "repository").agg(F.lit(1)).groupBy("h").agg(F.count("*").alias("repositories"))
-    known = each.select("row", "span", "h").join(owners, "h").join(repositories, "h")
+    owners = each.groupBy("value", "owner").agg(F.lit(1)).groupBy("value").agg(F.count("*").alias("owners"))
+    repositories = each.groupBy("value", "repository").agg(F.lit(1)).groupBy("value").agg(F.count("*").alias("repositories"))
+    known = each.select("id", "h", "span", "value").join(owners, "value").join(repositories, "value")
     span = F.struct(*(F.col(f"span.{c}").alias(c) for c in ("start", "end", "kind", "value")), F.col("owners"), F.col("repositories"))
-    rows = known.where((F.col("span.kind") < 3) | (F.col("owners") <= most_owners)).groupBy("row").agg(F.collect_list(span).alias("spans"))
-    out = found.select("row", "id").join(rows, "row", "left")
+    known = known.where((F.col("span.kind") < 3) | (F.col("owners") <= most_owners))
+    return found.select("id", "h"), known.groupBy("id", "h").agg(F.array_sort(F.collect_set(span), _by_place).alias("spans"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository: Column | None = None, owner: Column | None = None, most_owners: int = MOST_OWNERS) -> DataFrame:
+    """(id, base, spans) for every row: arrays of (start, end, kind, value, owners, repositories).
+
+    `base` has the base spans; `spans` also those that the method adds: the
+    candidates that overlap no base span and whose value occurs under at most
+    `most_owners` owners. Places are in code points, ends exclusive. A null
+    text counts as empty. A null owner or repository counts as one of its own.
+    Rows with null or repeated ids stay rows of their own. Texts are read once
+    and never shuffled; only the found spans are.
+    """
+    rows, spans = _found(docs, id_col, text_col, repository, owner, most_owners)
+    spans = spans.withColumnsRenamed({"id": "_id", "h": "_h"})
+    out = rows.join(spans, rows["id"].eqNullSafe(spans["_id"]) & (rows["h"] == spans["_h"]), "left")
     empty = F.array().cast("array<struct<start:int,end:int,kind:int,value:string,owners:bigint,repositories:bigint>>")
-    out = out.withColumn("spans", F.coalesce(F.array_sort("spans", _by_place), empty))
-    return out.select(F.col("id").alias(id_col), F.filter("spans", lambda s: s["kind"] < 3).alias("base"), "spans")
+    out = out.select(F.col("id").alias(id_col), F.coalesce("spans", empty).alias("spans"))
+    return out.select(id_col, F.filter("spans", lambda s: s["kind"] < 3).alias("base"), "spans")
+
+
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository: Column | None = None, owner: Column | None = None, most_owners: int = MOST_OWNERS, mask: str = "[SECRET]", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, text, columns of `keep`) for every row, with every run of spans of
+    `scan` replaced by `mask`. Null texts stay null."""
+    _, spans = _found(docs, id_col, text_col, repository, owner, most_owners)
+    spans = settle(spans.select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("_spans")))
+    size = spans.agg(F.sum(F.size("_spans") * 16 + 64)).first()[0] or 0
+    spans = F.broadcast(spans) if size <= BROADCAST_BYTES else spans
+    own = docs.select(F.col(id_col).alias("_own_id"), F.col(text_col).alias("_text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_own_h"), *keep)
+    out = own.join(spans, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_h") == F.col("_h")), "left")
+    text = F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(masked(F.col("_text"), F.col("_spans"), mask))
+    return out.select(F.col("_own_id").alias(id_col), text.alias("text"), *keep)
 
 
 def listed(spans: Column) -> Column:
