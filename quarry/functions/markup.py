@@ -141,7 +141,7 @@ def _blocks(text: str, parent: Node) -> None:
 def _link(target: str, label: str | None) -> Node:
     space = target.split(":", 1)[0].strip().lower() if ":" in target else ""
     if space in ("file", "image", "datei", "bild"):
-        return Node("ImageLink", attributes={"target": target})
+        return Node("ImageLink", children=[Node("Text", label or target)], attributes={"target": target})
     if space in ("category", "kategorie"):
         return Node("CategoryLink", attributes={"target": target})
     if re.fullmatch(r"[a-z]{2,3}", space):
