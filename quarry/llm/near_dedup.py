@@ -227,7 +227,9 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
             m = np.zeros((len(sets), width), np.float32)
             m[owner[at:to], token[at:to] - low] = 1
             out += m @ m.T
-    return out.astype(np.int64)
+    out = out.astype(np.int64)
+    np.fill_diagonal(out, [len(s) for s in sets])
+    return out
 
 
 def _by_sets(num: int, den: int):

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import partitions, settle
@@ -231,6 +231,12 @@ def _remove(length: int):
     return run
 
 
+def _ordered_key(i: Column, text: Column) -> Column:
+    """Text that sorts by a whole number, nulls last, and then by a hash of `text`."""
+    shifted = i.cast("decimal(38,0)") + F.lit("1" + "0" * 20).cast("decimal(38,0)")
+    return F.concat_ws("|", F.coalesce(F.lpad(shifted.cast("string"), 40, "0"), F.lit("~")), F.sha2(text, 256))
+
+
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, spans, kept) for every row: the disjoint runs (start, end)
     of bytes that a string of `length` bytes covers which also starts earlier,
@@ -250,10 +256,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     plain = rows == ids and kind in ("tinyint", "smallint", "int", "bigint")
     if not plain:
         # A key that sorts as id and hash do; rows of equal keys are equal.
-        place = F.coalesce(F.lpad((F.col("key").cast("decimal(38,0)") + F.lit(10**20).cast("decimal(38,0)")).cast("string"), 40, "0"), F.lit("~"))
-        texts = texts.select(F.concat_ws("|", place, F.sha2("text", 256)).alias("key"), "text")
         ids = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        ids = ids.select("id", F.concat_ws("|", F.coalesce(F.lpad((F.col("id").cast("decimal(38,0)") + F.lit(10**20).cast("decimal(38,0)")).cast("string"), 40, "0"), F.lit("~")), F.sha2("text", 256)).alias("key"))
+        ids = ids.withColumn("key", _ordered_key(F.col("id"), F.col("text")))
+        texts = ids.select("key", "text")
+        ids = ids.select("id", "key")
         texts = texts.dropDuplicates(["key"])
     key = texts.schema["key"].dataType.simpleString()
     key_type = pa.string() if key == "string" else {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32()}.get(key, pa.int64())
