@@ -4,7 +4,8 @@ Two zstandard dictionaries are built from pieces of good and of bad labelled
 texts. A text is compressed piece by piece with either; the difference of the
 sizes over the text's length tells which of the two it resembles. A logistic
 curve, fitted on labelled texts that the dictionaries haven't seen, turns the
-difference into the probability of label 1.
+difference into the probability of label 1; how short a text is goes into the
+curve too, as a few bytes tell little.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 #: The fit takes this many documents of each label at most (those of least id hash) and of each its first bytes; scores take whole texts.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 3_000, 8_192
 PIECE, DICTIONARY, LEVEL = 2_048, 112_640, 3
+#: A text of so many bytes is half short.
+SHORT = 128
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
@@ -30,11 +33,12 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 
 @dataclass
 class Model:
-    """Dictionaries of label 1 and 0, and the curve: 1 / (1 + exp(-(slope * difference + shift)))."""
+    """Dictionaries of label 1 and 0, and the curve: 1 / (1 + exp(-(slope * difference + brevity * shortness + shift)))."""
 
     good: bytes
     bad: bytes
     slope: float
+    brevity: float
     shift: float
 
     def open(self) -> Model:
@@ -51,7 +55,12 @@ class Model:
         return total / max(1, len(text))
 
     def score(self, text: bytes) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.difference(text) + self.shift, -40, 40))))
+        x = self.slope * self.difference(text) + self.brevity * shortness(text) + self.shift
+        return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
+
+
+def shortness(text: bytes) -> float:
+    return 1 / (1 + len(text) / SHORT)
 
 
 def _dictionary(texts: list[bytes], budget: int) -> bytes:
@@ -68,20 +77,21 @@ def _dictionary(texts: list[bytes], budget: int) -> bytes:
         return b"".join(pieces)[-DICTIONARY:]
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of y on x by Newton's steps, with smoothed targets and a slight penalty on the slope."""
+def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """Logistic regression of y on the columns of x by Newton's steps, with smoothed targets and a slight penalty; the shift comes last."""
     n1, n0 = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a = np.column_stack([x, np.ones_like(x)])
-    w = np.array([0.0, np.log((n1 + 1) / (n0 + 1))])
-    ridge = np.diag([1e-4, 0])
-    for _ in range(60):
+    a = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(a.shape[1])
+    w[-1] = np.log((n1 + 1) / (n0 + 1))
+    ridge = np.diag([1e-4] + [0.1] * (len(w) - 2) + [0])
+    for _ in range(80):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(2), a.T @ (target - p) - ridge @ w)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(len(w)), a.T @ (target - p) - ridge @ w)
         w = w + np.clip(step, -20, 20)
         if np.abs(step).max() < 1e-7:
             break
-    return float(w[0]), float(w[1])
+    return [float(v) for v in w]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: Column | None = None, sample: int = SAMPLE_DOCUMENTS) -> Model:
@@ -103,17 +113,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         found[y] = [r["text"].encode()[:SAMPLE_BYTES] for r in sorted(rows, key=lambda r: (r["h"], r["id"], r["text"]))]
     good, bad = found[1], found[0]
     if len(good) < 3 or len(bad) < 3:
-        return Model(b"", b"", 0.0, float(np.log((len(good) + 1) / (len(bad) + 1))))
+        return Model(b"", b"", 0.0, 0.0, float(np.log((len(good) + 1) / (len(bad) + 1))))
     train = {y: [t for i, t in enumerate(ts) if i % 3] for y, ts in found.items()}
     budget = min(sum(map(len, ts)) for ts in train.values())
-    model = Model(_dictionary(train[1], budget), _dictionary(train[0], budget), 0.0, 0.0).open()
+    model = Model(_dictionary(train[1], budget), _dictionary(train[0], budget), 0.0, 0.0, 0.0).open()
     tests = [(t, y) for y, ts in found.items() for t in ts[::3]]
-    x, y = np.array([model.difference(t) for t, _ in tests]), np.array([y for _, y in tests])
+    x, y = np.array([[model.difference(t), shortness(t)] for t, _ in tests]), np.array([y for _, y in tests])
     # The sample may hold equally many of both labels; the share among all labelled rows shifts the curve.
-    slope, shift = _curve(x, y)
+    slope, brevity, shift = _curve(x, y)
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     shift += float(np.log(counts[1] / counts[0]) - np.log(len(good) / len(bad)))
-    return Model(model.good, model.bad, slope, shift)
+    return Model(model.good, model.bad, slope, brevity, shift)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -171,5 +171,5 @@ def test_template_text_goes_where_no_article_is_marked():
 
 
 def test_quality_model_without_labels_is_constant():
-    m = quality.Model(b"", b"", 0.0, 0.4).open()
+    m = quality.Model(b"", b"", 0.0, 0.0, 0.4).open()
     assert m.score(b"") == m.score(b"any text") == pytest.approx(1 / (1 + np.exp(-0.4)))
