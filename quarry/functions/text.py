@@ -7,6 +7,7 @@ from html.entities import name2codepoint
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: All line ends that Unicode text can have.
 LINE_END = "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085  ]"
@@ -38,7 +39,7 @@ def exploded(text: Column) -> Column:
     return F.array_join(F.transform(characters(text), symbol), " ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unexploded(text: pd.Series) -> pd.Series:
     """The text that `exploded` was made of; one leading blank is dropped."""
 
