@@ -16,6 +16,7 @@ from quarry.operators.common import numbered
 from quarry.operators.tokenizer import segment, token_lines
 from quarry.plans.corpus import build_corpus, training_texts
 from quarry.sources import pages as sources
+from quarry.sources import sinks
 from quarry.streaming import articles as streaming
 
 
@@ -241,3 +242,17 @@ def test_streamed_sections(spark, tmp_path):
 def test_trees_and_errors(spark):
     p = spark.createDataFrame([("A", "x [[y]]"), ("B", None)], "title string, markup string")
     assert pages.nodes_of(p).count() == 5 and pages.sections_of(p).count() == 1
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "ab\nc é") for i in range(3)], "key int, text string")
+    sinks.write_exploded(rows, str(tmp_path / "x"), records=2)
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "x")).collect()) == ["a b"] * 3 + ["c   \\xe9"] * 3
+    model = language_model.train(language_model.line_symbols(rows, "key"), 2, "witten_bell")
+    sinks.write_model(model, str(tmp_path / "lm"))
+    back = language_model.parse_arpa(spark.read.text(str(tmp_path / "lm")))
+    assert back.count() == model.count()
+    assert sinks.cached(spark, str(tmp_path / "c"), lambda: rows).count() == sinks.cached(spark, str(tmp_path / "c"), lambda: rows.limit(0)).count() == 3
+    df, seen = sinks.progress(rows, "p")
+    df.count()
+    assert seen.get == {"rows": 3, "empty": 0}
