@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import characters, symbol
+from quarry.operators.common import settle
 
 START, END, UNKNOWN = "<s>", "</s>", "<unk>"
 METHODS = ("additive", "witten_bell", "absolute", "kneser_ney", "modified_kneser_ney")
@@ -100,9 +101,10 @@ def train(rows: DataFrame, order: int, method: str) -> DataFrame:
     """
     if method not in METHODS:
         raise ValueError(method)
-    counts = ngram_counts(rows, order)
+    # Counts are used many times over; they are kept, so that texts are read once.
+    counts = settle(ngram_counts(rows, order))
     if method.endswith("kneser_ney"):
-        counts = continuation_counts(counts, order)
+        counts = settle(continuation_counts(counts, order))
     counts = counts.withColumn("h", _context(F.col("ngram")))
     totals = counts.groupBy("ord", "h").agg(F.sum("c").alias("ch"), F.count("*").alias("types"))
     if method == "additive":
@@ -119,7 +121,7 @@ def train(rows: DataFrame, order: int, method: str) -> DataFrame:
         d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         p = F.greatest(F.col("c") - d, F.lit(0.0)) / F.col("ch")
         joined = counts.join(totals, ["ord", "h"]).join(F.broadcast(_discounts(counts, method.startswith("modified"))), "ord")
-    probs = joined.select("ord", "ngram", "h", p.alias("p")).where("p > 0")
+    probs = settle(joined.select("ord", "ngram", "h", p.alias("p")).where("p > 0"))
     rest = F.greatest(1 - F.coalesce(F.sum("p"), F.lit(0.0)), F.lit(1e-12))
     unknown = probs.where("ord = 1").agg(rest.alias("p")).select(F.lit(1).alias("ord"), F.lit(UNKNOWN).alias("ngram"), F.lit("").alias("h"), "p")
     probs = probs.unionByName(unknown)
@@ -128,7 +130,7 @@ def train(rows: DataFrame, order: int, method: str) -> DataFrame:
     mass = mass.groupBy("ord", "h").agg(F.sum("p").alias("sp"), F.sum(F.coalesce("q", F.lit(0.0))).alias("sq"))
     bow = mass.select((F.col("ord") - 1).alias("ord"), F.col("h").alias("ngram"), (F.greatest(1 - F.col("sp"), F.lit(1e-12)) / F.greatest(1 - F.col("sq"), F.lit(1e-12))).alias("b"))
     out = probs.join(bow, ["ord", "ngram"], "full")
-    return out.select("ord", "ngram", F.log10("p").alias("logp"), F.log10(F.coalesce("b", F.lit(1.0))).alias("bow"))
+    return settle(out.select("ord", "ngram", F.log10("p").alias("logp"), F.log10(F.coalesce("b", F.lit(1.0))).alias("bow")))
 
 
 def ngram_scores(grams: DataFrame, model: DataFrame, order: int) -> DataFrame:
@@ -156,7 +158,7 @@ def ngram_scores(grams: DataFrame, model: DataFrame, order: int) -> DataFrame:
 
 def text_scores(texts: DataFrame, model: DataFrame, order: int, key: str = "key", text: str = "text") -> DataFrame:
     """(key, logp, n): the sum of log10 probabilities of a text's symbols and line ends, and their number; 0 for an empty text."""
-    grams = scored_ngrams(line_symbols(texts, key, text), key, order)
+    grams = settle(scored_ngrams(line_symbols(texts, key, text), key, order))
     scores = ngram_scores(grams.select("ngram").distinct(), model, order)
     sums = grams.join(scores, "ngram").groupBy(key).agg(F.sum(F.col("n") * F.col("logp")).alias("logp"), F.sum("n").alias("n"))
     return texts.select(key).join(sums, key, "left").select(key, F.coalesce("logp", F.lit(0.0)).alias("logp"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
@@ -165,7 +167,7 @@ def text_scores(texts: DataFrame, model: DataFrame, order: int, key: str = "key"
 def classify(texts: DataFrame, clean: DataFrame, dirty: DataFrame, order: int, key: str = "key", text: str = "text") -> DataFrame:
     """(key, score, is_clean): the difference of the clean and the dirty model's
     log probability. Clean is over 0; an empty text scores 0 and is dirty."""
-    grams = scored_ngrams(line_symbols(texts, key, text), key, order)
+    grams = settle(scored_ngrams(line_symbols(texts, key, text), key, order))
     distinct = grams.select("ngram").distinct()
     c, d = ngram_scores(distinct, clean, order), ngram_scores(distinct, dirty, order)
     delta = c.withColumnRenamed("logp", "lc").join(d.withColumnRenamed("logp", "ld"), "ngram").select("ngram", (F.col("lc") - F.col("ld")).alias("delta"))

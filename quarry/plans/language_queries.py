@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,9 +87,13 @@ _LABELLED = "t AS (SELECT d.doc_id AS key, coalesce(text, '') AS text, quality =
 
 
 def _words(source: str, name: str) -> str:
-    return rf"""{name} AS (
-  SELECT key, ['<s>'] || list_transform(list_filter(string_split(regexp_replace(line, '[\x09-\x0d\x1c-\x20]', '', 'g'), ''), lambda c: c <> ''), lambda c: {_SYMBOL}) || ['</s>'] AS w
+    """CTE `name` (key, c, b, a): each symbol of each line with the two before it."""
+    return rf"""{name}_w AS (
+  SELECT key, row_number() OVER () AS line, ['<s>'] || list_transform(list_filter(string_split(regexp_replace(line, '[\x09-\x0d\x1c-\x20]', '', 'g'), ''), lambda c: c <> ''), lambda c: {_SYMBOL}) || ['</s>'] AS w
   FROM (SELECT key, unnest(string_split(text, chr(10))) AS line FROM ({source}) WHERE length(text) > 0)
+), {name} AS (
+  SELECT key, c, lag(c) OVER p AS b, lag(c, 2) OVER p AS a
+  FROM (SELECT key, line, unnest(w) AS c, generate_subscripts(w, 1) AS i FROM {name}_w) WINDOW p AS (PARTITION BY line ORDER BY i)
 )"""
 
 
@@ -98,7 +104,7 @@ def _model(words: str, name: str, method: str) -> str:
     raw = f"{n}_raw" if kn else f"{n}_c"
     parts = [f"""{raw} AS (
   SELECT ord, ngram, count(*) AS c FROM (
-    SELECT k AS ord, array_to_string(w[i - k + 1 : i], ' ') AS ngram FROM (SELECT w, k, unnest(range(k, len(w) + 1)) AS i FROM {words}, (SELECT unnest([1, 2, 3]) AS k))
+    SELECT 1 AS ord, c AS ngram FROM {words} UNION ALL SELECT 2, b || ' ' || c FROM {words} WHERE b IS NOT NULL UNION ALL SELECT 3, a || ' ' || b || ' ' || c FROM {words} WHERE a IS NOT NULL
   ) WHERE ngram <> '<s>' GROUP BY ALL
 )"""]
     if kn:
@@ -153,36 +159,40 @@ def _scores(model: str, name: str) -> str:
     WHEN m2.logp IS NOT NULL THEN m2.logp + coalesce(b2.bow, 0)
     WHEN m1.logp IS NOT NULL THEN m1.logp + coalesce(b1.bow, 0) + coalesce(b2.bow, 0)
     ELSE (SELECT logp FROM {model} WHERE ngram = '<unk>') + coalesce(b1.bow, 0) + coalesce(b2.bow, 0) END AS logp
-  FROM (SELECT ngram, string_split(ngram, ' ') AS w FROM (SELECT DISTINCT ngram FROM g)) x
-  LEFT JOIN {model} m3 ON len(w) = 3 AND m3.ngram = x.ngram
-  LEFT JOIN {model} m2 ON m2.ngram = w[-2] || ' ' || w[-1]
-  LEFT JOIN {model} m1 ON m1.ngram = w[-1]
-  LEFT JOIN {model} b2 ON len(w) = 3 AND b2.ngram = w[1] || ' ' || w[2]
-  LEFT JOIN {model} b1 ON b1.ngram = w[-2]
+  FROM (
+    SELECT ngram, CASE WHEN len(w) = 3 THEN ngram END AS k3, w[-2] || ' ' || w[-1] AS k2, w[-1] AS k1, CASE WHEN len(w) = 3 THEN w[1] || ' ' || w[2] END AS h2, w[-2] AS h1
+    FROM (SELECT ngram, string_split(ngram, ' ') AS w FROM (SELECT DISTINCT ngram FROM g))
+  ) x
+  LEFT JOIN {model} m3 ON m3.ngram = x.k3
+  LEFT JOIN {model} m2 ON m2.ngram = x.k2
+  LEFT JOIN {model} m1 ON m1.ngram = x.k1
+  LEFT JOIN {model} b2 ON b2.ngram = x.h2
+  LEFT JOIN {model} b1 ON b1.ngram = x.h1
 )""".replace("SELECT ngram, CASE", "SELECT x.ngram, CASE", 1)
 
 
 _GRAMS = """g AS (
-  SELECT key, ngram, count(*) AS n FROM (
-    SELECT key, array_to_string(w[greatest(1, i - 2) : i], ' ') AS ngram FROM (SELECT key, w, unnest(range(2, len(w) + 1)) AS i FROM words)
-  ) GROUP BY ALL
+  SELECT key, concat_ws(' ', a, b, c) AS ngram, count(*) AS n FROM words WHERE b IS NOT NULL GROUP BY ALL
 )"""
 
 _BOTH = f"""WITH {_LABELLED}, {_words("SELECT * FROM t", "words")}, {_words("SELECT * FROM t WHERE clean", "wc")}, {_words("SELECT * FROM t WHERE NOT clean", "wd")},
 {_model("wc", "mc", METHOD)}, {_model("wd", "md", METHOD)}, {_GRAMS}, {_scores("mc", "sc")}, {_scores("md", "sd")}"""
 
-_CLASSIFIED = f"""{_BOTH}, s AS (
-  SELECT t.key, t.text, t.clean, coalesce(sum(g.n * (sc.logp - sd.logp)), 0) AS score
-  FROM t LEFT JOIN g ON t.key = g.key LEFT JOIN sc ON g.ngram = sc.ngram LEFT JOIN sd ON g.ngram = sd.ngram GROUP BY t.key, t.text, t.clean
+_CLASSIFIED = f"""{_BOTH}, sums AS (
+  SELECT g.key, sum(g.n * (sc.logp - sd.logp)) AS score FROM g JOIN sc ON g.ngram = sc.ngram JOIN sd ON g.ngram = sd.ngram GROUP BY g.key
+), s AS (
+  SELECT t.key, length(t.text) AS size, t.clean, coalesce(sums.score, 0) AS score FROM t LEFT JOIN sums ON t.key = sums.key
 )"""
 
 SQL = {
     "explode_text": f"SELECT item_id, array_to_string(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: {_SYMBOL}), ' ') AS exploded FROM benchmark",
     "char_ngram_counts": f"WITH {_words('SELECT doc_id AS key, text FROM documents', 'words')}, {_GRAMS} SELECT ngram, sum(n)::BIGINT AS n, count(*)::BIGINT AS texts FROM g GROUP BY ngram",
-    "lm_classify": f"{_CLASSIFIED} SELECT key, round(score, 4) AS score, score > 0 AND length(text) > 0 AS is_clean FROM s",
+    "lm_classify": f"{_CLASSIFIED} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
     "classifier_accuracy": f"{_CLASSIFIED} SELECT count(*)::BIGINT AS total, (count(*) FILTER (WHERE CASE WHEN clean THEN score > 0 ELSE score < 0 END))::BIGINT AS \"right\" FROM s",
-    "lm_perplexity": f"""{_BOTH}, s AS (
-  SELECT t.clean, sum(g.n) AS symbols, sum(g.n * sc.logp) AS lc, sum(g.n * sd.logp) AS ld FROM t JOIN g USING (key) JOIN sc ON g.ngram = sc.ngram JOIN sd ON g.ngram = sd.ngram GROUP BY t.clean
+    "lm_perplexity": f"""{_BOTH}, sums AS (
+  SELECT g.key, sum(g.n) AS n, sum(g.n * sc.logp) AS lc, sum(g.n * sd.logp) AS ld FROM g JOIN sc ON g.ngram = sc.ngram JOIN sd ON g.ngram = sd.ngram GROUP BY g.key
+), s AS (
+  SELECT t.clean, sum(n) AS symbols, sum(lc) AS lc, sum(ld) AS ld FROM t JOIN sums ON t.key = sums.key GROUP BY t.clean
 ), u AS (SELECT clean, symbols, unnest(['clean', 'dirty']) AS model, unnest([lc, ld]) AS logp FROM s)
 SELECT CASE WHEN clean THEN 'clean' ELSE 'dirty' END AS test_set, model, symbols::BIGINT AS symbols, round(logp, 3) AS logp, round(pow(10, -logp / symbols), 6) AS ppl FROM u""",
     "sign_test": """
@@ -195,3 +205,6 @@ WITH r AS (
 )
 SELECT source, m AS differing, w AS wins, round(p, 6) AS p, CASE WHEN p <= 0.005 THEN '**' WHEN p <= 0.05 THEN '*' ELSE '' END AS mark FROM p""",
 } | {f"lm_{m}": f"WITH {_LABELLED}, {_words('SELECT * FROM t WHERE clean', 'words')}, {_model('words', 'm', m)} SELECT ord, ngram, round(logp, 6) AS logp, round(bow, 6) AS bow FROM m" for m in lm.METHODS}
+
+# Each step is used several times over; kept results spare DuckDB the repetition.
+SQL = {name: re.sub(r"\b(\w+) AS \((?=\n)", r"\1 AS MATERIALIZED (", sql) for name, sql in SQL.items()}
