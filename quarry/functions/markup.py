@@ -146,7 +146,7 @@ def _link(target: str, label: str | None) -> Node:
         return Node("CategoryLink", attributes={"target": target})
     if re.fullmatch(r"[a-z]{2,3}", space):
         return Node("LangLink", attributes={"target": target})
-    node = Node("NameSpaceLink" if space in ("user", "talk", "template", "help", "portal", "wikipedia") else "ArticleLink", attributes={"target": target})
+    node = Node("NameSpaceLink" if space in ("user", "talk", "template", "help", "portal", "project") else "ArticleLink", attributes={"target": target})
     _inlines(label if label is not None else target, node)
     return node
 
