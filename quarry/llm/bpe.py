@@ -25,12 +25,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import settle
 from quarry.llm.token_counts import PATTERN, byte_of
 
 #: Words in the lexicon, with and without a blank before; this bounds it on the driver and in the broadcast.
 LEXICON = 65_536
 #: Pieces that a worker remembers besides the lexicon.
-MEMO = 400_000
+MEMO = 150_000
 
 _slow = regex.compile(PATTERN)
 _latin = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -55,6 +56,7 @@ class Vocabulary:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.id_of = {spell(k): v for k, v in spec["model"]["vocab"].items() if k not in self.special}
         self.core = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=self.id_of, special_tokens={})
+        self.number = list(range(len(self.id_of) + len(self.special)))  # one object for each id
         self.bytes_of = {v: k for k, v in self.id_of.items()} | {v: k.encode() for k, v in self.special.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -150,15 +152,16 @@ class Coder:
     def __init__(self, path: str, block: bytes | None):
         self.vocabulary = Vocabulary(path)
         self.lexicon = Lexicon(block) if block else None
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> tuple[int, ...]:
         ids = self.lexicon.get(text.encode()) if self.lexicon else None
         if ids is None:
             ids = self.vocabulary.merge(text)
         if len(self.memo) >= MEMO:
             self.memo.clear()
-        self.memo[text] = ids
+        number = self.vocabulary.number
+        self.memo[text] = ids = tuple([number[i] for i in ids])
         return ids
 
     def encode(self, text: str) -> list[int]:
@@ -203,9 +206,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, n: int = LEXICON, text_col: str = "text") -> list[str]:
-    """The n most frequent words between white space (ties by the word); each task counts before the shuffle."""
+    """The n most frequent words between white space (ties by the word).
+
+    Each task counts before the shuffle. A histogram of the counts' logarithms
+    shows which counts can be among the n highest; only words of such counts
+    are sorted and sent on.
+    """
     counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_count, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(n)
+    counts = settle(counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("step", F.floor(F.log2("n") * 16)))
+    least, seen = 0, 0
+    for step, words in sorted(map(tuple, counts.groupBy("step").agg(F.count("*")).collect()), reverse=True):
+        least, seen = step, seen + words
+        if seen >= n:
+            break
+    top = counts.where(F.col("step") >= least).select("word", "n").repartition(1).sortWithinPartitions(F.col("n").desc(), "word").limit(n)
     return [r[0] for r in top.collect()]
 
 
