@@ -7,11 +7,11 @@ kept. All but the last return the columns of `documents`.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe, decontamination, near_dedup, quality, secrets
-from quarry.llm.common import settle, table
+from quarry.llm.common import settle, short_batches, table
 from quarry.sources.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,6 +22,7 @@ QUALITY_LEAST = 0.7
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under QUALITY_LEAST go."""
     ship(spark)
+    short_batches(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, keep=("text", "lang", "source", "n_chars"))
     return scored.where(F.col("score") >= QUALITY_LEAST).select(*COLUMNS)
@@ -30,20 +31,31 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, similarity 0.8) the document of least id stays.
 
-    Documents without an id stay, as do those without words. Of rows that
-    share an id only one of each group stays.
+    Documents without words stay. Of a group's rows that share the least id the
+    one of the least text stays. In a group without ids all rows stay.
     """
     ship(spark)
-    out = near_dedup.near_duplicates(docs, size=5, num=80, den=100)
-    gone = settle(out.where(~F.col("kept")).select("doc_id").distinct())
-    if gone.count() * 16 <= near_dedup.BROADCAST_BYTES:
+    short_batches(spark)
+    found = settle(near_dedup.near_duplicates(docs, size=5, num=80, den=100))
+    gone = settle(found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct())
+    if gone.count() * 32 <= near_dedup.BROADCAST_BYTES:
         gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    hashed = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    stay = hashed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_anti").select(*COLUMNS)
+    repeated = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 and doc_id is not null").select("doc_id")
+    repeated = settle(repeated)
+    if repeated.isEmpty():
+        return stay
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = stay.join(repeated.withColumn("_same", F.lit(True)), "doc_id", "left").withColumn("_same", F.coalesce("_same", F.lit(False)) & has_words)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars"))
+    return same.where(~F.col("_same")).select(*COLUMNS).unionByName(same.where("_same").withColumn("_r", first).where("_r = 1").select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item, or a whole shorter item, go."""
     ship(spark)
+    short_batches(spark)
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), keep=("text", "lang", "source", "n_chars"))
     return found.where("n_hit = 0").select(*COLUMNS)
 
@@ -57,6 +69,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text."""
     ship(spark)
+    short_batches(spark)
     path = public_tokenizers.path(TOKENIZER)
     out = bpe.encode(docs, path, bpe.build_lexicon(docs, path), keep=("lang", "source", "n_chars"))
     return out.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_tokens"), F.col("ids").alias("token_ids"))

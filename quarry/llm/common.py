@@ -37,3 +37,11 @@ def partitions(spark: SparkSession) -> int:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def short_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Documents are long rows: fewer of them in each Arrow batch keep the
+    memory of executors and Python workers low. A smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))

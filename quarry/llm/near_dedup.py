@@ -125,7 +125,7 @@ def _sign(size: int, n_bands: int):
                 keys.append(key)
                 lows.append(low)
                 sketches.append(sketch)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(lows, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["id", "n", "key", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(lows, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["id", "hash", "n", "key", "bands", "sketch"])
 
     return run
 
@@ -276,11 +276,12 @@ def _sets(size: int):
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of `docs`.
+    """(id, n_shingles, component_id, kept, text_hash) for every row of `docs`.
 
     Two documents are linked if den * (common shingles) >= num * (shingles of
     either). `component_id` is the least id that links reach, the document's
-    own included; `kept` tells whether that is its own id. A text without words
+    own included; `kept` tells whether that is its own id. `text_hash` is the
+    xxhash64 of the text. A text without words
     (or null) has no shingles and is linked with nothing. Rows of one id and
     different texts are linked through their texts only. A row without an id
     takes part; it is kept only if no id is in its component, and then all such
@@ -292,7 +293,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     least = num / den
     n_bands = bands(least)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = settle(texts.mapInArrow(_sign(size, n_bands), f"id {kind}, n long, key binary, bands array<bigint>, sketch binary"))
+    hashed = texts.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    signed = settle(hashed.mapInArrow(_sign(size, n_bands), f"id {kind}, hash long, n long, key binary, bands array<bigint>, sketch binary"))
     classes = settle(signed.where("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")))
 
     rows = classes.select(F.explode("bands").alias("bucket"), "key", "n", "sketch")
@@ -316,6 +318,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     # Classes of one row that nothing is linked with need no look-up.
     alone = classes.where("copies > 1").select("key", F.col("rep").alias("component")).join(linked.select("key"), "key", "left_anti")
     known = linked.unionByName(alone)
-    out = signed.select("id", "n", "key").join(known.withColumn("_known", F.lit(True)), "key", "left")
+    out = signed.select("id", "hash", "n", "key").join(known.withColumn("_known", F.lit(True)), "key", "left")
     component = F.when(F.col("_known"), F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), F.col("hash").alias("text_hash"))

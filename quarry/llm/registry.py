@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
-from quarry.llm.common import table
+from quarry.llm.common import short_batches, table
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Documents of a lower score are rejected.
@@ -20,7 +20,7 @@ URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net"
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, num=85, den=100)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, num=85, den=100).drop("text_hash")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +72,16 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def _with_short_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        short_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
 
 
 def oracle_sql() -> dict[str, str]:
