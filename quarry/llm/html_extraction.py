@@ -8,9 +8,12 @@ page, a class is valid if its tokens come in one order in each of its
 repetitions and if it nests with the other classes; valid classes make up the
 template, and what stands between their tokens are the slots.
 
-The main text is what the slots hold within the article. Elements that only
-serve the site (menus, forms, footers, adverts ...) are no part of it, and
-where a page marks no article, text of the template is none either.
+The main text is what the slots hold; text of the template is none, wherever
+it stands. The page's marks only label slots: elements that serve the site
+(menus, forms, footers, adverts ...) are no part of it, and slots in an article
+stand alone if they hold at least as much text as all others. Marks decide by
+themselves on hosts without a template, and on a page of which the template
+would leave nothing though its article has text.
 """
 
 from __future__ import annotations
@@ -49,15 +52,18 @@ _split = re.compile(r"[^a-z0-9]+")
 class Token:
     """kind: text, open, close or other; path: names of the open elements; site: within an element that serves the site; main: within an article."""
 
-    __slots__ = ("kind", "text", "name", "path", "site", "main")
+    __slots__ = ("kind", "text", "name", "path", "site", "main", "_key")
 
     def __init__(self, kind, text, name, path, site, main):
         self.kind, self.text, self.name, self.path, self.site, self.main = kind, text, name, path, site, main
+        self._key: int | None = None
 
     def key(self) -> int:
         """Signed 64 bits of what the token is and where it stands."""
-        what = " ".join(self.text.split()) if self.kind == "text" else self.name
-        return xxhash.xxh3_64_intdigest(f"{self.kind}\0{self.path}\0{what}") - (1 << 63)
+        if self._key is None:
+            what = " ".join(self.text.split()) if self.kind == "text" else self.name
+            self._key = xxhash.xxh3_64_intdigest(f"{self.kind}\0{self.path}\0{what}") - (1 << 63)
+        return self._key
 
 
 def tokens(page: str) -> list[Token]:
@@ -149,21 +155,51 @@ def _cross(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> bool:
     return False
 
 
+def slots(page: list[Token], fixed: set[int]) -> list[list[Token]]:
+    """What stands between the template's tokens: the texts of each slot that has any."""
+    out: list[list[Token]] = [[]]
+    for t in page:
+        if t.kind in ("open", "close", "text") and t.key() in fixed:
+            out.append([])
+        elif t.kind == "text" and t.text.strip():
+            out[-1].append(t)
+    return [x for x in out if x]
+
+
+def _chosen(found: list[list[Token]]) -> set[Token]:
+    """The texts of the slots that hold the main text. A slot is in an article if most of its text is."""
+    own = [[t for t in x if not t.site] for x in found]
+    weight = lambda texts: sum(len(t.text) for t in texts)
+    marked = [2 * weight(t for t in x if t.main) > weight(x) for x in own]
+    within = sum(weight(x) for x, m in zip(own, marked) if m)
+    alone = 2 * within >= sum(map(weight, own)) > 0
+    return {t for x, m in zip(own, marked) if m or not alone for t in x}
+
+
+def _marked(page: list[Token]) -> tuple[str, set[Token]]:
+    """The mark that a page has text in, if any, and the texts that the marks choose."""
+    own = [t for t in page if t.kind == "text" and not t.site]
+    level = next((m for m in ("article", "main") if any(t.main == m and t.text.strip() for t in own)), "")
+    return level, {t for t in own if not level or t.main == level}
+
+
 def extract(page: str, classes: dict[int, int] | None = None) -> str:
     """The main text of a page, given the classes of its host's template."""
     seq = tokens(page)
-    level = next((m for m in ("article", "main") if any(t.kind == "text" and t.main == m and not t.site and t.text.strip() for t in seq)), "")
-    fixed = set()
-    if not level and classes:
-        valid = valid_classes(seq, classes)
-        fixed = {k for k, c in classes.items() if c in valid}
+    valid = valid_classes(seq, classes) if classes else set()
+    if valid:
+        chosen = _chosen(slots(seq, {k for k, c in classes.items() if c in valid}))
+    if not valid or not chosen:
+        level, texts = _marked(seq)
+        if level or not valid:
+            chosen = texts
     blocks, block = [], []
     for t in seq:
         if t.kind in ("open", "close"):
             blocks.append(block)
             block = []
         elif t.kind == "text":
-            if not t.site and (t.main == level if level else t.key() not in fixed):
+            if t in chosen or not t.site and t.text.isspace():
                 block.append(entities.unescape(t.text))
         elif t.text:
             block.append(t.text)
@@ -187,16 +223,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): for each host its classes of tokens, from all rows of `pages` (host, row, html).
+    """(host, template): for each host its classes of tokens, from all of `pages` (host, row, html); row is a hash of html.
 
     The occurrence vector of a token is folded into the exclusive or of a hash
     of each page with the token's count on it, so that a vector is a sum that
-    each task begins, however many pages a host has. A page that occurs twice
-    differs by `row`.
+    each task begins, however many pages a host has. Copies of a page count
+    once: what only copies share is no template. Only they are shuffled.
     """
-    seen = pages.mapInArrow(_count, "host string, row long, token long, n long")
+    rows = pages.groupBy("host", "row").agg(F.count("*").alias("copies"))
+    copied = settle(rows.where("copies > 1").select("host", "row", F.lit(True).alias("copied")))
+    if copied.count() * 64 <= BROADCAST_BYTES:
+        copied = F.broadcast(copied)
+    told = pages.join(copied, ["host", "row"], "left").select("host", "row", "html", "copied")
+    once = told.where("copied").groupBy("host", "row").agg(F.first("html").alias("html"))
+    once = told.where("copied is null").select("host", "row", "html").unionByName(once)
+    seen = once.mapInArrow(_count, "host string, row long, token long, n long")
     vectors = seen.groupBy("host", "token").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("row", "n")).alias("vector"))
-    hosts = pages.groupBy("host").agg(F.count("*").alias("of"))
+    hosts = rows.groupBy("host").agg(F.count("*").alias("of"))
     most = vectors.where(F.col("pages") >= LEAST_PAGES).join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("of"))
     classes = most.groupBy("host", "vector").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= LEAST_TOKENS)
     return classes.groupBy("host").agg(F.collect_list(F.struct("vector", "tokens")).alias("template"))
@@ -212,8 +255,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     read by their own marks.
     """
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), url_host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    # What tells pages apart in the occurrence vectors; equal rows cancel out in pairs, for all their tokens alike.
-    deduced = settle(templates(source.select("host", F.xxhash64("id", "url", "html").alias("row"), "html")))
+    deduced = settle(templates(source.select("host", F.xxhash64("html").alias("row"), "html")))
     size = deduced.agg(F.sum(F.aggregate("template", F.lit(0), lambda a, c: a + 16 + 8 * F.size(c["tokens"])))).first()[0] or 0
     joined = source.join(F.broadcast(deduced) if size <= BROADCAST_BYTES else deduced, "host", "left")
     kind = pages.schema[id_col].dataType.simpleString()

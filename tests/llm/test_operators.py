@@ -166,6 +166,14 @@ def test_main_text_of_pages(spark):
     assert found == sorted([(i, f"Body x{i} of x{i}\ntail{i}") for i in range(6)] + [(None, ""), (9, "A & b"), (9, "A & b")], key=repr)
 
 
+def test_template_cleans_articles_but_not_by_copies(spark):
+    page = "<nav>Menu</nav><article><h1>Head {0}</h1><p>Send this to a friend</p><p>Story {0}</p></article>"
+    copy = "<article><h1>One</h1><p>Two</p><p>Three {0}</p></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(6)] + [(10 + i, f"http://c.example/{i}", copy.format(i // 3)) for i in range(4)]
+    out = html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert got(out, "page_id", "text") == sorted([(i, f"Head {i}\nStory {i}") for i in range(6)] + [(10 + i, f"One\nTwo\nThree {i // 3}") for i in range(4)], key=repr)
+
+
 def test_quality_learns_from_its_fold_only(spark):
     r = random.Random(3)
     word = lambda: "".join(r.choice("aeioutnrs") for _ in range(r.randint(2, 8)))

@@ -170,6 +170,24 @@ def test_template_text_goes_where_no_article_is_marked():
     assert html_extraction.extract(pages[2], classes) == "Story 2 about 14"
 
 
+def template_of(pages):
+    keys = [html_extraction.counts(p) for p in pages]
+    same = {k for k in keys[0] if all(c.get(k) == keys[0][k] for c in keys)}
+    return {k: keys[0][k] for k in same}
+
+
+def test_slots_decide_where_articles_are_marked():
+    pages = [f"<div><p>Welcome to us</p></div><article><h1>Head {i}</h1><p>Send this to a friend</p><p>Story {i} about {i * 7}</p></article><div><p>Next: {i + 1}</p></div>" for i in range(5)]
+    classes = template_of(pages)
+    assert html_extraction.extract(pages[2], classes) == "Head 2\nStory 2 about 14"
+    # The only article is a teaser: the text beside it is the main text.
+    pages = [f"<div><p>Welcome to us</p></div><div><p>Long story {i} " + f"about {i * 7} and more " * 9 + f"</p></div><article><p>Teaser {i}</p></article>" for i in range(5)]
+    assert html_extraction.extract(pages[2], template_of(pages)).startswith("Long story 2 about 14 and more")
+    # A page that is nothing but template keeps its article.
+    pages = ["<div><p>Welcome to us</p></div><article><p>One story</p></article>"] * 3
+    assert html_extraction.extract(pages[0], template_of(pages)) == "One story"
+
+
 def test_quality_model_without_labels_is_constant():
     m = quality.Model(b"", b"", 0.0, 0.0, 0.4).open()
     assert m.score(b"") == m.score(b"any text") == pytest.approx(1 / (1 + np.exp(-0.4)))
