@@ -11,10 +11,13 @@ Consecutive strings of one anchor make a stretch of a document.
    into shards, by anchor, and the suffixes of a shard are sorted with their
    common prefixes by external induced sorting. In each run of suffixes that
    share `length` bytes all but the earliest string repeat.
-3. The covered bytes of each document are joined with its text and removed.
+3. An anchor whose stretches are more than a share of a shard is dealt by a
+   second key that equal strings have in common: a 128-bit hash of the string.
+   All but the earliest string of each hash repeat.
+4. The covered bytes of each document are joined with its text and removed.
 
-A shard may be larger than memory; what an anchor has in common is never
-gathered otherwise, and rows of an anchor are only streamed in order.
+A corpus has as many shards as its stretches have bytes for; the arrays of one
+shard are held in memory. Rows of an anchor are else only streamed in order.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import partitions, settle
@@ -33,6 +36,10 @@ from quarry.llm.induced_sorting import powers, sorted_suffixes
 #: Bytes of the substrings that anchors are chosen among, and of the segments in which long texts are read.
 ANCHOR, SEGMENT = 24, 1 << 18
 BASE = 0xD6E8FEB86659FD93
+#: Bytes of a shard, about, and of the stretches of one anchor beyond which its strings are dealt one by one.
+SHARD_BYTES, HOT_BYTES = 16 << 20, 2 << 20
+#: Anchors of up to this many bytes are broadcast; more are joined. Strings that go on at once.
+BROADCAST_BYTES, STRINGS = 32 << 20, 1 << 16
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -158,6 +165,23 @@ def _cut(length: int):
     return run
 
 
+def _strings(length: int, key_type: pa.DataType):
+    """(string, key, start) of every string of the wanted stretches; string is a hash of its bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h = xxhash.xxh3_128_digest
+        for b in batches:
+            for i, (text, wanted) in enumerate(zip(b.column(1), b.column(2).to_pylist())):
+                text, key = text.as_py().encode(), b.column(0).slice(i, 1).cast(key_type)
+                start = np.concatenate([np.arange(x["start"], x["start"] + x["n"], dtype=np.int32) for x in wanted])
+                for low in range(0, len(start), STRINGS):
+                    part = start[low : low + STRINGS]
+                    found = [h(text[x : x + length]) for x in part.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), key.take(pa.array(np.zeros(len(part), np.int64))), pa.array(part)], ["string", "key", "start"])
+
+    return run
+
+
 def repeated(t: np.ndarray, length: int) -> np.ndarray:
     """At which places of `t` a string starts whose `length` characters also start before."""
     out = np.zeros(len(t), bool)
@@ -237,6 +261,22 @@ def _ordered_key(i: Column, text: Column) -> Column:
     return F.concat_ws("|", F.coalesce(F.lpad(shifted.cast("string"), 40, "0"), F.lit("~")), F.sha2(text, 256))
 
 
+def _repeated_strings(dealt: DataFrame, stretches: DataFrame, length: int, key_type: pa.DataType) -> DataFrame:
+    """Covered stretches (key, start, n) of the strings of `stretches` that an earlier one of them equals.
+
+    The earliest of each string is folded before it is sent, so that a string
+    that many documents share sends a row for each task, not for each place.
+    """
+    key = dealt.schema["key"].dataType.simpleString()
+    wanted = stretches.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("wanted"))
+    strings = settle(dealt.join(wanted, "key").select("key", "text", "wanted").mapInArrow(_strings(length, key_type), f"string binary, key {key}, start int"))
+    first = strings.groupBy("string").agg(F.min(F.struct("key", "start")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    hit = strings.join(first, "string").where(F.struct("key", "start") != F.col("first")).select("key", "start")
+    # Strings that follow one another make one stretch.
+    run = F.col("start") - F.row_number().over(Window.partitionBy("key").orderBy("start"))
+    return hit.withColumn("run", run).groupBy("key", "run").agg(F.min("start").alias("start"), F.count("*").cast("int").alias("n")).drop("run")
+
+
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, spans, kept) for every row: the disjoint runs (start, end)
     of bytes that a string of `length` bytes covers which also starts earlier,
@@ -268,12 +308,21 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     sifted = found.repartition(n_tasks, "anchor").sortWithinPartitions("anchor", "content", "key", "start").mapInArrow(_sift(length), f"anchor long, key {key}, start int, n int, sort boolean")
     sifted = settle(sifted)
 
-    # Both joins below read this one shuffle of the texts.
+    # All joins below read this one shuffle of the texts.
     dealt = texts.repartition(n_tasks, "key")
-    wanted = sifted.where("sort").groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
+    to_sort, size = sifted.where("sort"), F.sum(F.col("n").cast("long") + length - 1)
+    n_shards = max(n_tasks, -(-(to_sort.agg(size).first()[0] or 0) // SHARD_BYTES))
+    hot = settle(to_sort.groupBy("anchor").agg(size.alias("bytes")).where(F.col("bytes") > HOT_BYTES).select("anchor"))
+    n_hot = hot.count()
+    covered = sifted.where("not sort").select("key", "start", "n")
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot * 64 <= BROADCAST_BYTES else hot
+        covered = covered.unionByName(_repeated_strings(dealt, to_sort.join(hot, "anchor", "left_semi"), length, key_type))
+        to_sort = to_sort.join(hot, "anchor", "left_anti")
+    wanted = to_sort.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
     cut = dealt.join(wanted, "key", "left").select("key", "text", "wanted").mapInArrow(_cut(length), f"anchor long, key {key}, start int, n int, bytes binary")
-    shards = cut.repartition(n_tasks, "anchor").sortWithinPartitions("key", "start").mapInArrow(_sort_shard(length), f"key {key}, start int, n int")
-    covered = sifted.where("not sort").select("key", "start", "n").unionByName(shards)
+    shards = cut.repartition(n_shards, "anchor").sortWithinPartitions("key", "start").mapInArrow(_sort_shard(length), f"key {key}, start int, n int")
+    covered = covered.unionByName(shards)
     covered = covered.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("covered"))
     out = dealt.join(covered, "key", "left").select("key", "text", "covered").mapInArrow(_remove(length), f"key {key}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
     if plain:

@@ -148,6 +148,31 @@ def test_repeats_against_all_strings(spark):
     assert sorted(((x.doc_id, x.n_bytes, [tuple(s) for s in x.spans], bytes(x.kept)) for x in out.collect()), key=repr) == brute_repeats(rows, 30)
 
 
+def test_an_anchor_that_many_documents_share_is_split(spark, monkeypatch):
+    r = random.Random(8)
+    word = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    line, ends = word(50), [word(70) for _ in range(6)]
+    rows = [(i, word(90) + line + (r.choice(ends) if i % 2 else word(70))) for i in range(80)] + [(100, "ab" * 400), (101, "x" + "ab" * 300), (102, word(300))]
+    bound, sort_shard = 3000, suffix_dedup._sort_shard
+
+    def bounded(length):
+        run = sort_shard(length)
+
+        def counted(batches):
+            held = [b for b in batches]
+            size = sum(len(x) for b in held for x in b.column(4).to_pylist())
+            assert size <= bound, size
+            return run(iter(held))
+
+        return counted
+
+    monkeypatch.setattr(suffix_dedup, "_sort_shard", bounded)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 800, raising=False)
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 500, raising=False)
+    out = suffix_dedup.remove_repeats(table(spark, rows), length=100)
+    assert sorted((x.doc_id, x.n_bytes, [tuple(s) for s in x.spans], bytes(x.kept)) for x in out.collect()) == sorted(brute_repeats(rows, 100))
+
+
 def test_contamination_in_blocks(spark):
     items = spark.createDataFrame([(1, "one two three"), (2, " ".join(f"w{i}" for i in range(15))), (3, ""), (None, "x y"), (4, None), (10, "One, two; THREE")], "item_id long, text string")
     rows = [(1, "zero ONE-two three four"), (2, None), (3, ""), (4, " ".join(f"w{i}" for i in range(2, 13)) + " one two three"), (None, "one two"), (5, "w0 w1 w2")]
