@@ -156,7 +156,9 @@ def masked_items(text: Column, pattern: str = MASK_PATTERN) -> Column:
 def masked(text: Column, pattern: str = MASK_PATTERN) -> Column:
     """`text` with each match of `pattern` as `zzzz<number in base 25>zzzz`, natively."""
     digit = lambda n: F.char(F.lit(97) + n % 25)
-    code = lambda i: F.concat(F.when(i >= 625, digit(F.floor(i / 625))).otherwise(""), F.when(i >= 25, digit(F.floor(i / 25))).otherwise(""), digit(i))
+    # Seven digits hold every index that an array can have.
+    powers = F.array(*(F.lit(25**k) for k in range(6, 0, -1)))
+    code = lambda i: F.concat(F.aggregate(powers, F.lit(""), lambda s, p: F.when(i >= p, F.concat(s, digit(F.floor(i / p)))).otherwise(s)), digit(i))
     parts = F.split(text, pattern, -1)
     return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("zzzz"), code(i - 1), F.lit("zzzz"), p))), "")
 
@@ -166,8 +168,11 @@ def unmasked(text: Column, items: Column) -> Column:
     mark = "zzzz([a-y]+)zzzz"
     parts, marks = F.split(text, mark, -1), F.regexp_extract_all(text, F.lit(mark), F.lit(1))
     value = lambda s: F.aggregate(characters(s), F.lit(0), lambda n, c: n * 25 + F.ascii(c) - 97)
-    item = lambda s: F.coalesce(F.get(items, value(s)), F.concat(F.lit("zzzz"), s, F.lit("zzzz")))
-    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(item(F.get(marks, i - 1)), p))), "")
+    item = lambda own, s: F.coalesce(F.get(own, value(s)), F.concat(F.lit("zzzz"), s, F.lit("zzzz")))
+    # Marks and items are bound once, not worked out again for each mark.
+    before = F.concat(F.array(F.lit(None).cast("string")), marks)
+    whole = lambda own: F.array_join(F.zip_with(parts, before, lambda p, m: F.when(m.isNull(), p).otherwise(F.concat(item(own, m), p))), "")
+    return F.get(F.transform(F.array(items), whole), F.lit(0))
 
 
 def hms(seconds: Column) -> Column:

@@ -133,6 +133,14 @@ def test_english_sentences(s, n):
     assert len(Lexer().sentences(s)) == n
 
 
+def test_masks_of_very_many_items(spark):
+    one = lambda c, v: spark.createDataFrame([(v,)], "t string").select(c(F.col("t"))).first()[0]
+    n = 15_630
+    long = "".join(f"{{({i})}} " for i in range(n))
+    assert one(text.masked, long) == "".join(f"zzzz{text.base25(i)}zzzz " for i in range(n))
+    assert one(lambda c: text.unmasked(text.masked(c), text.masked_items(c)), long) == long
+
+
 def test_other_languages_and_hyphens():
     assert Lexer("de").sentences("Am 3. Mai 1999 kam Dr. Meier, geb. 1950, z. B. im 19. Jh. Die Frau blieb.") == ["Am 3. Mai 1999 kam Dr. Meier, geb. 1950, z. B. im 19. Jh.", "Die Frau blieb."]
     assert Lexer("ru").sentences("Он жил на ул. Ленина. Потом уехал.") == ["Он жил на ул. Ленина.", "Потом уехал."]
