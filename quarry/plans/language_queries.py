@@ -50,6 +50,13 @@ def lm_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("key", F.round("score", 4).alias("score"), "is_clean")
 
 
+def lm_classify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, labelled or not, by the models of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    out = lm.classify(docs, *_models(labelled(spark, sf_dir)), ORDER)
+    return out.select("key", F.round("score", 4).alias("score"), "is_clean")
+
+
 def lm_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = labelled(spark, sf_dir)
     clean, dirty = _models(texts)
@@ -77,7 +84,7 @@ QUERIES = {
     "explode_text": explode_text, "char_ngram_counts": char_ngram_counts,
     "lm_additive": _trained("additive"), "lm_witten_bell": _trained("witten_bell"), "lm_absolute": _trained("absolute"),
     "lm_kneser_ney": _trained("kneser_ney"), "lm_modified_kneser_ney": _trained("modified_kneser_ney"),
-    "lm_classify": lm_classify, "lm_perplexity": lm_perplexity, "classifier_accuracy": classifier_accuracy, "sign_test": sign_test,
+    "lm_classify": lm_classify, "lm_classify_all": lm_classify_all, "lm_perplexity": lm_perplexity, "classifier_accuracy": classifier_accuracy, "sign_test": sign_test,
 }
 
 _SYMBOL = r"""CASE WHEN unicode(c) < 128 THEN c WHEN unicode(c) < 256 THEN '\x' || lpad(lower(to_hex(unicode(c))), 2, '0')
@@ -184,10 +191,20 @@ _CLASSIFIED = f"""{_BOTH}, sums AS (
   SELECT t.key, length(t.text) AS size, t.clean, coalesce(sums.score, 0) AS score FROM t LEFT JOIN sums ON t.key = sums.key
 )"""
 
+_ALL = "SELECT doc_id AS key, coalesce(text, '') AS text FROM documents"
+
+_CLASSIFIED_ALL = f"""WITH {_LABELLED}, {_words(_ALL, "words")}, {_words("SELECT * FROM t WHERE clean", "wc")}, {_words("SELECT * FROM t WHERE NOT clean", "wd")},
+{_model("wc", "mc", METHOD)}, {_model("wd", "md", METHOD)}, {_GRAMS}, {_scores("mc", "sc")}, {_scores("md", "sd")}, sums AS (
+  SELECT g.key, sum(g.n * (sc.logp - sd.logp)) AS score FROM g JOIN sc ON g.ngram = sc.ngram JOIN sd ON g.ngram = sd.ngram GROUP BY g.key
+), s AS (
+  SELECT a.key, length(a.text) AS size, coalesce(sums.score, 0) AS score FROM ({_ALL}) a LEFT JOIN sums ON a.key = sums.key
+)"""
+
 SQL = {
     "explode_text": f"SELECT item_id, array_to_string(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: {_SYMBOL}), ' ') AS exploded FROM benchmark",
     "char_ngram_counts": f"WITH {_words('SELECT doc_id AS key, text FROM documents', 'words')}, {_GRAMS} SELECT ngram, sum(n)::BIGINT AS n, count(*)::BIGINT AS texts FROM g GROUP BY ngram",
     "lm_classify": f"{_CLASSIFIED} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
+    "lm_classify_all": f"{_CLASSIFIED_ALL} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
     "classifier_accuracy": f"{_CLASSIFIED} SELECT count(*)::BIGINT AS total, (count(*) FILTER (WHERE CASE WHEN clean THEN score > 0 ELSE score < 0 END))::BIGINT AS \"right\" FROM s",
     "lm_perplexity": f"""{_BOTH}, sums AS (
   SELECT g.key, sum(g.n) AS n, sum(g.n * sc.logp) AS lc, sum(g.n * sd.logp) AS ld FROM g JOIN sc ON g.ngram = sc.ngram JOIN sd ON g.ngram = sd.ngram GROUP BY g.key

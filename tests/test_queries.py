@@ -26,6 +26,11 @@ def test_query(spark, name):
         assert df.count() > 0
 
 
+def test_every_document_is_classified(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert registry.queries()["lm_classify_all"](spark, SF).select("key").distinct().count() == docs.count()
+
+
 def test_entry(spark):
     import __spark_entry__
 
