@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.common import numbered, settle
@@ -84,10 +84,11 @@ def namespace_counts(pages: DataFrame, namespaces: DataFrame) -> DataFrame:
 
 def multiset_difference(rows: DataFrame, unwanted: DataFrame, on: str, order: str) -> DataFrame:
     """`rows` less one copy for each equal row of `unwanted`, the first copies by `order`."""
-    w = Window.partitionBy(on).orderBy(order)
     counts = unwanted.groupBy(on).agg(F.count("*").alias("_n"))
-    out = rows.withColumn("_copy", F.row_number().over(w)).join(counts, on, "left")
-    return out.where(F.col("_copy") > F.coalesce("_n", F.lit(0))).drop("_copy", "_n")
+    # Copies are numbered over sorted ranges, so that those of a common row are shared out.
+    copies = numbered(rows.withColumn("_by", F.struct(on, order)), "_by", "_copy").drop("_by")
+    ends = copies.groupBy(on).agg(F.min("_copy").alias("_first")).join(counts, on).select(on, (F.col("_first") + F.col("_n")).alias("_end"))
+    return copies.join(ends, on, "left").where(F.col("_copy") >= F.coalesce("_end", F.lit(0))).drop("_copy", "_end")
 
 
 def article_ids(articles: DataFrame, title: str = "title", text: str = "text") -> DataFrame:

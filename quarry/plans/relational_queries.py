@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
 from quarry.operators import articles, sections, templates
+from quarry.operators.common import numbered
 from quarry.sources.tables import table
 
 NAMESPACES = [*(f"src{i}" for i in range(0, 20)), "talk", "user"]
@@ -135,10 +136,12 @@ def corpus_lines(spark, sf_dir):
 
 def balanced_chunks(spark, sf_dir):
     """Seven near-equal parts of each source's documents, in order."""
-    from pyspark.sql import Window
-
-    part = F.ntile(7).over(Window.partitionBy("source").orderBy("doc_id"))
-    return _docs(spark, sf_dir).select("source", "doc_id", (part - 1).cast("long").alias("part"))
+    docs = numbered(_docs(spark, sf_dir).select("source", "doc_id", F.struct("source", "doc_id").alias("_by")), "_by", "_k")
+    sizes = docs.groupBy(F.col("source").alias("_s")).agg(F.min("_k").alias("_first"), F.expr("count(*) div 7").alias("_q"), F.expr("count(*) % 7").alias("_r"))
+    placed = docs.join(sizes, F.col("source").eqNullSafe(F.col("_s"))).withColumn("_k", F.col("_k") - F.col("_first"))
+    # The first _r parts have one more document than the others.
+    part = F.expr("CASE WHEN _k < _r * (_q + 1) THEN _k div (_q + 1) ELSE _r + (_k - _r * (_q + 1)) div _q END")
+    return placed.select("source", "doc_id", part.cast("long").alias("part"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -31,6 +31,11 @@ def test_every_document_is_classified(spark):
     assert registry.queries()["lm_classify_all"](spark, SF).select("key").distinct().count() == docs.count()
 
 
+@pytest.mark.parametrize("name", ["balanced_chunks", "section_setdiff"])
+def test_no_group_is_numbered_in_one_task(spark, name):
+    assert "Window" not in registry.queries()[name](spark, SF)._jdf.queryExecution().toString()
+
+
 def test_entry(spark):
     import __spark_entry__
 
