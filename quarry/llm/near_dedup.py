@@ -12,16 +12,19 @@ A document is the set of its distinct shingles of consecutive words, hashed to
 
 Classes that share a band are compared by sketch, and those that may reach the
 threshold (five standard errors below it still count) make up candidate groups.
-Within a group every pair is then decided on the full sets. Neither step hands
+Within a group every link is then decided on the full sets. Neither step hands
 on pairs: a task gives back a spanning forest of what it has linked, so that a
-group of n classes yields fewer than n links for each block. Large buckets and
-groups are dealt to tasks as pairs of blocks of bounded size.
+group of n classes yields fewer than n links for each block. It is found by a
+search from class to class that looks only at classes not reached yet; common
+shingles are counted along postings, so that memory grows with the shingles of
+a block and not with its pairs. Large buckets and groups are dealt to tasks as
+pairs of blocks of bounded size.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,8 @@ from quarry.llm.common import partitions, settle
 from quarry.llm.components import components
 
 ROWS, MISS, BITS = 5, 1e-6, 256
-#: Classes of a bucket, and shingles of a candidate group, that one block holds.
-BUCKET_BLOCK, GROUP_BLOCK = 1_024, 200_000
+#: Classes of a bucket, and shingles of a candidate group, that one block holds; a class counts as so many shingles at least.
+BUCKET_BLOCK, GROUP_BLOCK, LEAST_WEIGHT = 8_192, 200_000, 24
 #: Keys of up to this many bytes are broadcast to the second scan of the texts; more are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
 SEED = 0x9E3779B97F4A7C15
@@ -96,21 +99,21 @@ class Signer:
         return xxhash.xxh3_128_digest(s.tobytes()), lows, np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-class Forest:
-    """Union-find over the places of a block."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = i = self.up[self.up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        self.up[max(i, j)] = min(i, j)
-        return i != j
+def spanning(n: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join the places 0..n-1 as all links do: fewer than n. `linked(x, rest)` marks those of `rest` that x is linked with."""
+    found: list[tuple[int, int]] = []
+    rest = np.arange(n)
+    while len(rest) > 1:
+        reached, rest = [int(rest[0])], rest[1:]
+        while reached and len(rest):
+            x = reached.pop()
+            hit = linked(x, rest)
+            near = rest[hit].tolist()
+            if near:
+                found += [(x, y) for y in near]
+                reached += near
+                rest = rest[~hit]
+    return found
 
 
 def _sign(size: int, n_bands: int):
@@ -190,14 +193,13 @@ def _by_sketch(num: int, den: int, most: int):
             keys = r.column(r.schema.names.index("key")).to_pylist()
             n = r.column(r.schema.names.index("n")).to_numpy()
             sketch = np.frombuffer(b"".join(r.column(r.schema.names.index("sketch")).to_pylist()), np.uint64).reshape(len(keys), -1)
-            forest = Forest(len(keys))
-            for x in range(len(keys) - 1):
-                near = np.bitwise_count(sketch[x + 1 :] ^ sketch[x]).sum(axis=1, dtype=np.int64) <= most
-                m = n[x + 1 :]
-                near &= (np.minimum(m, n[x]) * den >= np.maximum(m, n[x]) * num)
-                for y in np.flatnonzero(near).tolist():
-                    if forest.join(x, x + 1 + y):
-                        found.append((keys[x], keys[x + 1 + y]))
+
+            def near(x: int, rest: np.ndarray) -> np.ndarray:
+                m = n[rest]
+                differing = np.bitwise_count(sketch[rest] ^ sketch[x]).sum(axis=1, dtype=np.int64)
+                return (differing <= most) & (np.minimum(m, n[x]) * den >= np.maximum(m, n[x]) * num)
+
+            found += [(keys[x], keys[y]) for x, y in spanning(len(keys), near)]
             if len(found) > 10_000:
                 yield _edges(found)
                 found = []
@@ -206,30 +208,28 @@ def _by_sketch(num: int, den: int, most: int):
     return run
 
 
-def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """How many elements each two sets share."""
-    if len(sets) == 2:
-        n = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return np.array([[len(sets[0]), n], [n, len(sets[1])]])
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    order = np.argsort(np.concatenate(sets), kind="stable")
-    value = np.concatenate(sets)[order]
-    new = np.r_[True, value[1:] != value[:-1]]
-    token = np.cumsum(new) - 1
-    shared = np.bincount(token)[token] > 1
-    token, owner = token[shared], owner[order][shared]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    if len(token):
-        token = np.cumsum(np.r_[False, token[1:] != token[:-1]])
-        width = max(1, min(int(token[-1]) + 1, 8_000_000 // len(sets)))
-        for low in range(0, int(token[-1]) + 1, width):
-            at, to = np.searchsorted(token, [low, low + width])
-            m = np.zeros((len(sets), width), np.float32)
-            m[owner[at:to], token[at:to] - low] = 1
-            out += m @ m.T
-    out = out.astype(np.int64)
-    np.fill_diagonal(out, [len(s) for s in sets])
-    return out
+class Postings:
+    """The sets of a block by element: how many elements does one set share with others?"""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sets, self.n = sets, len(sets)
+        self._build(np.arange(self.n))
+
+    def _build(self, rest: np.ndarray) -> None:
+        """Keep postings of `rest` only."""
+        self.size = len(rest)
+        element = np.concatenate([self.sets[i] for i in rest])
+        order = np.argsort(element, kind="stable")
+        self.element, self.owner = element[order], np.repeat(rest, [len(self.sets[i]) for i in rest])[order]
+
+    def common(self, x: int, rest: np.ndarray) -> np.ndarray:
+        """How many elements each of `rest`, sets that are left of all earlier ones, shares with x."""
+        if 2 * len(rest) < self.size:
+            self._build(rest)
+        low, high = (np.searchsorted(self.element, self.sets[x], side) for side in ("left", "right"))
+        size = high - low
+        place = np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
+        return np.bincount(self.owner[place], minlength=self.n)[rest]
 
 
 def _by_sets(num: int, den: int):
@@ -240,32 +240,33 @@ def _by_sets(num: int, den: int):
             names = r.schema.names
             keys, mine = r.column(names.index("key")).to_pylist(), r.column(names.index("mine")).to_numpy()
             sets = [np.frombuffer(x, np.uint64) for x in r.column(names.index("shingles")).to_pylist()]
-            n = np.array([len(s) for s in sets])
-            both = intersections(sets)
-            link = den * both >= num * (n[:, None] + n[None, :] - both)
-            i, j = r.column(names.index("i"))[0].as_py(), r.column(names.index("j"))[0].as_py()
-            if i != j:
-                link &= mine[:, None] != mine[None, :]
-            forest, found = Forest(len(keys)), []
-            for x in range(len(keys) - 1):
-                for y in np.flatnonzero(link[x, x + 1 :]).tolist():
-                    if forest.join(x, x + 1 + y):
-                        found.append((keys[x], keys[x + 1 + y]))
-            yield _edges(found)
+            n, postings = np.array([len(s) for s in sets]), Postings(sets)
+            apart = r.column(names.index("i"))[0].as_py() != r.column(names.index("j"))[0].as_py()
+
+            def linked(x: int, rest: np.ndarray) -> np.ndarray:
+                both = postings.common(x, rest)
+                link = den * both >= num * (n[x] + n[rest] - both)
+                return link & (mine[rest] != mine[x]) if apart else link
+
+            yield _edges([(keys[x], keys[y]) for x, y in spanning(len(keys), linked)])
 
     return run
 
 
 def _sets(size: int):
-    """(group, key, n, shingles) of the texts whose key is the wanted one."""
+    """(group, key, n, shingles) of the texts whose key is the wanted one, once for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 group, key, n, found = [], [], [], []
                 for g, k, text in zip(*(b.slice(at, 500).column(i).to_pylist() for i in range(3))):
+                    if k in seen:
+                        continue
                     s = shingles(text, size)
                     if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == k:
+                        seen.add(k)
                         group.append(g)
                         key.append(k)
                         n.append(len(s))
@@ -295,7 +296,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     hashed = texts.withColumn("hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = settle(hashed.mapInArrow(_sign(size, n_bands), f"id {kind}, hash long, n long, key binary, bands array<bigint>, sketch binary"))
-    classes = settle(signed.where("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")))
+    classes = settle(signed.where("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.min(F.struct("id", "hash")).alias("own"), F.count("*").alias("copies"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch")))
 
     rows = classes.select(F.explode("bands").alias("bucket"), "key", "n", "sketch")
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size"))
@@ -303,11 +304,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     near = dealt.repartition(n_tasks, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_by_sketch(num, den, most_differing(least, n_bands * ROWS)), "a binary, b binary")
     groups = settle(components(near).withColumnsRenamed({"node": "key", "root": "group"}))
 
-    wanted = settle(groups.join(classes.select("key", "rep", "n"), "key"))
-    small = wanted.count() * 64 <= BROADCAST_BYTES
-    picked = wanted.select("group", "key", "rep")
-    sets = texts.join(F.broadcast(picked) if small else picked, texts["id"].eqNullSafe(picked["rep"])).select("group", "key", "text").mapInArrow(_sets(size), "group binary, key binary, n long, shingles binary")
-    sizes = wanted.groupBy("group").agg(F.sum("n").alias("size"))
+    wanted = settle(groups.join(classes.select("key", "own", "n"), "key"))
+    small = wanted.count() * 96 <= BROADCAST_BYTES
+    # One row of each class gives its set: the least, by id and text. Rows of one id, or of none, are told apart by the text.
+    picked = wanted.select("group", "key", F.col("own.id").alias("_id"), F.col("own.hash").alias("_hash"))
+    own = hashed["id"].eqNullSafe(picked["_id"]) & (hashed["hash"] == picked["_hash"])
+    sets = hashed.join(F.broadcast(picked) if small else picked, own).select("group", "key", "text").mapInArrow(_sets(size), "group binary, key binary, n long, shingles binary")
+    sizes = wanted.groupBy("group").agg(F.sum(F.greatest("n", F.lit(LEAST_WEIGHT))).alias("size"))
     dealt = _blocks(sets, "group", sizes, GROUP_BLOCK)
     links = dealt.repartition(n_tasks, "group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(_by_sets(num, den), "a binary, b binary")
     roots = components(links)

@@ -83,6 +83,27 @@ def test_components_of_paths_and_circles(spark):
     assert got(out, "node", "root") == sorted([(i, 0) for i in range(41)] + [(i, 100) for i in (100, 101, 102)], key=repr)
 
 
+def test_components_split_hubs(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB", 3)
+    r = random.Random(3)
+    links = [(0, i) for i in range(1, 30)] + [(99, i) for i in range(40, 60)] + [(r.randint(200, 260), r.randint(200, 260)) for _ in range(60)]
+    up = {x: x for e in links for x in e}
+    for _ in up:
+        for a, b in links:
+            up[a] = up[b] = min(up[a], up[b])
+    loops = {x for x in up if all(a == b for a, b in links if x in (a, b))}
+    out = components.components(spark.createDataFrame(links, "a long, b long"))
+    assert got(out, "node", "root") == sorted(((x, y) for x, y in up.items() if x not in loops), key=repr)
+
+
+def test_near_copies_without_ids_meet_their_own_class_only(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, f"{words} n{i % 100}") for i in range(400)] + [(7, f"{words} n5")] * 3
+    docs = table(spark, rows)
+    out = got(near_dedup.near_duplicates(docs, size=3, num=85, den=100), "doc_id", "component_id", "kept")
+    assert out == sorted([(None, 7, False)] * 400 + [(7, 7, True)] * 3, key=repr)
+
+
 def test_fingerprints_of_odd_rows(spark):
     out = {(r[0], r[1]) for r in fingerprints.fingerprint(table(spark, ROWS)).select("fingerprint", "n_same").collect()}
     assert sorted(n for _, n in out) == [1, 2, 3, 4]

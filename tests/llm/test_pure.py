@@ -128,11 +128,47 @@ def test_sketches_tell_similarities():
     assert int(np.bitwise_count(np.frombuffer(far[0], np.uint8) ^ np.frombuffer(far[1], np.uint8)).sum()) > most
 
 
-def test_intersections():
+def test_postings_count_common_elements():
     r = np.random.default_rng(7)
     for k in (2, 5, 40):
         sets = [np.unique(r.integers(0, 300, 200).astype(np.uint64)) for _ in range(k)]
-        assert (near_dedup.intersections(sets) == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]).all()
+        postings, rest = near_dedup.Postings(sets), np.arange(k)
+        for x in range(k - 1):
+            rest = rest[rest > x]
+            assert postings.common(x, rest).tolist() == [len(np.intersect1d(sets[x], sets[y])) for y in rest]
+
+
+def test_spanning_joins_what_links_join():
+    r = random.Random(8)
+    for n in (1, 2, 9, 40):
+        links = {(i, j) for i in range(n) for j in range(n) if i < j and r.random() < 1.2 / n}
+        found = near_dedup.spanning(n, lambda x, rest: np.array([(min(x, y), max(x, y)) in links for y in rest.tolist()], bool))
+        roots = []
+        for edges in (links, found):
+            up = list(range(n))
+            for _ in range(n):
+                for i, j in edges:
+                    up[i] = up[j] = min(up[i], up[j])
+            roots.append(up)
+        assert roots[0] == roots[1] and len(found) == n - len(set(roots[0]))
+
+
+def test_a_block_of_near_copies_stays_small():
+    """16,000 sets of 18 shingles, all linked, and as many that are not: no memory of all pairs, no time of all pairs where links are found."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n = 16_000
+    for own, least in ((1, n - 1), (9, 0)):
+        sets = [np.sort(np.r_[np.arange(18 - own), 100 + own * i + np.arange(own)].astype(np.uint64)) for i in range(n if own == 1 else 4_000)]
+        k = len(sets)
+        rows = pa.RecordBatch.from_pydict({"group": [b"g"] * k, "key": [i.to_bytes(4, "big") for i in range(k)], "n": [18] * k, "shingles": [s.tobytes() for s in sets], "mine": pa.array([0] * k, pa.int32()), "i": pa.array([0] * k, pa.int32()), "j": pa.array([0] * k, pa.int32())})
+        tracemalloc.start()
+        found = sum(b.num_rows for b in near_dedup._by_sets(85, 100)(iter([rows])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found == least and peak < 100 << 20
 
 
 def test_shingles():
