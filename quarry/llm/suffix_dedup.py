@@ -5,8 +5,9 @@ be sorted only where strings can repeat. Every such string has a least hash
 among its short substrings, its anchor; equal strings have equal anchors.
 Consecutive strings of one anchor make a stretch of a document.
 
-1. Stretches are dealt by anchor. A stretch whose bytes occur before is covered
-   whole. An anchor with one stretch only is done.
+1. Stretches are dealt by anchor. A stretch whose bytes occur before, by a
+   128-bit hash besides the anchor, is covered whole. An anchor with one stretch
+   only is done.
 2. The first stretches of anchors with several different ones are put together
    into shards, by anchor, and the suffixes of a shard are sorted with their
    common prefixes by external induced sorting. In each run of suffixes that
@@ -16,12 +17,14 @@ Consecutive strings of one anchor make a stretch of a document.
    All but the earliest string of each hash repeat.
 4. The covered bytes of each document are joined with its text and removed.
 
-A corpus has as many shards as its stretches have bytes for; the arrays of one
-shard are held in memory. Rows of an anchor are else only streamed in order.
+A corpus has as many shards as its stretches have bytes for. A shard may be
+larger than memory: its text, its rows and all that the sort holds go to files
+of the task beyond a budget. Rows of an anchor are else only streamed in order.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import partitions, settle
-from quarry.llm.induced_sorting import powers, sorted_suffixes
+from quarry.llm.induced_sorting import BUDGET, PAD, Spool, Text, powers, sorted_suffixes
 
 #: Bytes of the substrings that anchors are chosen among, and of the segments in which long texts are read.
 ANCHOR, SEGMENT = 24, 1 << 18
@@ -51,7 +54,8 @@ class Anchors:
     """Stretches of equal anchors of a text."""
 
     def __init__(self, length: int):
-        self.length, self.width = length, length - ANCHOR + 1
+        self.length, self.size = length, min(ANCHOR, length)
+        self.width = length - self.size + 1
         n = SEGMENT + length + 1
         self.up, self.down = powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)
 
@@ -61,7 +65,7 @@ class Anchors:
             a = np.frombuffer(text, np.uint8, min(SEGMENT + self.length - 1, len(text) - at), at)
             sums = np.zeros(len(a) + 1, np.uint64)
             np.cumsum(a * self.up[: len(a)], out=sums[1:])
-            v = _mixed((sums[ANCHOR:] - sums[:-ANCHOR]) * self.down[: len(a) - ANCHOR + 1])
+            v = _mixed((sums[self.size :] - sums[: -self.size]) * self.down[: len(a) - self.size + 1])
             m, size = v, 1
             while 2 * size <= self.width:
                 m, size = np.minimum(m[:-size], m[size:]), 2 * size
@@ -77,10 +81,10 @@ class Anchors:
 
 
 def _stretches(length: int, key_type: pa.DataType):
-    """(anchor, content, key, start, n, again) of every document; content is a hash of the stretch's bytes."""
+    """(anchor, content, check, key, start, n, again) of every document; content and check are a hash of the stretch's bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, h = Anchors(length), xxhash.xxh3_64_intdigest
+        anchors, h = Anchors(length), xxhash.xxh3_128_digest
         for b in batches:
             for low in range(0, b.num_rows, 500):
                 part = b.slice(low, 500)
@@ -89,30 +93,30 @@ def _stretches(length: int, key_type: pa.DataType):
                     text = text.encode()
                     for g, start, n, again in anchors.stretches(text):
                         found.append((g, start, n, again))
-                        content += [h(text[x : x + y]) - (1 << 63) for x, y in zip(start.tolist(), (n + length - 1).tolist())]
+                        content += [h(text[x : x + y]) for x, y in zip(start.tolist(), (n + length - 1).tolist())]
                         rows += [i] * len(g)
                 if rows:
                     g, start, n, again = (np.concatenate(x) for x in zip(*found))
-                    key = part.column(0).take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(content, pa.int64()), key.cast(key_type), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)], ["anchor", "content", "key", "start", "n", "again"])
+                    key, halves = part.column(0).take(pa.array(rows)), np.frombuffer(b"".join(content), np.int64).reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(halves[:, 0]), pa.array(halves[:, 1]), key.cast(key_type), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(again)], ["anchor", "content", "check", "key", "start", "n", "again"])
 
     return run
 
 
 def _sift(length: int):
-    """Over stretches sorted by anchor, content, key and start: those whose
+    """Over stretches sorted by anchor, content, check, key and start: those whose
     content came before are covered (`sort` false); the first of each content
     must be sorted if its anchor has other contents or occurs in it again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the first stretch of the anchor in hand, as long as it has one content
-        last = (None, None)  # anchor and content of the row before
+        last = (None, None, None)  # anchor, content and check of the row before
         for b in batches:
             if not b.num_rows:
                 continue
-            anchor, content, again = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 5))
+            anchor, content, check, again = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 6))
             new_anchor = np.append(anchor[0] != last[0], anchor[1:] != anchor[:-1])
-            new = new_anchor | np.append(content[0] != last[1], content[1:] != content[:-1])
+            new = new_anchor | np.append(content[0] != last[1], content[1:] != content[:-1]) | np.append(check[0] != last[2], check[1:] != check[:-1])
             group = np.cumsum(new_anchor)  # 0: the anchor in hand before this batch
             contents = np.bincount(group, weights=new).astype(np.int64)
             contents = np.append(contents, np.zeros(max(0, group[-1] + 1 - len(contents)), np.int64))
@@ -137,8 +141,8 @@ def _sift(length: int):
                     out.append((b.take(pa.array(rows)), flag))
             for x in out:
                 x, flag = x if isinstance(x, tuple) else (x, True)
-                yield pa.RecordBatch.from_arrays([x.column(0), x.column(2), x.column(3), x.column(4), pa.array(np.full(x.num_rows, flag))], ["anchor", "key", "start", "n", "sort"])
-            last = (anchor[-1], content[-1])
+                yield pa.RecordBatch.from_arrays([x.column(0), x.column(3), x.column(4), x.column(5), pa.array(np.full(x.num_rows, flag))], ["anchor", "key", "start", "n", "sort"])
+            last = (anchor[-1], content[-1], check[-1])
 
     return run
 
@@ -182,11 +186,11 @@ def _strings(length: int, key_type: pa.DataType):
     return run
 
 
-def repeated(t: np.ndarray, length: int) -> np.ndarray:
-    """At which places of `t` a string starts whose `length` characters also start before."""
-    out = np.zeros(len(t), bool)
+def repeated(text: Text, length: int, spool: Spool, budget: int = BUDGET) -> np.ndarray:
+    """At which places of `text` a string starts whose `length` characters also start before."""
+    out = spool.array(text.n, bool)
     least = None  # the earliest place of the run in hand
-    for place, lcp in sorted_suffixes(t, length):
+    for place, lcp in sorted_suffixes(text, length, budget):
         new = lcp < length
         if least is not None:
             place, new = np.append(least, place), np.append(True, new)
@@ -200,30 +204,62 @@ def repeated(t: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _sort_shard(length: int):
+#: Characters of a shard are bytes plus one; UTF-8 has none above 0xF4. A zero ends each stretch.
+_plus_one = bytes((i + 1) % 256 for i in range(256))
+
+
+class Shard:
+    """The stretches of a shard in order: rows (key, start, n) and one text, both in files beyond what is held."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], held: int):
+        self.rows = tempfile.SpooledTemporaryFile(held)
+        self.file = tempfile.SpooledTemporaryFile(held)
+        writer = None
+        for b in batches:
+            for low in range(0, b.num_rows, 1_000):
+                part = b.slice(low, 1_000)
+                rows = part.select(["key", "start", "n"])
+                writer = writer or pa.ipc.new_stream(self.rows, rows.schema)
+                writer.write_batch(rows)
+                for x in part.column(part.schema.names.index("bytes")):
+                    self.file.write(x.as_py().translate(_plus_one))
+                    self.file.write(b"\0")
+        self.empty = writer is None
+        if writer is not None:
+            writer.close()
+        self.file.write(bytes(PAD))
+        size = self.file.tell()
+        self.file.seek(0)
+        self.text = Text(np.frombuffer(self.file.read(), np.uint8) if size <= held else np.memmap(self.file, np.uint8, "r", shape=(size,)))
+
+    def __iter__(self) -> Iterator[pa.RecordBatch]:
+        self.rows.seek(0)
+        yield from pa.ipc.open_stream(self.rows)
+
+
+def _sort_shard(length: int, budget: int = BUDGET):
     """Covered stretches (key, start, n) of a shard whose rows come by key and start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        shard = Shard(batches, budget // 4)
+        if shard.empty:
             return
-        shard = pa.Table.from_batches(held)
-        n, start = shard.column("n").to_numpy(), shard.column("start").to_numpy()
-        texts = shard.column("bytes").to_pylist()
-        size = np.array([len(x) + 1 for x in texts])
-        # Characters are bytes plus one; UTF-8 has none above 0xF4. A zero ends each stretch.
-        t = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)
-        begin = np.cumsum(np.append(0, size[:-1]))
-        hit = repeated(t, length)
-        owner = np.repeat(np.arange(len(n)), size)
-        offset = np.arange(len(t)) - begin[owner]
-        hit &= offset < n[owner]
-        edge = hit & ~(np.append(False, hit[:-1]) & np.append(False, owner[1:] == owner[:-1]))
-        first = np.flatnonzero(edge)
-        count = np.add.reduceat(hit, first) if len(first) else np.empty(0, np.int64)
-        rows = owner[first]
-        key = shard.column("key").combine_chunks().take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays([key, pa.array((start[rows] + offset[first]).astype(np.int32)), pa.array(np.asarray(count).astype(np.int32))], ["key", "start", "n"])
+        hits, at = repeated(shard.text, length, Spool(budget // 4), budget // 2), 0
+        for rows in shard:
+            n, start = rows.column("n").to_numpy(), rows.column("start").to_numpy()
+            size = n.astype(np.int64) + length
+            begin = np.cumsum(size) - size
+            hit = np.array(hits[at : at + size.sum()])
+            at += len(hit)
+            owner = np.repeat(np.arange(len(n)), size)
+            offset = np.arange(len(hit)) - begin[owner]
+            hit &= offset < n[owner]
+            edge = hit & ~(np.append(False, hit[:-1]) & np.append(False, owner[1:] == owner[:-1]))
+            first = np.flatnonzero(edge)
+            if len(first):
+                count = np.add.reduceat(hit, first)
+                row = owner[first]
+                yield pa.RecordBatch.from_arrays([rows.column("key").take(pa.array(row)), pa.array((start[row] + offset[first]).astype(np.int32)), pa.array(np.asarray(count).astype(np.int32))], ["key", "start", "n"])
 
     return run
 
@@ -286,8 +322,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     lie within one text and are judged on the input. Null texts count as empty.
     Rows of the same id and text count as one document and get the same result;
     of the same id and different texts, the one of the lesser hash comes first.
-    Null ids come last. Other columns are not read.
+    Null ids come last. Other columns are not read. `length` is 2 to 65,535.
     """
+    if not 1 < length < 1 << 16:
+        raise ValueError(f"length {length}")
     spark = docs.sparkSession
     n_tasks = partitions(spark)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -304,8 +342,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     key = texts.schema["key"].dataType.simpleString()
     key_type = pa.string() if key == "string" else {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32()}.get(key, pa.int64())
 
-    found = texts.mapInArrow(_stretches(length, key_type), f"anchor long, content long, key {key}, start int, n int, again boolean")
-    sifted = found.repartition(n_tasks, "anchor").sortWithinPartitions("anchor", "content", "key", "start").mapInArrow(_sift(length), f"anchor long, key {key}, start int, n int, sort boolean")
+    found = texts.mapInArrow(_stretches(length, key_type), f"anchor long, content long, check long, key {key}, start int, n int, again boolean")
+    sifted = found.repartition(n_tasks, "anchor").sortWithinPartitions("anchor", "content", "check", "key", "start").mapInArrow(_sift(length), f"anchor long, key {key}, start int, n int, sort boolean")
     sifted = settle(sifted)
 
     # All joins below read this one shuffle of the texts.

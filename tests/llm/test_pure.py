@@ -76,13 +76,55 @@ def test_induced_sorting(budget, monkeypatch):
         t = np.array([r.randint(0, r.choice([1, 2, 3, 5, 20])) for _ in range(r.randint(1, 60))], np.uint8)
         t = np.tile(t, 4) if k % 3 == 0 else t
         depth = r.choice([4, 10, 100])
-        found = list(sorting.sorted_suffixes(t, depth, budget))
+        found = list(sorting.sorted_suffixes(sorting.text_of(t), depth, budget))
         place, lcp = [x for p, _ in found for x in p.tolist()], [x for _, v in found for x in v.tolist()]
         b = t.tobytes()
         assert sorted(place) == list(range(len(t)))
         assert [b[i : i + depth] for i in place] == [b[i : i + depth] for i in naive_order(t)]
         assert all(min(lcp[i], depth) == min(common(b, place[i - 1], place[i]), depth) for i in range(1, len(place)))
-    assert list(sorting.sorted_suffixes(np.empty(0, np.uint8))) == []
+    assert list(sorting.sorted_suffixes(sorting.text_of(np.empty(0, np.uint8)))) == []
+
+
+def test_merges_of_runs_are_stable(monkeypatch):
+    monkeypatch.setattr(sorting, "CHUNK", 300)
+    r = np.random.default_rng(5)
+    for top in (1, 3, 50, 1 << 40):
+        keys = r.integers(0, top, 5_000)
+        assert (sorting.ordered(keys, sorting.Spool(1 << 12)) == np.argsort(keys, kind="stable")).all()
+
+
+@pytest.mark.parametrize("chunk,pieces,budget", [(1 << 13, 10_000, 120_000), (50, 40, 0)])
+def test_a_shard_of_ten_budgets_sorts_in_10_mb(monkeypatch, chunk, pieces, budget):
+    import tracemalloc
+
+    import pandas  # noqa: F401  (so that its import isn't measured)
+    import pyarrow as pa
+
+    monkeypatch.setattr(sorting, "CHUNK", chunk)
+    r = random.Random(9)
+    known = [bytes(r.choice(b"abcdefgh ") for _ in range(130)) for _ in range(pieces // 2)]
+    texts = [r.choice(known)[r.randint(0, 20) :] + b"z" * r.randint(0, 40) for _ in range(pieces)]
+    kind = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary())])
+    batch = lambda i: pa.RecordBatch.from_pydict({"anchor": [1] * len(texts[i : i + 500]), "key": [*range(i, min(i + 500, pieces))], "start": [7] * len(texts[i : i + 500]), "n": [len(x) - 99 for x in texts[i : i + 500]], "bytes": texts[i : i + 500]}, schema=kind)
+    tracemalloc.start()
+    found = {(k, s + j) for b in suffix_dedup._sort_shard(100, budget)(batch(i) for i in range(0, pieces, 500)) for k, s, n in zip(*(b.column(c).to_pylist() for c in range(3))) for j in range(n)} if pieces < 100 else 0
+    if pieces > 100:
+        covered = sum(b.column(2).to_numpy().sum() for b in suffix_dedup._sort_shard(100, budget)(batch(i) for i in range(0, pieces, 500)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen, want, total = set(), set(), 0
+    for k, x in enumerate(texts):
+        for p in range(len(x) - 99):
+            h = hash(x[p : p + 100])
+            if h in seen:
+                want.add((k, 7 + p)) if pieces < 100 else None
+                total += 1
+            seen.add(h)
+    assert sum(map(len, texts)) > 10 * budget
+    if pieces < 100:
+        assert found == want
+    else:
+        assert covered == total and peak < 10 << 20
 
 
 def test_anchors_are_equal_for_equal_strings():
