@@ -1,19 +1,19 @@
 """HTML extraction by template deduction from equivalence classes.
 
-A page is a sequence of tokens: tags with the path of elements around them,
-and stretches of text. Over all pages of a host, tokens that occur equally
-often on every page (equal occurrence vectors) form an equivalence class; a
-class of some size that most pages have belongs to the host's template. On a
-page, a class is valid if its tokens come in one order in each of its
-repetitions and if it nests with the other classes; valid classes make up the
-template, and what stands between their tokens are the slots.
-
-The main text is what the slots hold; text of the template is none, wherever
-it stands. The page's marks only label slots: elements that serve the site
-(menus, forms, footers, adverts ...) are no part of it, and slots in an article
-stand alone if they hold at least as much text as all others. Marks decide by
-themselves on hosts without a template, and on a page of which the template
-would leave nothing though its article has text.
+A page is a sequence of tokens: tags with their marks and the path of elements
+around them, and stretches of text. Over all pages of a host, tokens that occur
+equally often on every page (equal occurrence vectors) form an equivalence
+class; a class of some size that most pages have belongs to the host's
+template. On a page, a class is valid if its tokens come in one order in each
+of its repetitions and if it nests with the other classes; valid classes make
+up the template, and what stands between their tokens are the slots.
+
+The main text is what the slots of the main element hold: the innermost element
+of the template that holds more than half of the host's slot text. Text of the
+template is none, wherever it stands. Within the main element labels of HTML
+tell slots that serve the site (menus, forms, adverts, comments ...). Marks of
+articles decide only on hosts without a template or without a main element,
+and on a page of which the template would leave nothing.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from quarry.llm.url_filters import url_host
 
 #: A class belongs to a host's template if this share of the host's pages, and this many at least, have it.
 SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.6, 3, 3
+#: The main element holds more than this share of a host's text.
+MAIN_SHARE = 0.5
 #: Templates of up to this many bytes are broadcast; more are joined by host.
 BROADCAST_BYTES = 32 << 20
 
@@ -40,6 +42,8 @@ BROADCAST_BYTES = 32 << 20
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 SITE = {"nav", "footer", "aside", "form", "head", "title", "noscript", "template", "button", "select", "textarea", "iframe", "svg", "object", "dialog", "menu", "script", "style"}
+#: Elements that hold others; the main element is one of them.
+CONTAINERS = {"html", "body", "div", "main", "article", "section", "center", "table", "tbody", "tr", "td"}
 #: Words in class, id and role of elements that serve the site.
 SITE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "footer", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "related", "reply", "replies", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "teaser", "toolbar", "widget"}
 
@@ -50,13 +54,15 @@ _split = re.compile(r"[^a-z0-9]+")
 
 
 class Token:
-    """kind: text, open, close or other; path: names of the open elements; site: within an element that serves the site; main: within an article."""
+    """kind: text, open, close or other; path: a hash of the open elements' names; site: within an element that
+    serves the site; main: within an article; within: in the main element; mass: characters of text in an
+    element that serve no site; depth: of an element that may be the main one, else -1."""
 
-    __slots__ = ("kind", "text", "name", "path", "site", "main", "_key")
+    __slots__ = ("kind", "text", "name", "path", "site", "main", "within", "mass", "depth", "_key")
 
-    def __init__(self, kind, text, name, path, site, main):
-        self.kind, self.text, self.name, self.path, self.site, self.main = kind, text, name, path, site, main
-        self._key: int | None = None
+    def __init__(self, kind, text, name, path, site, main, within=False, depth=-1):
+        self.kind, self.text, self.name, self.path, self.site, self.main, self.within, self.depth = kind, text, name, path, site, main, within, depth
+        self.mass, self._key = 0, None
 
     def key(self) -> int:
         """Signed 64 bits of what the token is and where it stands."""
@@ -66,55 +72,67 @@ class Token:
         return self._key
 
 
-def tokens(page: str) -> list[Token]:
-    """The page's tokens. Elements that aren't closed end with the element around them; inline elements open nothing."""
+def tokens(page: str, main: int | None = None) -> list[Token]:
+    """The page's tokens. Elements that aren't closed end with the element around them; inline elements open nothing.
+    `main` is the key of the main element's tag."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, str]] = []  # name, serves the site, article or main or content or ""
+    # Name, path of what it holds, serves the site, mark of the article, in the main element, its tag, text before it.
+    stack: list[tuple[str, int, bool, str, bool, Token, int]] = [("", 0, False, "", False, Token("open", "", "", 0, False, ""), 0)]
+    opened: dict[str, int] = defaultdict(int)
+    mass = 0
+
+    def close(at: int) -> None:
+        for name, _, _, _, _, tag, before in stack[at:]:
+            tag.mass = mass - before
+            opened[name] -= 1
+        del stack[at:]
+
     for m in _token.finditer(page):
         s = m.group()
         tag = _tag.match(s)
         if m.group(1) or s[:2] in ("<!", "<?") and s[:9] != "<![CDATA[":
-            out.append(Token("other", "", s[:2] + (m.group(1) or "").lower(), "", True, ""))
+            out.append(Token("other", "", s[:2] + (m.group(1) or "").lower(), 0, True, ""))
             continue
+        _, path, in_site, mark, within, *_ = stack[-1]
         if not tag:
-            site = any(x[1] for x in stack)
-            main = next((x[2] for x in stack if x[2]), "")
-            out.append(Token("text", s, "", "/".join(x[0] for x in stack), site, main))
+            out.append(Token("text", s, "", path, in_site, mark, within))
+            mass += 0 if in_site else len(s.strip())
             continue
         name = tag.group(2).lower()
         if tag.group(1):
             if name in INLINE or name in VOID:
-                out.append(Token("other", " " if name == "br" else "", name, "", False, ""))
+                out.append(Token("other", " " if name == "br" else "", name, 0, False, ""))
                 continue
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            path = "/".join(x[0] for x in (stack if at is None else stack[:at]))
-            if at is not None:
-                del stack[at:]
-            out.append(Token("close", "", name, path, False, ""))
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name))
+            out.append(Token("close", "", name, stack[-1][1], False, ""))
             continue
         if name in INLINE or name == "br":
-            out.append(Token("other", " " if name == "br" else "", name, "", False, ""))
+            out.append(Token("other", " " if name == "br" else "", name, 0, False, ""))
             continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
-            stack.pop()
-        elif stack and stack[-1][0] == "p":
-            stack.pop()
-        words = set(_split.split(" ".join(x.strip("\"'") for x in _mark.findall(s)).lower()))
-        out.append(Token("open", "", name, "/".join(x[0] for x in stack), False, ""))
+        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name or stack[-1][0] == "p":
+            close(len(stack) - 1)
+        words = set(_split.split(" ".join(x.strip("\"'") for x in _mark.findall(s)).lower())) - {""}
+        _, path, in_site, mark, within, *_ = stack[-1]
+        t = Token("open", "", ".".join([name, *sorted(words)]), path, False, "", depth=len(stack) if name in CONTAINERS else -1)
+        out.append(t)
         if name not in VOID and not s.endswith("/>"):
-            within = any(x[2] == "article" for x in stack)
-            site = name in SITE or name == "header" and not within or bool(words & SITE_WORDS)
-            kind = "article" if name == "article" else "main" if name == "main" or "main" in words else ""
-            stack.append((name, site, kind))
+            site = in_site or name in SITE or name == "header" and mark != "article" or bool(words & SITE_WORDS)
+            mark = "article" if mark == "article" or name == "article" else mark or ("main" if name == "main" or "main" in words else "")
+            stack.append((name, xxhash.xxh3_64_intdigest(f"{path}/{name}"), site, mark, within or main is not None and t.key() == main, t, mass))
+            opened[name] += 1
+    close(1)
     return out
 
 
-def counts(page: str) -> dict[int, int]:
-    """How often each token occurs on a page."""
-    found: dict[int, int] = defaultdict(int)
+def counts(page: str) -> dict[int, list[int]]:
+    """For each token of a page: how often it occurs, the text in it, and its depth if it may be the main element."""
+    found: dict[int, list[int]] = {}
     for t in tokens(page):
         if t.kind in ("open", "close") or t.kind == "text" and t.text.strip():
-            found[t.key()] += 1
+            x = found.setdefault(t.key(), [0, 0, t.depth])
+            x[0] += 1
+            x[1] += t.mass
     return found
 
 
@@ -183,12 +201,14 @@ def _marked(page: list[Token]) -> tuple[str, set[Token]]:
     return level, {t for t in own if not level or t.main == level}
 
 
-def extract(page: str, classes: dict[int, int] | None = None) -> str:
-    """The main text of a page, given the classes of its host's template."""
-    seq = tokens(page)
+def extract(page: str, classes: dict[int, int] | None = None, main: int | None = None) -> str:
+    """The main text of a page, given the classes of its host's template and the key of its main element."""
+    seq = tokens(page, main)
     valid = valid_classes(seq, classes) if classes else set()
     if valid:
-        chosen = _chosen(slots(seq, {k for k, c in classes.items() if c in valid}))
+        found = slots(seq, {k for k, c in classes.items() if c in valid})
+        within = main is not None and classes.get(main) in valid
+        chosen = {t for x in found for t in x if t.within and not t.site} if within else _chosen(found)
     if not valid or not chosen:
         level, texts = _marked(seq)
         if level or not valid:
@@ -212,18 +232,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, 1000):
             part = b.slice(at, 1000)
-            host, row, token, n = [], [], [], []
+            host, row, token, told = [], [], [], []
             for h, r, page in zip(*(part.column(i).to_pylist() for i in range(3))):
                 found = counts(page)
                 host += [h] * len(found)
                 row += [r] * len(found)
                 token += found
-                n += found.values()
-            yield pa.RecordBatch.from_pydict({"host": host, "row": row, "token": token, "n": n}, schema=pa.schema([("host", pa.string()), ("row", pa.int64()), ("token", pa.int64()), ("n", pa.int64())]))
+                told += found.values()
+            n, mass, depth = zip(*told) if told else ((), (), ())
+            columns = {"host": host, "row": row, "token": token, "n": n, "mass": mass, "depth": depth}
+            yield pa.RecordBatch.from_pydict(columns, schema=pa.schema([(c, pa.string() if c == "host" else pa.int64()) for c in columns]))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): for each host its classes of tokens, from all of `pages` (host, row, html); row is a hash of html.
+    """(host, template, main): for each host its classes of tokens and the key of its main element, from all of `pages` (host, row, html); row is a hash of html.
 
     The occurrence vector of a token is folded into the exclusive or of a hash
     of each page with the token's count on it, so that a vector is a sum that
@@ -237,12 +259,17 @@ def templates(pages: DataFrame) -> DataFrame:
     told = pages.join(copied, ["host", "row"], "left").select("host", "row", "html", "copied")
     once = told.where("copied").groupBy("host", "row").agg(F.first("html").alias("html"))
     once = told.where("copied is null").select("host", "row", "html").unionByName(once)
-    seen = once.mapInArrow(_count, "host string, row long, token long, n long")
-    vectors = seen.groupBy("host", "token").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("row", "n")).alias("vector"))
+    seen = once.mapInArrow(_count, "host string, row long, token long, n long, mass long, depth long")
+    vectors = seen.groupBy("host", "token").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("row", "n")).alias("vector"), F.sum("mass").alias("mass"), F.max("depth").alias("depth"))
     hosts = rows.groupBy("host").agg(F.count("*").alias("of"))
     most = vectors.where(F.col("pages") >= LEAST_PAGES).join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("of"))
-    classes = most.groupBy("host", "vector").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= LEAST_TOKENS)
-    return classes.groupBy("host").agg(F.collect_list(F.struct("vector", "tokens")).alias("template"))
+    element = F.when((F.col("depth") >= 0) & (F.col("mass") > 0), F.struct("depth", "mass", "token"))
+    classes = most.groupBy("host", "vector").agg(F.collect_list("token").alias("tokens"), F.collect_list(element).alias("elements")).where(F.size("tokens") >= LEAST_TOKENS)
+    found = classes.groupBy("host").agg(F.collect_list(F.struct("vector", "tokens")).alias("template"), F.flatten(F.collect_list("elements")).alias("elements"))
+    # Elements that hold more than half of all text hold one another: the deepest is the main one.
+    total = F.array_max(F.transform("elements", lambda e: e["mass"]))
+    large = F.filter("elements", lambda e: e["mass"] > MAIN_SHARE * total)
+    return found.select("host", "template", F.array_max(large)["token"].alias("main"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -259,7 +286,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     size = deduced.agg(F.sum(F.aggregate("template", F.lit(0), lambda a, c: a + 16 + 8 * F.size(c["tokens"])))).first()[0] or 0
     joined = source.join(F.broadcast(deduced) if size <= BROADCAST_BYTES else deduced, "host", "left")
     kind = pages.schema[id_col].dataType.simpleString()
-    out = joined.select("id", "url", "html", "template").mapInArrow(_extract, f"id {kind}, url string, text string")
+    out = joined.select("id", "url", "html", "template", "main").mapInArrow(_extract, f"id {kind}, url string, text string")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})
 
 
@@ -268,7 +295,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, b.num_rows, 500):
             part = b.slice(at, 500)
             text = []
-            for page, template in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+            for page, template, main in zip(*(part.column(i).to_pylist() for i in (2, 3, 4))):
                 classes = {t: c["vector"] for c in template or () for t in c["tokens"]}
-                text.append(extract(page, classes))
+                text.append(extract(page, classes, main))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())], ["id", "url", "text"])

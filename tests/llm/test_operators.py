@@ -220,6 +220,46 @@ def test_template_cleans_articles_but_not_by_copies(spark):
     assert got(out, "page_id", "text") == sorted([(i, f"Head {i}\nStory {i}") for i in range(6)] + [(10 + i, f"One\nTwo\nThree {i // 3}") for i in range(4)], key=repr)
 
 
+def test_templates_are_the_classes_of_equal_occurrence_vectors(spark):
+    """Against a plain deduction: vectors as sets of (page, count), the main element by depth among those of over half the text."""
+    pages = {r.html: html_extraction_host(r.url) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    rows = [(h, p) for p, h in pages.items()] + [(h, p) for p, h in list(pages.items())[:40]]  # copies count once
+    df = spark.createDataFrame(rows, "host string, html string").select("host", F.xxhash64("html").alias("row"), "html").repartition(3)
+    found = {r.host: ({frozenset(c.tokens) for c in r.template}, r.main) for r in html_extraction.templates(df).collect()}
+    want = {}
+    for host in set(pages.values()):
+        own = [html_extraction.counts(p) for p, h in pages.items() if h == host]
+        vectors = {}
+        for i, c in enumerate(own):
+            for k, (n, _, _) in c.items():
+                vectors.setdefault(k, []).append((i, n))
+        classes = {}
+        for k, v in vectors.items():
+            if len(v) >= max(3, 0.6 * len(own)):
+                classes.setdefault(tuple(v), []).append(k)
+        classes = [v for v in classes.values() if len(v) >= 3]
+        if classes:
+            mass = {k: sum(c[k][1] for c in own if k in c) for v in classes for k in v}
+            depth = {k: max(c[k][2] for c in own if k in c) for k in mass}
+            total = max(m for k, m in mass.items() if depth[k] >= 0)
+            large = [(depth[k], mass[k], k) for k in mass if depth[k] >= 0 and mass[k] > total / 2]
+            want[host] = ({frozenset(v) for v in classes}, max(large)[2] if large else None)
+    assert found == want and any(m for _, m in want.values())
+
+
+def html_extraction_host(url):
+    return url.split("://", 1)[1].split("/")[0].split("?")[0].split("#")[0].lower()
+
+
+def test_the_template_finds_articles_without_their_marks(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    marked = got(html_extraction.main_text(pages), "page_id", "text")
+    bare = pages.withColumn("html", F.regexp_replace(F.regexp_replace("html", "<article>", "<div>"), "</article>", "</div>"))
+    assert got(html_extraction.main_text(bare), "page_id", "text") == marked
+    twice = got(html_extraction.main_text(pages.unionByName(pages)), "page_id", "text")
+    assert twice == sorted(marked + marked, key=repr) and all(t for _, t in marked)
+
+
 def test_quality_learns_from_its_fold_only(spark):
     r = random.Random(3)
     word = lambda: "".join(r.choice("aeioutnrs") for _ in range(r.randint(2, 8)))

@@ -242,14 +242,14 @@ def test_html_main_text():
 
 def test_template_text_goes_where_no_article_is_marked():
     pages = [f"<div><p>Welcome to us</p><span>Call now</span></div><div><p>Story {i} about {i * 7}</p></div><div><p>All rights kept</p></div>" for i in range(5)]
-    keys = [html_extraction.counts(p) for p in pages]
+    keys = [{k: n for k, (n, *_) in html_extraction.counts(p).items()} for p in pages]
     same = {k for k in keys[0] if all(c.get(k) == keys[0][k] for c in keys)}
     classes = {k: keys[0][k] for k in same}
     assert html_extraction.extract(pages[2], classes) == "Story 2 about 14"
 
 
 def template_of(pages):
-    keys = [html_extraction.counts(p) for p in pages]
+    keys = [{k: n for k, (n, *_) in html_extraction.counts(p).items()} for p in pages]
     same = {k for k in keys[0] if all(c.get(k) == keys[0][k] for c in keys)}
     return {k: keys[0][k] for k in same}
 
@@ -266,6 +266,12 @@ def test_slots_decide_where_articles_are_marked():
     assert html_extraction.extract(pages[0], template_of(pages)) == "One story"
 
 
+def test_html_of_great_depth_and_many_ends():
+    assert html_extraction.extract("<div>" * 50_000 + "x") == "x"
+    assert html_extraction.extract("</b></div><p>" * 50_000 + "x") == "x"
+    assert html_extraction.extract("<p>a</i></section>b" * 3) == "a\nb\na\nb\na\nb"
+
+
 def test_quality_model_without_labels_is_constant():
     m = quality.Model(b"", b"", 0.0, 0.0, 0.4).open()
     assert m.score(b"") == m.score(b"any text") == pytest.approx(1 / (1 + np.exp(-0.4)))
