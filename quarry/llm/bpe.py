@@ -13,6 +13,7 @@ import json
 import mmap
 import re
 import tempfile
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -28,10 +29,12 @@ from pyspark.sql import functions as F
 from quarry.llm.common import settle
 from quarry.llm.token_counts import PATTERN, byte_of
 
-#: Words in the lexicon, with and without a blank before; this bounds it on the driver and in the broadcast.
-LEXICON = 65_536
-#: Pieces that a worker remembers besides the lexicon.
+#: Words in the lexicon, with and without a blank before, and characters of a word; both bound it on the driver and in the broadcast. Longer words are merged exactly.
+LEXICON, LONGEST = 65_536, 64
+#: Pieces that a worker remembers besides the lexicon; they make way for newer ones in two generations.
 MEMO = 150_000
+#: Tokens that are decoded at once.
+AT_ONCE = 1 << 18
 
 _slow = regex.compile(PATTERN)
 _latin = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -56,8 +59,10 @@ class Vocabulary:
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.id_of = {spell(k): v for k, v in spec["model"]["vocab"].items() if k not in self.special}
         self.core = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=self.id_of, special_tokens={})
-        self.number = list(range(len(self.id_of) + len(self.special)))  # one object for each id
         self.bytes_of = {v: k for k, v in self.id_of.items()} | {v: k.encode() for k, v in self.special.items()}
+        known = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.spelt, self.size = np.frombuffer(b"".join(known), np.uint8), np.array([len(x) for x in known])
+        self.start = np.cumsum(self.size) - self.size
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merge(self, piece: str) -> list[int]:
@@ -67,6 +72,16 @@ class Vocabulary:
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of the ids up to each of `ends`, which begins with 0."""
+        parts = []
+        for i in range(0, len(ids), AT_ONCE):
+            size, start = self.size[ids[i : i + AT_ONCE]], self.start[ids[i : i + AT_ONCE]]
+            at = np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+            parts.append(self.spelt[at].tobytes())
+        spelt, to = b"".join(parts), np.append(0, np.cumsum(self.size[ids]))[ends].tolist()
+        return [spelt[a:b].decode("utf-8", "replace") for a, b in zip(to, to[1:])]
+
 
 def compile_lexicon(words: list[bytes], outputs: list[list[int]]) -> bytes:
     """The minimal acyclic transducer of `words` (distinct) as flat arrays in one block of bytes.
@@ -147,35 +162,36 @@ class Lexicon:
 
 
 class Coder:
-    """Encodes and decodes texts: memory of recent pieces, then the lexicon, then exact merges."""
+    """Encodes texts: memory of recent pieces, then the lexicon, then exact merges. Ids are four bytes each."""
 
     def __init__(self, path: str, block: bytes | None):
         self.vocabulary = Vocabulary(path)
         self.lexicon = Lexicon(block) if block else None
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def piece(self, text: str) -> tuple[int, ...]:
-        ids = self.lexicon.get(text.encode()) if self.lexicon else None
+    def piece(self, text: str) -> bytes:
+        ids = self.old.get(text)
         if ids is None:
-            ids = self.vocabulary.merge(text)
+            found = self.lexicon.get(text.encode()) if self.lexicon else None
+            ids = array("i", self.vocabulary.merge(text) if found is None else found).tobytes()
         if len(self.memo) >= MEMO:
-            self.memo.clear()
-        number = self.vocabulary.number
-        self.memo[text] = ids = tuple([number[i] for i in ids])
+            self.old, self.memo = self.memo, {}
+        self.memo[text] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        special, get, out = self.vocabulary.special, self.memo.get, []
+    def encode(self, text: str) -> bytes:
+        special, out = self.vocabulary.special, []
         for part in self.vocabulary.split.split(text) if self.vocabulary.split and any(s in text for s in special) else [text]:
             if part in special:
-                out.append([special[part]])
-            else:
-                found = pieces(part)
-                ids = list(map(get, found))
-                if None in ids:
-                    ids = [x or get(p) or self.piece(p) for x, p in zip(ids, found)]
-                out.extend(ids)
-        return list(chain.from_iterable(out))
+                out.append(array("i", [special[part]]).tobytes())
+                continue
+            found, get = pieces(part), self.memo.get
+            try:
+                out.append(b"".join(map(get, found)))
+            except TypeError:  # a piece that isn't remembered
+                out.append(b"".join([get(p) or self.piece(p) for p in found]))
+        return b"".join(out)
 
 
 _coders: dict[tuple, Coder] = {}
@@ -198,7 +214,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for x in b.column(0):
-            seen.update((x.as_py() or "").split())
+            seen.update(w for w in (x.as_py() or "").split() if len(w) <= LONGEST)
             if len(seen) > MEMO:
                 yield out()
                 seen.clear()
@@ -206,7 +222,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, n: int = LEXICON, text_col: str = "text") -> list[str]:
-    """The n most frequent words between white space (ties by the word).
+    """The n most frequent words between white space (ties by the word), of LONGEST characters at most.
 
     Each task counts before the shuffle. A histogram of the counts' logarithms
     shows which counts can be among the n highest; only words of such counts
@@ -219,7 +235,7 @@ def frequent_words(docs: DataFrame, n: int = LEXICON, text_col: str = "text") ->
         least, seen = step, seen + words
         if seen >= n:
             break
-    top = counts.where(F.col("step") >= least).select("word", "n").repartition(1).sortWithinPartitions(F.col("n").desc(), "word").limit(n)
+    top = counts.where(F.col("step") >= least).select("word", "n").orderBy(F.col("n").desc(), "word").limit(n)
     return [r[0] for r in top.collect()]
 
 
@@ -249,11 +265,11 @@ def encode(docs: DataFrame, path: str, lexicon=None, id_col: str = "doc_id", tex
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 ids = [c.encode(x.as_py() or "") for x in part.column(0)]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
-                columns = [*part.columns[1:], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                flat = np.frombuffer(b"".join(ids), np.int32)
+                columns = [*part.columns[1:], pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))]
                 if decode:
-                    columns.append(pa.array([c.vocabulary.decode(x) for x in ids], pa.string()))
+                    columns.append(pa.array(c.vocabulary.decode_all(flat, ends), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [*names, "ids", *["decoded"] * decode])
 
     return docs.select(F.col(text_col).alias("_text"), *names).mapInArrow(run, schema)

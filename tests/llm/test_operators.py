@@ -295,6 +295,7 @@ def test_frequent_words_are_those_of_the_whole_corpus(spark):
     rows = [(i, "a a a b b c " + f"z{i}") for i in range(50)]
     assert bpe.frequent_words(table(spark, rows), 3) == ["a", "b", "c"]
     assert bpe.frequent_words(table(spark, rows), 5) == ["a", "b", "c", "z0", "z1"]
+    assert bpe.frequent_words(table(spark, [(i, "漢" * 70 + " ab") for i in range(9)]), 5) == ["ab"]  # no whole texts on the driver
 
 
 def test_secrets(spark):

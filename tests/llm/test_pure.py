@@ -44,11 +44,25 @@ def test_bpe_equals_the_library_and_comes_back(library):
     assert lexicon.get(b"not a word") is None and lexicon.get(b"") is None
     for coder in (bpe.Coder(PATH, block), bpe.Coder(PATH, None)):
         for x in odd_texts(300, 3):
-            ids = coder.encode(x)
+            ids = np.frombuffer(coder.encode(x), np.int32).tolist()
             assert ids == library.encode(x, add_special_tokens=False).ids
             assert coder.vocabulary.decode(ids) == library.decode(ids, skip_special_tokens=False) == x
 
 
+def test_pieces_make_way_and_come_back(library, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 7)
+    monkeypatch.setattr(bpe, "AT_ONCE", 5)
+    coder, texts = bpe.Coder(PATH, None), odd_texts(60, 3)
+    ids = [np.frombuffer(coder.encode(x), np.int32) for x in texts + texts]
+    assert [x.tolist() for x in ids] == [library.encode(x, add_special_tokens=False).ids for x in texts] * 2
+    assert len(coder.memo) <= 7 and len(coder.old) <= 7
+    ends = np.cumsum([0, *map(len, ids)])
+    assert coder.vocabulary.decode_all(np.concatenate(ids), ends) == [library.decode(x.tolist(), skip_special_tokens=False) for x in ids]
+    assert coder.vocabulary.decode_all(np.empty(0, np.int32), np.array([0, 0, 0])) == ["", ""]
+    broken = np.array([coder.vocabulary.id_of["é".encode()[:1]]], np.int32)
+    assert coder.vocabulary.decode_all(broken, np.array([0, 1])) == [library.decode(broken.tolist(), skip_special_tokens=False)]
+
+
 def test_lexicon_shares_suffixes():
     words = [a + b for a in ("ab", "cd", "ef", "gh") for b in ("ation", "ing", "ed")]
     block = bpe.compile_lexicon([w.encode() for w in words], [[i] for i in range(len(words))])
