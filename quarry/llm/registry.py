@@ -156,7 +156,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 #: Letters of the names in either case are spelt out; runs are found whole and short ones dropped.
 OP9_SQL = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS k, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS text FROM documents
+  SELECT row_number() OVER () AS k, doc_id, coalesce(source, '') AS owner, concat_ws('/', source, lang) AS repository, coalesce(text, '') AS text FROM documents
 ), patterns(kind, pattern, least) AS (
   VALUES (0, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
     (1, '(AKIA[A-Z0-9]+)', 20), (2, '([0-9a-f]+)', 24), (3, '([A-Za-z0-9+/_-]+)', 24)
@@ -169,14 +169,14 @@ WITH d AS (
   SELECT k, kind, v, least, m, (sum(length(b) + length(m)) OVER (PARTITION BY k, kind ORDER BY i))::BIGINT AS e FROM each
 ), fit AS (
   SELECT k, kind, v, e - length(m) AS s, e FROM spans
-  WHERE length(v) >= least AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')))
+  WHERE length(v) >= least AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')))
 ), kept AS (
   SELECT * FROM fit f WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM fit g WHERE g.k = f.k AND g.kind < 3 AND g.s < f.e AND f.s < g.e)
 ), owners AS (
-  SELECT v, count(DISTINCT owner) AS owners FROM kept JOIN d USING (k) GROUP BY v
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT repository) AS repositories FROM kept JOIN d USING (k) GROUP BY v
 ), said AS (
   SELECT k, kind, s, CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'owned' END || ':' || s || ':' || e AS span
-  FROM kept JOIN owners USING (v) WHERE kind < 3 OR owners <= 1
+  FROM kept JOIN owners USING (v) WHERE kind < 3 OR owners <= 1 AND repositories <= 3
 ), per AS (
   SELECT k, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
     string_agg(span, ',' ORDER BY s, kind) FILTER (WHERE kind < 3) AS base, string_agg(span, ',' ORDER BY s, kind) AS spans

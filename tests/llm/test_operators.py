@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarry.llm import bpe, components, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
+from quarry.llm import bpe, common, components, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 #: Columns whose names clash with those that the operators use inside.
@@ -314,6 +314,58 @@ def test_secrets(spark):
     assert masked[1] == 'é [SECRET]" [SECRET]' and masked[2] == "[SECRET] and [SECRET]" and masked[4] is None and masked[7] == rows[6][1]
 
 
+def test_secrets_are_judged_by_owners_and_repositories(spark):
+    keys = [f"Key{i}Abc123Abc123Abc123Abc{i}" for i in range(4)]
+    rows = [(i, f"x {keys[0]} y", f"s/{i}") for i in range(4)] + [(10 + i, f"x {keys[1]}", f"s/{i}") for i in range(3)] + [(20, keys[2], "s/1"), (21, keys[2], "t/1"), (22, "see/some/path-to-a-page-1234567890/ there", "s/1")]
+    docs = table(spark, rows)
+    out = secrets.scan(docs, repository=F.col("source"), owner=F.substring_index("source", "/", 1))
+    assert {r.doc_id for r in out.where(F.size("spans") > 0).collect()} == {10, 11, 12}
+
+
+@pytest.mark.parametrize("fold", [1, 3, 256])
+def test_secrets_of_long_texts(spark, monkeypatch, fold):
+    import re
+
+    monkeypatch.setattr(secrets, "FOLD", fold)
+    r = random.Random(fold)
+    parts = ["é ", "token=abcdef1 ", "AKIA" + "Z" * 16 + " ", "0123456789abcdef01234567 ", "Xy1" * 9 + " ", "password: '0123456789abcdef0123456789'", "-"]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.choice([0, 1, 5, 40, 400]))), "s") for i in range(30)]
+    found = {x.doc_id: x for x in secrets.scan(table(spark, rows)).select("doc_id", secrets.listed(F.col("base")).alias("base"), secrets.listed(F.col("spans")).alias("spans")).collect()}
+    hidden = {x.doc_id: x.text for x in secrets.redact(table(spark, rows)).collect()}
+    owners = {}
+    for i, text, _ in rows:
+        base = [(m.start(), 0, m.end()) for m in re.finditer(secrets.ASSIGN, text) if len(m.group(2)) >= 6]
+        base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20] + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+        wide = [(m.start(), 3, m.end()) for m in re.finditer("[A-Za-z0-9+/_-]+", text) if len(m.group()) >= 24 and all(re.search(p, m.group()) for p in ("[0-9]", "[a-z]", "[A-Z]")) and not any(s < m.end() and m.start() < e for s, _, e in base)]
+        tell = lambda spans: ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
+        assert found[i].base == tell(base) and found[i].spans == tell(base + wide)
+        out, at = "", 0
+        for s, _, e in sorted(base + wide):
+            if s >= at:
+                out += text[at:s] + "[SECRET]"
+            at = max(at, e)
+        assert hidden[i] == out + text[at:]
+
+
+def test_a_long_text_of_secrets_takes_no_quadratic_time(spark):
+    import time
+
+    docs = table(spark, [(1, "token=abcdef1 Xy1Xy1Xy1Xy1Xy1Xy1Xy1Xy1Xy1 0123456789abcdef01234567 " * 20_000, "s")]).coalesce(1)
+    began = time.time()
+    assert secrets.redact(docs).first().text.count("[SECRET]") == 60_000
+    assert time.time() - began < 60
+
+
+def test_hot_keys_are_joined_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 3)
+    monkeypatch.setattr(common, "SHARE", 10)
+    rows = spark.createDataFrame([(i, "a" if i % 2 else f"k{i % 7}" if i % 3 else None) for i in range(60)], "i long, k string")
+    known = spark.createDataFrame([("a", 1), ("k1", 2), ("k2", 3)], "k string, v long")
+    out = common.join_hot(rows, known, ["k"])
+    assert got(out, "i", "k", "v") == got(rows.join(known, "k", "left"), "i", "k", "v")
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_url_filters(spark):
     rules = spark.createDataFrame([("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("example.com", "/en/7", "allow"), ("a.example.com", "", "block"), ("com", None, "block")], "host string, path string, verdict string")
     urls = ["http://EXAMPLE.com/en/7?x", "https://m.example.com/en/71#a", "http://a.example.com", "x://community/en/7", "http://other.com/en/7", "nothing", None, "http://com/en", "http://b.a.example.com/en/7", "http://example.com/en/7/x://y"]
