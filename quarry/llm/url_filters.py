@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ascii_lower, partitions
+from quarry.llm.common import ascii_lower, join_hot, partitions
 
 #: Above every key that starts with a given prefix: no UTF-8 text has this byte.
 TOP = b"\xff"
@@ -105,7 +105,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     has an empty host and path. Other columns are not read.
     """
     spark = pages.sparkSession
-    urls = pages.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
+    urls = pages.select(F.col(id_col).alias("_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     places = urls.select("host", "path").distinct()
     nothing = F.lit(None).cast("string")
     places = places.select(F.explode(_suffix_keys(F.col("host"), F.col("path"))).alias("key"), F.lit(1).alias("kind"), "host", "path", nothing.alias("rule"), nothing.alias("verdict"))
@@ -118,8 +118,9 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     bounds = sorted({sample[i * len(sample) // n] for i in range(1, n)}) if sample else []
     kinds = [("part", pa.int32()), ("key", pa.string()), ("kind", pa.int32()), *((c, pa.string()) for c in ("host", "path", "rule", "verdict"))]
     dealt = places.unionByName(rules).mapInArrow(_dealer(bounds, pa.schema(kinds)), "part int, key string, kind int, host string, path string, rule string, verdict string")
-    found = dealt.repartition(n, "part").sortWithinPartitions("part", "key", "kind").mapInArrow(_sweep, "host string, path string, rule string, verdict string")
+    found = dealt.repartitionById(n, "part").sortWithinPartitions("part", "key", "kind").mapInArrow(_sweep, "host string, path string, rule string, verdict string")
     best = found.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), F.coalesce(F.instr("rule", "/"), F.lit(0)).alias("h"), "rule", "verdict")).alias("best"))
-    best = best.select(F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("_verdict"))
-    out = urls.join(best, (urls["host"] == best["_host"]) & (urls["path"] == best["_path"]), "left")
-    return out.select(id_col, "host", "path", "rule", F.coalesce("_verdict", F.lit(default)).alias("verdict"))
+    best = best.select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("_verdict"))
+    # A url that very many rows have, or null, isn't gathered in one task.
+    out = join_hot(urls, best, ["host", "path"])
+    return out.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("_verdict", F.lit(default)).alias("verdict"))
