@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -34,9 +36,12 @@ def canonical(text: str) -> bytes:
     return " ".join(text.split()).encode()
 
 
-def digest(form: bytes, wide: bool = False) -> str:
+Hash = Callable[[bytes], str]
+
+
+def digest(form: bytes, wide: bool = False, narrow: Hash = xxhash.xxh3_128_hexdigest) -> str:
     """128-bit xxhash in hex; the wide digest adds SHA-256."""
-    return xxhash.xxh3_128_hexdigest(form) + (hashlib.sha256(form).hexdigest() if wide else "")
+    return narrow(form) + (hashlib.sha256(form).hexdigest() if wide else "")
 
 
 def edit(text: str, other: str) -> str:
@@ -45,8 +50,8 @@ def edit(text: str, other: str) -> str:
     return text[: len(text) - n] + other[:n]
 
 
-def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint, n_same): n_same rows share the canonical form.
+def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", narrow: Hash = xxhash.xxh3_128_hexdigest) -> DataFrame:
+    """(id, fingerprint, n_same): n_same rows share the canonical form, whose hash `narrow` gives.
 
     A null text counts as empty, and all empty texts share one fingerprint.
     Null ids, repeated ids and repeated rows stay rows of their own; an empty
@@ -56,24 +61,24 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def prints(wide: bool) -> DataFrame:
-        return texts.mapInArrow(_digests(wide), f"id {kind}, fingerprint string")
+        return texts.mapInArrow(_digests(wide, narrow), f"id {kind}, fingerprint string")
 
-    narrow = settle(prints(False))
-    out = prints(True) if clash(texts, narrow) else narrow
+    first = settle(prints(False))
+    out = prints(True) if clash(texts, first, narrow) else first
     same = out.groupBy("fingerprint").agg(F.count("*").alias("n_same"))
     return out.join(same, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "n_same")
 
 
-def _digests(wide: bool):
+def _digests(wide: bool, narrow: Hash):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = pa.array([digest(canonical(x), wide) for x in b.column(1).to_pylist()], pa.string())
+            found = pa.array([digest(canonical(x), wide, narrow) for x in b.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0), found], ["id", "fingerprint"])
 
     return run
 
 
-def clash(texts: DataFrame, prints: DataFrame) -> bool:
+def clash(texts: DataFrame, prints: DataFrame, narrow: Hash = xxhash.xxh3_128_hexdigest) -> bool:
     """Whether different forms of `texts` (text) share a hash, by comparison of
     the bytes of all forms whose hash occurs more than once in `prints`.
 
@@ -83,16 +88,19 @@ def clash(texts: DataFrame, prints: DataFrame) -> bool:
     """
     several = prints.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select(F.col("fingerprint").alias("h"))
     several = settle(several)
-    hashed = texts.select("text").mapInArrow(_with_hash, "h string, text string")
+    hashed = texts.select("text").mapInArrow(_with_hash(narrow), "h string, text string")
     if several.count() * 64 <= BROADCAST_BYTES:
         several = F.broadcast(several)
     forms = hashed.join(several, "h", "left_semi").mapInArrow(_distinct_forms, "h string, form binary")
     return not forms.groupBy("h").agg(F.min("form").alias("a"), F.max("form").alias("z")).where("a <> z").isEmpty()
 
 
-def _with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([digest(canonical(x)) for x in b.column(0).to_pylist()], pa.string()), b.column(0)], ["h", "text"])
+def _with_hash(narrow: Hash):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([digest(canonical(x), False, narrow) for x in b.column(0).to_pylist()], pa.string()), b.column(0)], ["h", "text"])
+
+    return run
 
 
 def _distinct_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,91 +109,146 @@ def _distinct_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in forms], pa.string()), pa.array([x for _, x in forms], pa.binary())], ["h", "form"])
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", narrow: Hash = xxhash.xxh3_128_hexdigest) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likeness.
 
-    The documents stand in descending order of id (null ids last, then texts
-    in ascending order); after the last comes the first. The edited text is
-    `edit(text, next text)`. Out: id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited and near_next, which are 1 where the forms
-    are equal and 0 elsewhere. Null texts count as empty. A single row is its
-    own next. The text is shuffled once, into ranges of ids; the first row of
-    each range goes to the range before it as well, so that no task needs more
-    than its own range.
+    The documents stand in descending order of id, null ids last, those of one
+    id by the xxhash64 of the text; after the last comes the first. The edited
+    text is `edit(text, next text)`. Out: id, n_chars, edited_sha256,
+    fingerprint, edited_fingerprint, near_edited and near_next, which are 1
+    where the forms are equal and 0 elsewhere. Null texts count as empty. A
+    single row is its own next. The text is shuffled once, into ranges of ids,
+    and of hashes within an id that many rows have or lack; equal rows travel
+    as one with their number. The first row of each range goes to the range
+    before it as well, so that no task needs more than its own range.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = partitions(spark)
-    cuts = texts.agg(F.percentile_approx("id", [i / (2 * n) for i in range(1, 2 * n)], 20 * n)).first()[0]
-    cuts = sorted(set(cuts or ()))
-    # The greatest id of each range: ids only, and as many rows as ranges.
-    ids = texts.select("id").mapInArrow(_tops(cuts), f"part int, id {kind}")
-    tops = {r[0]: r[1] for r in ids.groupBy("part").agg(F.max("id")).collect()}
-    order = [F.col("part"), F.col("ghost"), F.col("id").desc_nulls_last(), F.col("text")]
-    dealt = texts.mapInArrow(_deal(cuts, tops), f"part int, ghost boolean, id {kind}, text string").repartition(n, "part").sortWithinPartitions(*order)
+    share = [i / (2 * n) for i in range(1, 2 * n)]
+    cuts, rows, known = texts.agg(F.percentile_approx("id", share, 20 * n), F.count("*"), F.count("id")).first()
+    ranges = Ranges.of(cuts or [], 2 * n * (rows - known) // max(1, rows))
+    hashed = texts.withColumn("h", F.xxhash64("text") if ranges.by_hash else F.lit(0).cast("long"))
+    # The first row of each range: as many as there are ranges.
+    firsts = hashed.select("id", "h").mapInArrow(_firsts(ranges), f"part int, id {kind}, h long")
+    firsts = firsts.groupBy("part").agg(F.max(F.struct("id", F.bitwise_not("h").alias("back"))).alias("top"))
+    firsts = {r["part"]: (r["top"]["id"], ~r["top"]["back"]) for r in firsts.collect()}
+    order = [F.col("part"), F.col("ghost"), F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
+    dealt = hashed.mapInArrow(_deal(ranges, firsts), f"part int, ghost boolean, id {kind}, text string, copies int")
+    dealt = dealt.repartitionById(n, F.pmod("part", F.lit(n))).sortWithinPartitions(*order)
     schema = f"id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    narrow = settle(dealt.mapInArrow(_compare(False), schema))
-    out = dealt.mapInArrow(_compare(True), schema) if clash(texts, narrow) else narrow
+    first = settle(dealt.mapInArrow(_compare(False, narrow), schema))
+    out = dealt.mapInArrow(_compare(True, narrow), schema) if clash(texts, first, narrow) else first
     return out.withColumnRenamed("id", id_col)
 
 
-def _part(cuts: list, x) -> int:
-    return 0 if x is None else bisect_left(cuts, x)
-
+@dataclass
+class Ranges:
+    """Numbered ranges in the order of the documents: ids between `cuts`, which
+    ascend, and `several` ranges of hashes for a cut that many rows have; the
+    last `nulls` ranges are those of rows without an id."""
+
+    cuts: list
+    several: list[int]
+    nulls: int
+
+    @classmethod
+    def of(cls, cuts: list, nulls: int) -> Ranges:
+        """A value that stands for k quantiles gets k ranges of its own."""
+        found = sorted(Counter(cuts).items())
+        return cls([x for x, _ in found], [k if k > 1 else 0 for _, k in found], max(1, nulls))
+
+    def __post_init__(self):
+        self.by_hash, at = any(self.several) or self.nulls > 1, 1
+        self.own, self.below = [0] * len(self.cuts), [0] * len(self.cuts)
+        for i in range(len(self.cuts) - 1, -1, -1):
+            self.own[i] = at
+            at += self.several[i]
+            self.below[i] = at
+            at += 1
+        self.last = at
+
+    def part(self, x, h: int) -> int:
+        spread = lambda k: (h + (1 << 63)) * k >> 64
+        if x is None:
+            return self.last + spread(self.nulls)
+        i = bisect_left(self.cuts, x)
+        if i == len(self.cuts):
+            return 0
+        return self.own[i] + spread(self.several[i]) if self.several[i] and self.cuts[i] == x else self.below[i]
+
+
+def _firsts(ranges: Ranges):
+    """The first (id, hash) of each range in a batch."""
 
-def _tops(cuts: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found: dict = {}
-            for x in b.column(0).to_pylist():
-                p = _part(cuts, x)
-                if p not in found or found[p] is None or x is not None and x > found[p]:
-                    found[p] = x
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), b.schema.types[0])], ["part", "id"])
+            for x, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                p = ranges.part(x, h)
+                if p not in found or _before((x, h), found[p]):
+                    found[p] = (x, h)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x for x, _ in found.values()], b.schema.types[0]), pa.array([h for _, h in found.values()], pa.int64())], ["part", "id", "h"])
 
     return run
 
 
-def _deal(cuts: list, tops: dict):
-    """Each row to its range; rows of a range's greatest id also, as ghosts, to
-    the next higher range that has rows, or from the highest to the lowest."""
-    held = sorted(tops)
-    above = {p: q for p, q in zip(held, held[1:] + held[:1])}
+def _before(a: tuple, b: tuple) -> bool:
+    """Whether (id, hash) a stands before b."""
+    if a[0] == b[0]:
+        return a[1] < b[1]
+    return b[0] is None or a[0] is not None and a[0] > b[0]
+
+
+def _deal(ranges: Ranges, firsts: dict):
+    """Each row to its range, equal rows of a batch as one; a range's first row
+    also, as a ghost, to the range before that has rows, or from the first to
+    the last."""
+    held = sorted(firsts)
+    before = {q: p for p, q in zip(held[-1:] + held[:-1], held)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_pylist()
-            parts = [_part(cuts, x) for x in ids]
-            ghosts = [i for i, (x, p) in enumerate(zip(ids, parts)) if x == tops[p]]
-            take = pa.array([*range(len(ids)), *ghosts], pa.int64())
-            part = pa.array([*parts, *(above[parts[i]] for i in ghosts)], pa.int32())
-            ghost = pa.array([False] * len(ids) + [True] * len(ghosts))
-            yield pa.RecordBatch.from_arrays([part, ghost, b.column(0).take(take), b.column(1).take(take)], ["part", "ghost", "id", "text"])
+            ids, h = b.column(0).to_pylist(), b.column(2).to_pylist()
+            texts = b.column(1).to_pylist()
+            place: dict[tuple, int] = {}  # of the first of equal rows
+            copies = Counter(place.setdefault(row, i) for i, row in enumerate(zip(ids, texts)))
+            rows = list(copies)
+            parts = [ranges.part(ids[i], h[i]) for i in rows]
+            ghosts = [(i, p) for i, p in zip(rows, parts) if (ids[i], h[i]) == firsts[p]]
+            take = pa.array([*rows, *(i for i, _ in ghosts)], pa.int64())
+            columns = [pa.array([*parts, *(before[p] for _, p in ghosts)], pa.int32()), pa.array([False] * len(rows) + [True] * len(ghosts)), b.column(0).take(take), b.column(1).take(take), pa.array([*copies.values(), *[1] * len(ghosts)], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "ghost", "id", "text", "copies"])
 
     return run
 
 
-def _compare(wide: bool):
+def _compare(wide: bool, narrow: Hash):
     """Rows come by range, each range's own rows first and then its ghosts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # part, ghost, id, text, form and digest of the row before
         for b in batches:
             out: list[list] = [[] for _ in range(7)]
-            for part, ghost, x, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+
+            def tell(x, own: str, form: bytes, found: str, text: str, other: bytes, times: int = 1) -> None:
+                edited = edit(own, text)
+                edited_form = canonical(edited)
+                row = (x, len(own), hashlib.sha256(edited.encode()).hexdigest(), found, digest(edited_form, wide, narrow), float(edited_form == form), float(form == other))
+                for column, v in zip(out, row):
+                    column.extend([v] * times)
+
+            for part, ghost, x, text, copies in zip(*(b.column(i).to_pylist() for i in range(5))):
                 before = last if last and last[0] == part else None
                 if ghost and (before is None or before[1]):
                     continue
                 form = canonical(text)
-                now = (part, ghost, x, text, form, digest(form, wide))
+                now = (part, ghost, x, text, form, digest(form, wide, narrow))
                 if before:
-                    _, _, y, own, own_form, own_digest = before
-                    edited = edit(own, text)
-                    edited_form = canonical(edited)
-                    row = (y, len(own), hashlib.sha256(edited.encode()).hexdigest(), own_digest, digest(edited_form, wide), float(edited_form == own_form), float(own_form == form))
-                    for column, v in zip(out, row):
-                        column.append(v)
+                    tell(*before[2:], text, form)
+                if copies > 1:  # each but the last is followed by its equal
+                    tell(*now[2:], text, form, copies - 1)
                 last = now
             kinds = [b.schema.types[2], pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
             names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]

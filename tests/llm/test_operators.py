@@ -8,6 +8,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -110,10 +111,14 @@ def test_fingerprints_of_odd_rows(spark):
     assert fingerprints.fingerprint(table(spark, ROWS).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("rows", [ROWS, ROWS[:1], [(i, f"text {i % 5} é") for i in range(300)], [(None, None)], []])
+MANY = [(None, f"text {i % 40} é") for i in range(150)] + [(7, f"text {i % 30}") for i in range(200)] + [(i, f"t{i}") for i in range(60)] + [(None, "copy")] * 90
+
+
+@pytest.mark.parametrize("rows", [ROWS, ROWS[:1], [(i, f"text {i % 5} é") for i in range(300)], [(None, None)], [], MANY, MANY[:150], [(7, "same")] * 50])
 def test_fingerprints_with_the_next_document(spark, rows):
     df = table(spark, rows) if rows else table(spark, ROWS).limit(0)
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    signed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1] or "")))
     want = []
     for i, (d, t) in enumerate(order):
         t, nxt = t or "", order[(i + 1) % len(order)][1] or ""
@@ -124,10 +129,26 @@ def test_fingerprints_with_the_next_document(spark, rows):
     assert got(out, "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next") == sorted(want, key=repr)
 
 
-def test_a_clash_of_hashes_is_found_by_bytes(spark, monkeypatch):
+def test_a_clash_of_hashes_is_found_by_bytes(spark):
     texts = spark.createDataFrame([("a",), ("A",), ("b",)], "text string")
-    prints = texts.selectExpr("'same' as fingerprint")
-    assert fingerprints.clash(texts, prints) is False  # real digests don't clash
+    assert fingerprints.clash(texts, texts.selectExpr("'same' as fingerprint")) is False  # real digests don't clash
+    # A hash of one character: forms that share it are told apart by the wide digest.
+    weak = lambda form: hashlib.md5(form).hexdigest()[0]
+    rows = [(i, f"Text {i % 30}") for i in range(60)]
+    found = {r.doc_id: (r.fingerprint, r.n_same) for r in fingerprints.fingerprint(table(spark, rows), narrow=weak).collect()}
+    assert all(n == 2 and found[i][0] == found[(i + 30) % 60][0] and len(f) == 65 for i, (f, n) in found.items()) and len({f for f, _ in found.values()}) == 30
+    out = {r.doc_id: r.fingerprint for r in fingerprints.with_next(table(spark, rows), narrow=weak).collect()}
+    assert out == {i: f for i, (f, _) in found.items()}
+    same = fingerprints.fingerprint(table(spark, rows[:1] * 3), narrow=weak).collect()
+    assert [len(r.fingerprint) for r in same] == [1, 1, 1]  # equal bytes are no clash
+
+
+def test_ranges_share_out_hot_and_missing_ids():
+    ranges = fingerprints.Ranges.of([3, 5, 5, 5, 9], 4)
+    hashes = [-(1 << 63), -1, 0, (1 << 63) - 1]
+    assert [ranges.part(x, 0) for x in (10, 9, 6, 4, 3, 1)] == [0, 1, 1, 5, 6, 6]
+    assert [ranges.part(5, h) for h in hashes] == [2, 3, 3, 4] and [ranges.part(None, h) for h in hashes] == [7, 8, 9, 10]
+    assert not fingerprints.Ranges.of([1, 2], 0).by_hash and fingerprints.Ranges.of([1, 1], 0).by_hash
 
 
 def brute_repeats(rows, length):
