@@ -4,8 +4,9 @@ Two zstandard dictionaries are built from pieces of good and of bad labelled
 texts. A text is compressed piece by piece with either; the difference of the
 sizes over the text's length tells which of the two it resembles. A logistic
 curve, fitted on labelled texts that the dictionaries haven't seen, turns the
-difference into the probability of label 1; how short a text is goes into the
-curve too, as a few bytes tell little.
+difference into the probability of label 1. The length has no say of its own:
+the less text there is, the more the difference gives way to the share of
+label 1 among all labels, which is the score of an empty text.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The fit takes this many documents of each label at most (those of least id hash) and of each its first bytes; scores take whole texts.
-SAMPLE_DOCUMENTS, SAMPLE_BYTES = 3_000, 8_192
+#: The fit takes this many documents of each label at most (those of least id hash), and of a longer text so many pieces, spread over all of it; scores take whole texts.
+SAMPLE_DOCUMENTS, SAMPLE_PIECES = 3_000, 4
 PIECE, DICTIONARY, LEVEL = 2_048, 112_640, 3
-#: A text of so many bytes is half short.
+#: With so many bytes text and share of labels weigh the same.
 SHORT = 128
 
 
@@ -33,13 +34,14 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 
 @dataclass
 class Model:
-    """Dictionaries of label 1 and 0, and the curve: 1 / (1 + exp(-(slope * difference + brevity * shortness + shift)))."""
+    """Dictionaries of label 1 and 0, and the curve: 1 / (1 + exp(-x)) with
+    x = w * (slope * difference + shift) + (1 - w) * prior and the weight w of a text of n bytes, n / (n + SHORT)."""
 
     good: bytes
     bad: bytes
     slope: float
-    brevity: float
     shift: float
+    prior: float
 
     def open(self) -> Model:
         make = lambda d: zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d) if d else None, write_content_size=False, write_dict_id=False)
@@ -55,12 +57,13 @@ class Model:
         return total / max(1, len(text))
 
     def score(self, text: bytes) -> float:
-        x = self.slope * self.difference(text) + self.brevity * shortness(text) + self.shift
+        w = weight(text)
+        x = w * (self.slope * self.difference(text) + self.shift) + (1 - w) * self.prior
         return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
-def shortness(text: bytes) -> float:
-    return 1 / (1 + len(text) / SHORT)
+def weight(text: bytes) -> float:
+    return len(text) / (len(text) + SHORT)
 
 
 def _dictionary(texts: list[bytes], budget: int) -> bytes:
@@ -77,28 +80,33 @@ def _dictionary(texts: list[bytes], budget: int) -> bytes:
         return b"".join(pieces)[-DICTIONARY:]
 
 
-def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
-    """Logistic regression of y on the columns of x by Newton's steps, with smoothed targets and a slight penalty; the shift comes last."""
+def _curve(difference: np.ndarray, w: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and shift by logistic regression with Newton's steps, smoothed targets and a slight penalty."""
     n1, n0 = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    a = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(a.shape[1])
-    w[-1] = np.log((n1 + 1) / (n0 + 1))
-    ridge = np.diag([1e-4] + [0.1] * (len(w) - 2) + [0])
+    a, known, found = np.column_stack([w * difference, w]), (1 - w) * prior, np.zeros(2)
+    ridge = np.diag([1e-4, 1e-4])
     for _ in range(80):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-9 * np.eye(len(w)), a.T @ (target - p) - ridge @ w)
-        w = w + np.clip(step, -20, 20)
+        p = 1 / (1 + np.exp(-np.clip(a @ found + known, -40, 40)))
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge, a.T @ (target - p) - ridge @ found)
+        found = found + np.clip(step, -20, 20)
         if np.abs(step).max() < 1e-7:
             break
-    return [float(v) for v in w]
+    return float(found[0]), float(found[1])
+
+
+def _spread(text: Column) -> Column:
+    """A text, or as many pieces as a sample takes, spread evenly over all of a longer one."""
+    n = F.length(text)
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)), lambda i: F.substring(text, F.floor(i * (n - PIECE) / (SAMPLE_PIECES - 1)).cast("int") + 1, F.lit(PIECE)))
+    return F.when(n <= SAMPLE_PIECES * PIECE, text).otherwise(F.array_join(pieces, ""))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: Column | None = None, sample: int = SAMPLE_DOCUMENTS) -> Model:
     """Learn from labelled rows that aren't held out.
 
     Null ids, labels and texts are left out; a document with several labels
-    counts as its least. Two thirds of the sample make the dictionaries, one
+    or texts counts as its least. Two thirds of the sample make the dictionaries, one
     third the curve. Where a label has no sample the score is the same for all
     texts: the smoothed share of label 1.
     """
@@ -107,30 +115,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).na.drop()
     found: dict[int, list[bytes]] = {}
     for y in (1, 0):
-        # Bounded: ids of least hash, and the first bytes of their texts.
+        # Bounded: ids of least hash, and some pieces of their texts.
         ids = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample).select("id")
-        rows = texts.join(F.broadcast(ids), "id").select(F.xxhash64("id").alias("h"), "id", F.substring("text", 1, SAMPLE_BYTES).alias("text")).collect()
-        found[y] = [r["text"].encode()[:SAMPLE_BYTES] for r in sorted(rows, key=lambda r: (r["h"], r["id"], r["text"]))]
+        rows = texts.join(F.broadcast(ids), "id").select("id", _spread(F.col("text")).alias("text")).groupBy("id").agg(F.min("text").alias("text"))
+        found[y] = [r["text"].encode() for r in sorted(rows.withColumn("h", F.xxhash64("id")).collect(), key=lambda r: (r["h"], r["id"]))]
     good, bad = found[1], found[0]
+    sampled = float(np.log((len(good) + 1) / (len(bad) + 1)))
     if len(good) < 3 or len(bad) < 3:
-        return Model(b"", b"", 0.0, 0.0, float(np.log((len(good) + 1) / (len(bad) + 1))))
+        return Model(b"", b"", 0.0, sampled, sampled)
     train = {y: [t for i, t in enumerate(ts) if i % 3] for y, ts in found.items()}
     budget = min(sum(map(len, ts)) for ts in train.values())
     model = Model(_dictionary(train[1], budget), _dictionary(train[0], budget), 0.0, 0.0, 0.0).open()
     tests = [(t, y) for y, ts in found.items() for t in ts[::3]]
-    x, y = np.array([[model.difference(t), shortness(t)] for t, _ in tests]), np.array([y for _, y in tests])
+    told = (np.array(x) for x in zip(*((model.difference(t), weight(t), y) for t, y in tests)))
+    slope, shift = _curve(*told, sampled)
     # The sample may hold equally many of both labels; the share among all labelled rows shifts the curve.
-    slope, brevity, shift = _curve(x, y)
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    shift += float(np.log(counts[1] / counts[0]) - np.log(len(good) / len(bad)))
-    return Model(model.good, model.bad, slope, brevity, shift)
+    prior = float(np.log((counts[1] + 1) / (counts[0] + 1)))
+    return Model(model.good, model.bad, slope, shift + prior - sampled, prior)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, score) for every row: the probability of label 1, from the whole text alone.
 
-    A null text counts as empty; an empty text gets the curve's value at a
-    difference of 0. Null and repeated ids stay rows of their own. `keep` names
+    A null text counts as empty; an empty text gets the share of label 1. Null and repeated ids stay rows of their own. `keep` names
     columns to carry along. No shuffle.
     """
     names = [id_col, *keep]

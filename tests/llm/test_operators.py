@@ -6,6 +6,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
@@ -295,6 +296,15 @@ def test_quality_learns_from_its_fold_only(spark):
     scores = {x.doc_id: x.score for x in quality.score(docs, model).collect()}
     assert sum((scores[i] >= 0.7) == (i % 3 > 0) for i in range(600)) > 570
     assert all(0 <= s <= 1 for s in scores.values()) and scores[None] == scores[1000]
+    # Text alone scores: the less of it, the nearer the share of label 1, on either side of it.
+    model.open()
+    share = 1 / (1 + np.exp(-model.prior))
+    assert scores[None] == pytest.approx(share)
+    for i in (3, 4):
+        near = [abs(model.score(rows[i][1].encode()[:n]) - share) for n in (2, 40, 400)]
+        assert near == sorted(near)
+    long = spark.createDataFrame([("ab" * 20_000,), ("short",)], "t string").select(quality._spread(F.col("t")).alias("t")).collect()
+    assert [len(r.t) for r in long] == [4 * 2_048, 5]
     flat = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert len({x.score for x in quality.score(docs, flat).collect()}) == 1
 
