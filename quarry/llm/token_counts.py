@@ -2,12 +2,13 @@
 
 Short texts are encoded whole. A huge text is cut into chunks that overlap;
 each chunk is encoded with offsets. Two neighbouring chunks are spliced at a
-position where both have a token boundary between a letter and a blank that a
-letter follows. There the pre-tokeniser always ends one piece and begins the
-next, whatever stands before: no alternative of its pattern takes a letter and
-then a blank. Pieces are merged each on its own, so the tokens on both sides
-are those of the whole text. Where an overlap holds no such position it is
-widened, up to the rest of the text.
+position where both have a token boundary and the pre-tokeniser always ends one
+piece and begins the next, whatever stands before: behind a letter before what
+is none, behind a digit before what is none, and behind another sign, but an
+apostrophe, before a letter, digit or white space. No alternative of its
+pattern goes on there. Pieces are merged each on its own, so the tokens on both
+sides are those of the whole text. Where an overlap holds no such position it
+is widened, up to the rest of the text.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 CHUNK, OVERLAP = 65_536, 512
-SEAM = regex.compile(r"(?<=\p{L}) (?=\p{L})")
+SEAM = regex.compile(r"(?:(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}'])(?=[\s\p{L}\p{N}]))(?=.)", regex.S)
 
 
 def byte_of() -> dict[str, int]:

@@ -35,6 +35,20 @@ def test_token_counts_equal_the_library(library):
         assert e.count(x, 7, 1) == n  # widened overlaps
 
 
+@pytest.mark.parametrize("kind", ["Chinese", "digits", "code", "blanks", "apostrophes"])
+def test_long_texts_of_any_script_are_spliced(library, kind, monkeypatch):
+    r = random.Random(kind)
+    signs = {"Chinese": "漢字文本測試、。", "digits": "0123456789 ,", "code": "abc_(){};=+\n\t  'x", "blanks": "a  \n\t \u3000", "apostrophes": "'s't ll re've'd"}[kind]
+    text = "".join(r.choice(signs) for _ in range(6_000))
+    e, longest = token_counts.Encoder(PATH), []
+    real = e.core
+    monkeypatch.setattr(e, "core", type("Core", (), {"encode_ordinary": lambda self, t: longest.append(len(t)) or real.encode_ordinary(t), "decode_tokens_bytes": real.decode_tokens_bytes})())
+    for chunk, overlap in ((200, 16), (333, 5)):
+        assert e.count(text, chunk, overlap) == len(library.encode(text, add_special_tokens=False).ids)
+    assert max(longest) < 1_000
+    assert e.count("x" * 3_000, 200, 16) == len(library.encode("x" * 3_000, add_special_tokens=False).ids)
+
+
 def test_bpe_equals_the_library_and_comes_back(library):
     words = sorted({w for x in odd_texts(50, 2) for w in bpe.pieces(x)})
     v = bpe.Vocabulary(PATH)
@@ -306,5 +320,5 @@ def test_html_of_great_depth_and_many_ends():
 
 
 def test_quality_model_without_labels_is_constant():
-    m = quality.Model(b"", b"", 0.0, 0.0, 0.4).open()
+    m = quality.Model(b"", b"", 0.0, 0.4, 0.4).open()
     assert m.score(b"") == m.score(b"any text") == pytest.approx(1 / (1 + np.exp(-0.4)))
