@@ -64,9 +64,11 @@ def join_hot(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
     return told.where("_hot").drop("_hot").unionByName(others)
 
 
-def short_batches(spark: SparkSession, rows: int = 1_000) -> None:
-    """Documents are long rows: fewer of them in each Arrow batch keep the
-    memory of executors and Python workers low. A smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def short_batches(spark: SparkSession, rows: int = 1_000, size: int = 16 << 20) -> None:
+    """Documents are long rows: fewer of them, and of their bytes, in each Arrow
+    batch keep the memory of executors and Python workers low. The two settings
+    of the session are lowered and stay so; smaller ones are left alone."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        if not 0 < int(str(spark.conf.get(key)).rstrip("b")) <= most:
+            spark.conf.set(key, str(most))
