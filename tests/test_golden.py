@@ -198,9 +198,7 @@ def test_sections_and_marks():
     plain = markup.Renderer("segment")
     lines = align.marked_sentences(first, Lexer().sentences("Title\n" + "".join(map(plain.render, first.children[:2]))), markup.Renderer("mark"))
     assert [align.new_lines(align.tidy(x)) for x in lines] == ["⌊δTitleδ⌋", "Intro ⌊∗bold∗⌋ one.", "And ⌊>label two>⌋.", "End.\n", "Second ⌊∗para.", "Here∗⌋ now.\n"]
-    assert align.escape("a⌊b") == "a⌊⌊⌋b" and align.match("a b", "ab c") == (3, 3)
-    with pytest.raises(align.Misaligned):
-        align.match("ab", "ac")
+    assert align.escape("a⌊b") == "a⌊⌊⌋b" and align.letters(" a\t b\x00\n") == "ab"
 
 
 @pytest.mark.parametrize(("s", "want"), [("{(Quote+text+a+b)}", "⌊λtext¦a¦b¦Quoteλ⌋"), ("{(Nbtext+)}", "{(Nbtext+)}"), ("{(Nbtext+)} and {(C+t+a)}", "⌊λ)} and {(C¦t¦a¦Nbtextλ⌋"), ("⌊∗⌊/ /⌋∗⌋x", "x"), ("<___⌊δA\nBδ⌋___>", "⌊δA Bδ⌋"), ("<______>p___NL___", "p___NL___")])
