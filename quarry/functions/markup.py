@@ -89,8 +89,7 @@ def parse(title: str, markup: str) -> Node:
             buffer.append(line)
             continue
         flush()
-        level = len(m.group(1)) + 0
-        level = max(2, level)
+        level = max(2, len(m.group(1)))
         while len(open_sections) > 1 and open_sections[-1][0] >= level:
             open_sections.pop()
         head = Node("Heading")
@@ -104,17 +103,81 @@ def parse(title: str, markup: str) -> Node:
 
 def _blocks(text: str, parent: Node) -> None:
     """Paragraphs, lists and tables of a stretch without headings."""
-    text = re.sub(r"^\{\|.*?^\|\}[^\n]*$", lambda m: "\n\0T\n", text, flags=re.S | re.M)
-    for part in re.split(r"\n[ \t]*\n|(?=\n[*#:;])|(?<=[^\n])(?=\n\0T)", text):
+    lines, at, plain = text.split("\n"), 0, []
+    while at < len(lines):
+        if lines[at].lstrip(" \t:").startswith("{|"):
+            _paragraphs("\n".join(plain), parent)
+            plain = []
+            node, at = _table(lines, at)
+            parent.children.append(node)
+        else:
+            plain.append(lines[at])
+            at += 1
+    _paragraphs("\n".join(plain), parent)
+
+
+def _table(lines: list[str], at: int) -> tuple[Node, int]:
+    """The table that begins at a line, and the line behind it; one that isn't closed ends with the text.
+
+    `|-` begins a row, `|+` the caption, `|` and `!` cells, with `||` and `!!`
+    between cells of a line; what stands before a single bar in a cell are its
+    attributes. Lines without a mark go on with the cell. Tables nest.
+    """
+    table, row, cell = Node("Table"), None, None
+    body: list[str] = []
+
+    def close() -> None:
+        if cell is not None and body:
+            _blocks("\n".join(body), cell)
+        body.clear()
+
+    at += 1
+    while at < len(lines):
+        line = lines[at].strip()
+        if line.startswith("{|") and cell is not None:
+            close()
+            node, at = _table(lines, at)
+            cell.children.append(node)
+            continue
+        at += 1
+        if line.startswith("|}"):
+            break
+        if line.startswith(("|-", "|+")):
+            close()
+            row = Node("Row" if line[1] == "-" else "Caption")
+            table.children.append(row)
+            cell = row if line[1] == "+" else None
+            if cell is not None:
+                body.append(_content(line[2:]))
+        elif line[:1] in ("|", "!") and line:
+            close()
+            if row is None or row.cls == "Caption":
+                row = Node("Row")
+                table.children.append(row)
+            for part in re.split(r"\|\||!!" if line[0] == "!" else r"\|\|", line[1:]):
+                close()
+                cell = Node("Cell", tag="th" if line[0] == "!" else "td")
+                row.children.append(cell)
+                body.append(_content(part))
+        else:
+            body.append(lines[at - 1])
+    close()
+    return table, at
+
+
+def _content(cell: str) -> str:
+    """A cell without its attributes: they end at a single bar outside links."""
+    head, bar, rest = cell.partition("|")
+    return (rest if bar and "[[" not in head and "{{" not in head else cell).strip()
+
+
+def _paragraphs(text: str, parent: Node) -> None:
+    """Paragraphs and lists."""
+    for part in re.split(r"\n[ \t]*\n|(?=\n[*#:;])", text):
         items, rest = [], []
         for line in part.split("\n"):
             m = _list.match(line)
-            if line == "\0T":
-                parent.children.append(Node("Table"))
-            elif m:
-                items.append(m)
-            else:
-                rest.append(line)
+            (items if m else rest).append(m or line)
         body = "\n".join(rest).strip()
         if body:
             if re.match(r"<(p|div|blockquote|ul|ol|dl|table|center|pre|article)\b", body, re.I):
@@ -124,18 +187,33 @@ def _blocks(text: str, parent: Node) -> None:
                 _inlines(body, node)
                 parent.children.append(node)
         for m in items:
-            kind = m.group(1)[-1]
-            if kind in "*#":
-                last = parent.children[-1] if parent.children and parent.children[-1].cls == "ItemList" else None
-                if last is None:
-                    last = Node("ItemList")
-                    parent.children.append(last)
-                item = Node("Item")
-                last.children.append(item)
-            else:
-                item = Node("DefinitionTerm" if kind == ";" else "DefinitionDescription")
-                parent.children.append(item)
-            _inlines(m.group(2), item)
+            _item(m.group(1), m.group(2), parent)
+
+
+def _item(marks: str, text: str, parent: Node) -> None:
+    """An item of a list: each mark but the last leads into the last item of the list around it."""
+    for mark in marks[:-1]:
+        if mark in "*#":
+            if not (parent.children and parent.children[-1].cls == "ItemList"):
+                parent.children.append(Node("ItemList"))
+            parent = parent.children[-1]
+            if not parent.children:
+                parent.children.append(Node("Item"))
+            parent = parent.children[-1]
+        elif parent.children and parent.children[-1].cls in ("DefinitionTerm", "DefinitionDescription"):
+            parent = parent.children[-1]
+        else:
+            parent.children.append(Node("DefinitionDescription"))
+            parent = parent.children[-1]
+    if marks[-1] in "*#":
+        if not (parent.children and parent.children[-1].cls == "ItemList"):
+            parent.children.append(Node("ItemList"))
+        item = Node("Item")
+        parent.children[-1].children.append(item)
+    else:
+        item = Node("DefinitionTerm" if marks[-1] == ";" else "DefinitionDescription")
+        parent.children.append(item)
+    _inlines(text, item)
 
 
 def _link(target: str, label: str | None) -> Node:
@@ -246,15 +324,36 @@ def _closing(text: str, at: int) -> int:
     return -1
 
 
+@dataclass(frozen=True)
+class Rule:
+    """What becomes of a class of nodes: keep, remove, purge or replace; marks around it; attributes that the end mark names behind a separator."""
+
+    action: str
+    start: str = ""
+    end: str = ""
+    separator: str = ""
+    parameters: tuple[str, ...] = ()
+
+
+def rules_of(rows) -> dict[str, Rule]:
+    """Rules by lower-case name from rows (name, action, start, end, separator, parameters), as `read_node_rules` gives them."""
+    found = {r["name"].lower(): Rule(r["action"], r["start"] or "", r["end"] or "", r["separator"] or "", tuple(r["parameters"] or ())) for r in rows}
+    return {"node": Rule("remove"), "text": Rule("remove")} | found
+
+
 class Renderer:
-    """Text of nodes by a rule set: `classify`, `segment` or `mark`."""
+    """Text of nodes by a rule set, `classify`, `segment` or `mark`, or by rules of one's own in the manner of one of these."""
 
-    def __init__(self, mode: str = "classify", rules: dict | None = None, extra_newlines: bool = False):
-        self.mode, self.rules, self.extra = mode, rules or RULES[mode], extra_newlines
+    def __init__(self, mode: str = "classify", rules: dict[str, Rule] | None = None, extra_newlines: bool = False):
+        self.mode, self.own, self.rules, self.extra = mode, rules, RULES[mode], extra_newlines
 
     def rule(self, n: Node) -> tuple[str, str, str]:
         if n.cls == "ImageLink" and n.attributes.get("block"):
             return "purge", "", ""
+        if self.own is not None:
+            # By class, else by tag; a node without a rule is kept without marks.
+            r = self.own.get(n.cls.lower()) or self.own.get(n.tag.lower()) or Rule("keep")
+            return r.action, r.start, r.end
         action, start, end = self.rules.get(n.cls, ("keep", "", ""))
         name = n.tag if n.tag and n.tag != "'" else n.cls
         if start is None:
@@ -263,10 +362,36 @@ class Renderer:
         return action, start, end or ""
 
     def parameters(self, n: Node) -> str:
+        """A separator and the values of the attributes that the rule names; missing ones are left out."""
+        if self.own is not None:
+            r = self.own.get(n.cls.lower()) or self.own.get(n.tag.lower()) or Rule("keep")
+            values = [n.attributes[p] for p in r.parameters if n.attributes.get(p)]
+            return "".join(r.separator + v for v in values)
         value = n.attributes.get(PARAMETERS.get(n.cls, ""), None) if self.mode == "mark" else None
         return f"¦{value}" if value else ""
 
     def render(self, n: Node) -> str:
+        return self._classified(n) if self.mode == "classify" else self._plain(n)
+
+    def _classified(self, n: Node) -> str:
+        """Text for classifiers: purged nodes leave nothing, kept ones their text without white space around it."""
+        if n.cls == "Text":
+            return n.text
+        action, start, end = self.rule(n)
+        if action == "purge":
+            return ""
+        if action == "replace":
+            out = start
+        elif action == "keep" and n.cls in NO_CLOSE:
+            return start.replace(">", " />") + "\n" if self.own is None else start + "\n"
+        else:
+            out = "".join(map(self.render, n.children))
+            if action == "keep":
+                out = out.strip()
+                out = start + out + end if out else ""
+        return out + "\n" if out and n.cls in BLOCK else out
+
+    def _plain(self, n: Node) -> str:
         if n.cls == "Text":
             return n.text
         action, start, end = self.rule(n)
@@ -297,7 +422,7 @@ class Renderer:
         return n.text if n.cls == "Article" else "".join(map(self.render, n.children[0].children)).strip()
 
 
-def sections(title: str, markup: str, mode: str = "classify", rules: dict | None = None) -> list[dict]:
+def sections(title: str, markup: str, mode: str = "classify", rules: dict[str, Rule] | None = None) -> list[dict]:
     """(sec_idx, level, title, heading, content, n_par) of an article in order; sections stand on their own."""
     root, r = parse(title, markup), Renderer(mode, rules)
     out: list[dict] = []

@@ -36,13 +36,13 @@ def _each_page(pages: DataFrame, title: str, markup: str, columns: dict[str, pa.
     return pages.select(F.col(title).alias("title"), F.col(markup).alias("markup")).mapInArrow(run, _schema(columns))
 
 
-def sections_of(pages: DataFrame, title: str = "title", markup: str = "markup", mode: str = "classify") -> DataFrame:
+def sections_of(pages: DataFrame, title: str = "title", markup: str = "markup", mode: str = "classify", rules: dict[str, wiki.Rule] | None = None) -> DataFrame:
     """The sections of every page in order. A page that can't be read gives one
-    row with `error`; null markup gives no row."""
+    row with `error`; null markup gives no row. `rules` replace those of the mode."""
 
     def rows_of(name: str | None, text: str) -> list[dict]:
         try:
-            return [{"title": name, "sec_title": s["title"], **{k: v for k, v in s.items() if k != "title"}} for s in wiki.sections(name or "", text, mode)]
+            return [{"title": name, "sec_title": s["title"], **{k: v for k, v in s.items() if k != "title"}} for s in wiki.sections(name or "", text, mode, rules)]
         except (ValueError, RecursionError) as e:
             return [{"title": name, "error": f"{type(e).__name__}: {e}"}]
 
@@ -50,8 +50,15 @@ def sections_of(pages: DataFrame, title: str = "title", markup: str = "markup",
 
 
 def nodes_of(pages: DataFrame, title: str = "title", markup: str = "markup") -> DataFrame:
-    """The tree of every page in pre-order, a row a node."""
-    return _each_page(pages, title, markup, NODES, lambda t, m: [n | {"title": t} for n in wiki.nodes(t or "", m)])
+    """The tree of every page in pre-order, a row a node. A page that can't be read gives one node of class Error."""
+
+    def rows_of(name: str | None, text: str) -> list[dict]:
+        try:
+            return [n | {"title": name} for n in wiki.nodes(name or "", text)]
+        except (ValueError, RecursionError) as e:
+            return [{"title": name, "node_id": 0, "parent_id": -1, "depth": 0, "cls": "Error", "tag": "", "is_block": False, "text": f"{type(e).__name__}: {e}"}]
+
+    return _each_page(pages, title, markup, NODES, rows_of)
 
 
 def expanded(pages: DataFrame, bodies: dict[str, str], actions: dict[str, str], redirects: dict[str, str] | None = None, default: str = "expand") -> DataFrame:
@@ -75,7 +82,10 @@ def expanded(pages: DataFrame, bodies: dict[str, str], actions: dict[str, str],
             rows = []
             for title, text in zip(b["title"], b["markup"]):
                 e = Expander(bodies.get, lambda n: actions.get(n, default), canonical)
-                made = None if text is None else e.run(text)
+                try:
+                    made = None if text is None else e.run(text)
+                except RecursionError:  # such a page is left as it is
+                    made = text
                 rows.append((title, made, [{"name": n, "direct": d} for n, d in e.calls]))
             yield pd.DataFrame(rows, columns=["title", "markup", "calls"])
 
@@ -93,7 +103,11 @@ def marked_lines(pages: DataFrame, language: str = "en") -> DataFrame:
             for title, text, keep in zip(b["title"], b["markup"], b["keep"]):
                 parts = dict((k["sec_idx"], k["whole"]) for k in keep)
                 lines: list[str] = []
-                for i, n in enumerate(align.article_tree(title or "", text)):
+                try:
+                    tree = align.article_tree(title or "", text)
+                except (ValueError, RecursionError):  # such a page has no lines
+                    tree = []
+                for i, n in enumerate(tree):
                     if i not in parts:
                         continue
                     if not parts[i]:

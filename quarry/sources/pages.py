@@ -37,13 +37,32 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("ord", F.trim(parts[0]).alias("pattern"), F.lower(F.trim(F.get(parts, F.lit(1)))).alias("action")).where("pattern <> '' and action <> ''")
 
 
-def read_config(text: str) -> dict[str, str]:
-    """`key = value` lines; all after `#` is a comment."""
+def read_node_rules(spark: SparkSession, path: str) -> DataFrame:
+    """(name, action, start, end, separator, parameters) of a tab-separated file whose first line is a header.
+
+    Rows without name or action are notes. Without a start mark, kept nodes get
+    `<Name>` and `</Name>`, replaced ones `<Name />`, others nothing; a start
+    mark alone has no end mark. `markup.rules_of` makes rules of the rows.
+    """
+    parts = F.split("value", "\t")
+    cell = lambda i: F.coalesce(F.get(parts, F.lit(i)), F.lit(""))
+    rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("_n", "value")).where("_n > 0")
+    rows = rows.select(F.trim(cell(0)).alias("name"), F.lower(F.trim(cell(1))).alias("action"), *(F.trim(cell(i)).alias(c) for i, c in ((2, "start"), (3, "end"), (4, "separator"))), F.filter(F.slice(parts, 6, 100), lambda p: F.trim(p) != "").alias("parameters"))
+    rows = rows.where(F.col("action").isin("keep", "remove", "purge", "replace") & (F.col("name") != ""))
+    bare, kept = F.col("start") == "", F.col("action") == "keep"
+    start = F.when(bare & kept, F.concat(F.lit("<"), "name", F.lit(">"))).when(bare & (F.col("action") == "replace"), F.concat(F.lit("<"), "name", F.lit(" />"))).otherwise(F.col("start"))
+    end = F.when((F.col("end") == "") & bare & kept, F.concat(F.lit("</"), "name", F.lit(">"))).otherwise(F.col("end"))
+    return rows.select("name", "action", start.alias("start"), end.alias("end"), "separator", F.transform("parameters", F.trim).alias("parameters"))
+
+
+def read_config(text: str, folder: str = "") -> dict[str, str]:
+    """`key = value` lines; all after `#` is a comment. With `folder`, values are paths in it unless they are absolute."""
     out = {}
     for line in text.splitlines():
         key, eq, value = line.split("#", 1)[0].partition("=")
         if eq and key.strip():
-            out[key.strip()] = value.strip()
+            value = value.strip()
+            out[key.strip()] = value if not folder or value.startswith("/") or "://" in value else f"{folder.rstrip('/')}/{value}"
     return out
 
 
