@@ -70,6 +70,11 @@ def lines(text: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts)
 
 
+def is_paragraph_break(space: Column) -> Column:
+    """Whether white space holds two line breaks or more."""
+    return F.length(F.regexp_replace(space, "[^\n]", "")) >= 2
+
+
 def simple_sentences(text: Column) -> Column:
     """Sentences by end marks before a capital or digit, without abbreviations."""
     return F.split(F.regexp_replace(text, SENTENCE_END, f"$1$2{ISLAND}$3"), ISLAND)

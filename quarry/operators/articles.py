@@ -109,3 +109,9 @@ def write_corpus(lines: DataFrame, path: str) -> None:
     """One folder of gzipped text for each segment, lines in order."""
     ordered = lines.repartition("seg").sortWithinPartitions("seg", "art_id", "sent_id")
     ordered.select(F.format_string("%05d", "seg").alias("seg"), "line").write.partitionBy("seg").option("compression", "gzip").mode("overwrite").text(path)
+
+
+def without_title_mark(articles: DataFrame, text: str = "text", mark: str = "⌊δ") -> DataFrame:
+    """(articles, missing): how many articles have text, and how many of these lack the mark of their title: a check of what is written."""
+    full = F.length(text) > 0
+    return articles.agg(F.count_if(full).alias("articles"), F.count_if(full & ~F.contains(F.col(text), F.lit(mark))).alias("missing"))

@@ -9,13 +9,39 @@ from pyspark.sql import functions as F
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the session's checkpoint folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    """Cut the lineage with a reliable checkpoint in the folder that the session names in spark.checkpoint.dir.
+    Only on one machine (a local master) a temporary folder serves where it names none."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 
 
+#: Keys of more rows than this, and than one in SHARE of all, are hot: there are SHARE of them at most, which are broadcast.
+HOT, SHARE = 1_000_000, 10_000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """`rows` left join `table`, which has each key of `on` once at most. Null keys meet nothing.
+
+    The rows of a hot key aren't gathered in one task: what `table` has for
+    it is broadcast to them.
+    """
+    total = rows.count()
+    if total <= HOT:  # no key can be hot
+        return rows.join(table, on, "left")
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > max(HOT, total // SHARE))
+    hot = settle(counts.na.drop(subset=on).drop("_n").join(table, on, "left").withColumn("_hot", F.lit(True)))
+    if hot.isEmpty():
+        return rows.join(table, on, "left")
+    told = rows.join(F.broadcast(hot), on, "left")
+    others = told.where("_hot is null").select(*rows.columns).join(table, on, "left")
+    return told.where("_hot").drop("_hot").unionByName(others)
+
+
 def numbered(df: DataFrame, by: str, name: str = "ordinal") -> DataFrame:
     """`df` with dense numbers from 0 in ascending order of column `by`.
 

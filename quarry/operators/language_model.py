@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import characters, symbol
-from quarry.operators.common import settle
+from quarry.operators.common import join_hot, settle
 
 START, END, UNKNOWN = "<s>", "</s>", "<unk>"
 METHODS = ("additive", "witten_bell", "absolute", "kneser_ney", "modified_kneser_ney")
@@ -34,23 +34,25 @@ def line_symbols(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 def scored_ngrams(rows: DataFrame, key: str, order: int) -> DataFrame:
     """(key, ngram, n): for each symbol after `<s>` the longest n-gram up to `order` that ends there, with counts."""
-    size = F.size("w")
-    grams = F.transform(F.sequence(F.lit(2), size), lambda i: F.array_join(F.slice("w", F.greatest(F.lit(1), i - order + 1), F.least(F.lit(order), i)), " "))
-    return rows.select(key, F.explode(grams).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("n"))
+    return rows.select(key, F.explode(_longest(order)).alias("ngram")).groupBy(key, "ngram").agg(F.count("*").alias("n"))
 
 
-def _ngrams(k: int) -> Column:
-    """All n-grams of k symbols of a line."""
-    return F.transform(F.sequence(F.lit(k), F.size("w")), lambda i: F.struct(F.lit(k).alias("ord"), F.array_join(F.slice("w", i - k + 1, k), " ").alias("ngram")))
+def _longest(order: int) -> Column:
+    """For each symbol of a line after `<s>` the longest n-gram up to `order` that ends there."""
+    size = F.size("w")
+    return F.transform(F.sequence(F.lit(2), size), lambda i: F.array_join(F.slice("w", F.greatest(F.lit(1), i - order + 1), F.least(F.lit(order), i)), " "))
 
 
 def ngram_counts(rows: DataFrame, order: int) -> DataFrame:
-    """(ord, ngram, c) of all n-grams up to `order`, without `<s>` alone."""
-    per = []
-    for k in range(1, order + 1):
-        per.append(F.when(F.size("w") >= k, _ngrams(k)).otherwise(F.array().cast("array<struct<ord:int,ngram:string>>")))
-    out = rows.select(F.explode(F.concat(*per)).alias("x")).select("x.ord", "x.ngram")
-    return out.where(F.col("ngram") != START).groupBy("ord", "ngram").agg(F.count("*").alias("c"))
+    """(ord, ngram, c) of all n-grams up to `order`, without `<s>` alone.
+
+    Lines give one n-gram for each symbol; the shorter ones are the ends of
+    these, and counted from the distinct ones.
+    """
+    longest = rows.select(F.explode(_longest(order)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("c"))
+    w = F.split("ngram", " ")
+    ends = F.transform(F.sequence(F.lit(1), F.size(w)), lambda k: F.struct(k.alias("ord"), F.array_join(F.slice(w, F.size(w) - k + 1, k), " ").alias("ngram")))
+    return longest.select(F.explode(ends).alias("x"), "c").groupBy("x.ord", "x.ngram").agg(F.sum("c").alias("c")).select("ord", "ngram", "c")
 
 
 def _context(ngram: Column) -> Column:
@@ -138,29 +140,31 @@ def ngram_scores(grams: DataFrame, model: DataFrame, order: int) -> DataFrame:
     model has, plus the weights of the longer contexts; the last symbol as
     `<unk>` where even that is unknown.
 
-    One join: every n-gram sends its suffixes and contexts as keys.
+    One join: every n-gram sends its suffixes and contexts as keys. The score
+    of `<unk>` is one value, which comes after the join.
     """
     w = F.split("ngram", " ")
     size = F.size(w)
     suffix = F.transform(F.sequence(F.lit(1), size), lambda k: F.struct(k.alias("k"), F.lit("p").alias("use"), F.array_join(F.slice(w, size - k + 1, k), " ").alias("key")))
     context = F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda k: F.struct((k + 1).alias("k"), F.lit("b").alias("use"), F.array_join(F.slice(w, size - k, k), " ").alias("key")))
-    keys = F.concat(suffix, F.when(size > 1, context).otherwise(F.array().cast("array<struct<k:int,use:string,key:string>>")), F.array(F.struct(F.lit(0).alias("k"), F.lit("p").alias("use"), F.lit(UNKNOWN).alias("key"))))
+    keys = F.concat(suffix, F.when(size > 1, context).otherwise(F.array().cast("array<struct<k:int,use:string,key:string>>")))
+    unknown = model.where((F.col("ord") == 1) & (F.col("ngram") == UNKNOWN)).agg(F.max("logp").alias("_unknown"))
     rows = grams.select("ngram", F.explode(keys).alias("x")).select("ngram", "x.k", "x.use", "x.key")
     table = model.select(F.col("ngram").alias("key"), "logp", "bow")
-    hit = rows.join(table, "key")
+    hit = rows.join(table, "key", "left")
     best = F.max(F.when((F.col("use") == "p") & F.col("logp").isNotNull(), F.struct("k", "logp")))
-    weights = F.collect_list(F.when(F.col("use") == "b", F.struct("k", "bow")))
-    found = hit.groupBy("ngram").agg(best.alias("best"), weights.alias("weights"))
-    more = F.aggregate(F.filter("weights", lambda x: x["k"] > F.col("best.k")), F.lit(0.0), lambda a, x: a + x["bow"])
+    weights = F.collect_list(F.when((F.col("use") == "b") & F.col("bow").isNotNull(), F.struct("k", "bow")))
+    found = hit.groupBy("ngram").agg(best.alias("best"), weights.alias("weights")).crossJoin(F.broadcast(unknown))
     # With the last symbol unknown, the context of one symbol backs off as well.
-    return found.select("ngram", (F.col("best.logp") + more).alias("logp"))
+    more = F.aggregate(F.filter("weights", lambda x: x["k"] > F.coalesce(F.col("best.k"), F.lit(0))), F.lit(0.0), lambda a, x: a + x["bow"])
+    return found.select("ngram", (F.coalesce("best.logp", "_unknown") + more).alias("logp"))
 
 
 def text_scores(texts: DataFrame, model: DataFrame, order: int, key: str = "key", text: str = "text") -> DataFrame:
     """(key, logp, n): the sum of log10 probabilities of a text's symbols and line ends, and their number; 0 for an empty text."""
     grams = settle(scored_ngrams(line_symbols(texts, key, text), key, order))
     scores = ngram_scores(grams.select("ngram").distinct(), model, order)
-    sums = grams.join(scores, "ngram").groupBy(key).agg(F.sum(F.col("n") * F.col("logp")).alias("logp"), F.sum("n").alias("n"))
+    sums = join_hot(grams, scores, ["ngram"]).groupBy(key).agg(F.sum(F.col("n") * F.col("logp")).alias("logp"), F.sum("n").alias("n"))
     return texts.select(key).join(sums, key, "left").select(key, F.coalesce("logp", F.lit(0.0)).alias("logp"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
@@ -171,7 +175,7 @@ def classify(texts: DataFrame, clean: DataFrame, dirty: DataFrame, order: int, k
     distinct = grams.select("ngram").distinct()
     c, d = ngram_scores(distinct, clean, order), ngram_scores(distinct, dirty, order)
     delta = c.withColumnRenamed("logp", "lc").join(d.withColumnRenamed("logp", "ld"), "ngram").select("ngram", (F.col("lc") - F.col("ld")).alias("delta"))
-    sums = grams.join(delta, "ngram").groupBy(key).agg(F.sum(F.col("n") * F.col("delta")).alias("score"))
+    sums = join_hot(grams, delta, ["ngram"]).groupBy(key).agg(F.sum(F.col("n") * F.col("delta")).alias("score"))
     out = texts.select(key, text).join(sums, key, "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     return out.select(key, "score", ((F.col("score") > 0) & (F.length(text) > 0)).alias("is_clean"))
 
@@ -219,6 +223,50 @@ def vocabulary_size(model: DataFrame) -> DataFrame:
     return model.where((F.col("ord") == 1) & ~F.col("ngram").isin(START, END, UNKNOWN)).agg(F.count("*").alias("size"))
 
 
+def highest_order(model: DataFrame) -> DataFrame:
+    """(size): the length of the longest n-grams."""
+    return model.agg(F.max("ord").cast("long").alias("size"))
+
+
+def stored_size(model: DataFrame) -> DataFrame:
+    """(bytes, size): how large the model is as ARPA text, in bytes and in words."""
+    size = arpa_lines(model).agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
+    b = F.col("bytes").cast("double")
+    unit = lambda n, name, digits=1: F.concat(F.round(b / 1024**n, digits).cast("string"), F.lit(f" {name}"))
+    return size.select("bytes", F.when(b < 1024, unit(0, "b")).when(b < 1024**2, unit(1, "kb")).when(b < 1024**3, unit(2, "mb")).otherwise(unit(3, "gb", 2)).alias("size"))
+
+
+def tuning_perplexity(clean_texts: DataFrame, dirty_texts: DataFrame, models: dict[str, tuple[DataFrame, DataFrame, int]]) -> DataFrame:
+    """(classifier, ppl_clean, ppl_dirty, avg) for each (clean model, dirty model, order): either model on the texts of its kind."""
+    rows = []
+    for label, (clean, dirty, order) in models.items():
+        both = perplexity(clean_texts, clean, order).select(F.col("ppl").alias("ppl_clean")).crossJoin(perplexity(dirty_texts, dirty, order).select(F.col("ppl").alias("ppl_dirty")))
+        rows.append(both.select(F.lit(label).alias("classifier"), "ppl_clean", "ppl_dirty", ((F.col("ppl_clean") + F.col("ppl_dirty")) / 2).alias("avg")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def tuning_accuracy(scores: DataFrame) -> DataFrame:
+    """(classifier, clean, acc_clean, dirty, acc_dirty) from (classifier, label_clean, score): how many texts there are of either label, and how many are right."""
+    right = lambda clean: F.count_if((F.col("label_clean") == clean) & (F.col("score") > 0 if clean else F.col("score") < 0))
+    counts = (F.count_if("label_clean").alias("clean"), right(True).alias("acc_clean"), F.count_if(~F.col("label_clean")).alias("dirty"), right(False).alias("acc_dirty"))
+    return scores.groupBy("classifier").agg(*counts)
+
+
+def sign_test_of(scores: DataFrame, target: str) -> DataFrame:
+    """(classifier, differing, wins, p, mark) of `target` against every other classifier.
+
+    `scores` has (classifier, key, label_clean, score), a row for each text and
+    classifier; a tie is wrong. Only texts that one of the two gets right
+    count, and `wins` are those that the target does.
+    """
+    right = F.when(F.col("label_clean"), F.col("score") > 0).otherwise(F.col("score") < 0)
+    rows = scores.select("classifier", "key", F.coalesce(right, F.lit(False)).alias("right"))
+    own = rows.where(F.col("classifier") == target).select("key", F.col("right").alias("own"))
+    counts = rows.where(F.col("classifier") != target).join(own, "key").groupBy("classifier").agg(F.count_if(F.col("own") != F.col("right")).alias("differing"), F.count_if(F.col("own") & ~F.col("right")).alias("wins"))
+    p = sign_test(F.col("wins"), F.col("differing"))
+    return counts.withColumn("p", p).withColumn("mark", significance(F.col("p")))
+
+
 def arpa_lines(model: DataFrame) -> DataFrame:
     """(ord, place, line): the model in the ARPA text format, to be written in this order."""
     entry = F.concat(F.format_string("%.6f\t%s", F.coalesce("logp", F.lit(-99.0)), "ngram"), F.when(F.col("bow") != 0, F.format_string("\t%.6f", "bow")).otherwise(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import normalised_heading
+from quarry.functions.text import exploded, normalised_heading
 
 # Titles that end an article's useful part, and titles that are dropped where they come last.
 ENDING_TITLES = ("^related web sites", "^external links", "^bibliography", "^footnotes")
@@ -103,3 +103,18 @@ def islands(lines: DataFrame, group: str, pattern: str = EXPLODED_HEADING_LINE,
     out = lines.withColumn("island", F.sum(F.col("line").rlike(pattern).cast("long")).over(upto))
     rows = out.groupBy(group, "island").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("_rows"))
     return rows.select(group, "island", F.array_join(F.transform("_rows", lambda r: r["line"]), "\n").alias("text"))
+
+
+def file_sections(lines: DataFrame, group: str) -> DataFrame:
+    """(group, island, text) of files of sections (group, line_no, line), each read as its first heading line says: exploded, or not (so are files without any)."""
+    kinds = lines.groupBy(group).agg(is_exploded(lines).alias("_exploded"))
+    told = lines.join(kinds, group)
+    done = islands(told.where("_exploded"), group)
+    plain = islands(told.where(~F.coalesce("_exploded", F.lit(False))), group, HEADING_LINE, drop_marks=True)
+    return done.unionByName(plain.withColumn("text", F.array_join(F.transform(F.split("text", "\n"), exploded), "\n")))
+
+
+def character_totals(sections: DataFrame, content: str = "content") -> DataFrame:
+    """(clean, dirty): the characters of clean and of dirty sections."""
+    size = lambda flag: F.coalesce(F.sum(F.when(F.col(flag), F.length(content))), F.lit(0)).cast("long").alias(flag)
+    return sections.agg(size("clean"), size("dirty"))

@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.common import numbered
+
+#: Fixed pattern: stretches whose template calls don't count.
+RAW = r"(?is)<!--.*?-->|<(nowiki|math|gallery|source|pre|timeline|poem|ref)>.*?</\1>"
+#: Rules of up to this many bytes are broadcast.
+BROADCAST_BYTES = 32 << 20
+#: Fixed signs of the template scanner.
+SCANNER = r"(?s)<!--.*?-->|(?i)</?(?:noinclude|includeonly|onlyinclude)>|\{\{\{|\}\}\}|\{\{|\}\}|\[\[|\]\]|\||[^<{}\[\]|]+|."
+
+
+def without_raw_tags(text: Column) -> Column:
+    """`text` with comments and raw tags, contents included, each as a line break."""
+    return F.regexp_replace(text, RAW, "\n")
+
+
+def scanner_tokens(pages: DataFrame, key: str, text: str = "markup") -> DataFrame:
+    """(key, pos, kind, text): what the template scanner sees: calls, arguments, links and bars, and the text between."""
+    rows = pages.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(SCANNER), F.lit(0))).alias("pos", "text"))
+    kind = F.when(F.col("text").isin("{{", "}}"), "call").when(F.col("text").isin("{{{", "}}}"), "argument").when(F.col("text").isin("[[", "]]"), "link")
+    kind = kind.when(F.col("text") == "|", "bar").when(F.col("text").startswith("<!--"), "comment").when(F.col("text").rlike("(?i)^</?(noinclude|includeonly|onlyinclude)>$"), "tag")
+    return rows.select(key, "pos", kind.otherwise("text").alias("kind"), "text")
+
 
 def resolve_rules(rules: DataFrame, names: DataFrame) -> DataFrame:
     """(name, action): the action of the first rule that meets a name.
 
     `rules` has ord, pattern and action; `/…/` is searched in all `names`
-    (name) in either case of letters, anything else is a name. The rules are a
-    hand-written list, which is sent to every task.
+    (name) in either case of letters, anything else is a name. The patterns are
+    a hand-written list that is sent to every task; one of over BROADCAST_BYTES
+    is refused.
     """
-    rules = F.broadcast(rules)
     is_regex = F.col("pattern").rlike("^/.*/$")
     regex = rules.where(is_regex).select("ord", F.concat(F.lit("(?i)"), F.expr("substring(pattern, 2, length(pattern) - 2)")).alias("_re"), "action")
+    size = regex.agg(F.sum(F.octet_length("_re") + 64)).first()[0] or 0
+    if size > BROADCAST_BYTES:
+        raise ValueError(f"{size} bytes of patterns")
     hits = names.join(F.broadcast(regex), F.expr("rlike(name, _re)")).select("name", "ord", "action")
     literal = rules.where(~is_regex).select(F.col("pattern").alias("name"), "ord", "action")
     return hits.unionByName(literal).groupBy("name").agg(F.min_by("action", "ord").alias("action"))
@@ -35,6 +60,11 @@ def usage_counts(calls: DataFrame) -> DataFrame:
     return calls.groupBy("name").agg(F.count_if("direct").alias("direct"), F.count("*").alias("total"))
 
 
+def usage_summary(calls: DataFrame) -> DataFrame:
+    """(templates, calls, direct, articles) over all calls (article, name, direct)."""
+    return calls.agg(F.count_distinct("name").alias("templates"), F.count("*").alias("calls"), F.count_if("direct").alias("direct"), F.count_distinct("article").alias("articles"))
+
+
 def substring_cover(counts: DataFrame, skip: int = 0, least: int = 4) -> DataFrame:
     """(weight, part, names): parts of template names and the templates that are left to each.
 
@@ -44,8 +74,8 @@ def substring_cover(counts: DataFrame, skip: int = 0, least: int = 4) -> DataFra
     parts that keep several names stay.
     """
     if skip:
-        ranks = Window.orderBy(F.col("direct").desc(), "name")
-        counts = counts.withColumn("_r", F.row_number().over(ranks)).where(F.col("_r") > skip).drop("_r")
+        ranked = numbered(counts.withColumn("_by", F.struct(-F.col("direct"), "name")), "_by", "_r")
+        counts = ranked.where(F.col("_r") >= skip).drop("_by", "_r")
     parts = F.split(F.concat(F.lit("^"), F.lower("name"), F.lit("$")), "[^a-zA-Z0-9_^$]+")
     index = counts.select("name", "direct", F.explode(F.array_distinct(parts)).alias("part")).where(F.length("part") >= least)
     weights = index.groupBy("part").agg(F.sum("direct").alias("weight"), F.count("*").alias("n")).where("n > 1")
