@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.operators.common import join_hot, settle
+
+__all__ = ["ascii_lower", "join_hot", "partitions", "settle", "short_batches", "table"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -16,19 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` with a reliable checkpoint in the folder that
-    the session names in spark.checkpoint.dir. Only on one machine (a local
-    master, as in tests) a temporary folder serves where the session names none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z to lower case; all other letters stay."""
     return F.translate(c, UPPER, LOWER)
@@ -38,32 +26,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-#: Keys of more rows than this, and than one in SHARE of all, are hot: there are SHARE of them at most, which are broadcast.
-HOT, SHARE = 1_000_000, 10_000
-
-
-def join_hot(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
-    """`rows` left join `table`, which has each key of `on` once at most. Null keys meet nothing.
-
-    The rows of a hot key aren't gathered in one task: what `table` has for
-    it is broadcast to them.
-    """
-    total = rows.count()
-    if total <= HOT:  # no key can be hot
-        return rows.join(table, on, "left")
-    counts = rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > max(HOT, total // SHARE))
-    hot = settle(counts.na.drop(subset=on).drop("_n").join(table, on, "left").withColumn("_hot", F.lit(True)))
-    if hot.isEmpty():
-        return rows.join(table, on, "left")
-    told = rows.join(F.broadcast(hot), on, "left")
-    others = told.where("_hot is null").select(*rows.columns).join(table, on, "left")
-    return told.where("_hot").drop("_hot").unionByName(others)
-
-
 def short_batches(spark: SparkSession, rows: int = 1_000, size: int = 16 << 20) -> None:
     """Documents are long rows: fewer of them, and of their bytes, in each Arrow
     batch keep the memory of executors and Python workers low. The two settings

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm import bpe, common, components, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
+from quarry.operators import common as shared
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 #: Columns whose names clash with those that the operators use inside.
@@ -388,8 +389,8 @@ def test_a_long_text_of_secrets_takes_no_quadratic_time(spark):
 
 
 def test_hot_keys_are_joined_by_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(common, "HOT", 3)
-    monkeypatch.setattr(common, "SHARE", 10)
+    monkeypatch.setattr(shared, "HOT", 3)
+    monkeypatch.setattr(shared, "SHARE", 10)
     rows = spark.createDataFrame([(i, "a" if i % 2 else f"k{i % 7}" if i % 3 else None) for i in range(60)], "i long, k string")
     known = spark.createDataFrame([("a", 1), ("k1", 2), ("k2", 3)], "k string, v long")
     out = common.join_hot(rows, known, ["k"])
