@@ -7,7 +7,7 @@ kept. All but the last return the columns of `documents`.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import bpe, decontamination, near_dedup, quality, secrets
@@ -48,8 +48,10 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         return stay
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     same = stay.join(repeated.withColumn("_same", F.lit(True)), "doc_id", "left").withColumn("_same", F.coalesce("_same", F.lit(False)) & has_words)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang", "n_chars"))
-    return same.where(~F.col("_same")).select(*COLUMNS).unionByName(same.where("_same").withColumn("_r", first).where("_r = 1").select(*COLUMNS))
+    # Each task folds the rows of an id before they are sent on.
+    first = same.where("_same").groupBy("doc_id").agg(F.min(F.struct("text", "source", "lang", "n_chars")).alias("_first"))
+    first = first.select("doc_id", *(F.col(f"_first.{c}").alias(c) for c in ("text", "lang", "source", "n_chars")))
+    return same.where(~F.col("_same")).select(*COLUMNS).unionByName(first.select(*COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +64,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts give way to a mask; n_chars follows."""
-    out = secrets.redact(docs, keep=("lang", "source"))
+    out = secrets.redact(docs, repository=F.concat_ws("/", "source", "lang"), owner=F.col("source"), keep=("lang", "source"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
