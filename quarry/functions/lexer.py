@@ -21,6 +21,10 @@ ABBREVIATIONS_EN = "Adj Adm Assoc Bart Brig Capt Capts Cmdr Col Cols Comdr Comm
 ABBREVIATIONS_DE = "Abb Abk Abs Abt allg Anm Art Aufl Bd Bde bes bez bzgl bzw ca Chr dgl Dipl Dr Dres ebd ehem eigtl einschl entspr etc ev evtl exkl Fa ff Fig Fr geb gegr gem ges gest gez ggf Gr Hbf hg Hr Hrn Hrsg hrsg inkl Ing insb insbes Jh Jhd Jhdt Kap kath Lit lt luth Mag max min Mio Mrd mtl nat Nr Nrn od orig phil Pfr Pkt Prof Red Reg resp röm Sr St Std Str tgl Tel theol ua usf usw Verf verh vgl Vol vorm wiss zahlr zool zit zus zzgl Zzt".split()
 ABBREVIATIONS_RU = "акад англ арх бул вв гг гл гор гр греч др ед изд илл им инж исп кап кв км коп лат мед мес мин млн млрд муж нем обл обр ок оп оф пер пл пос поч пр пред прим проф рис род руб рус сб св сев см ср ст стр табл тел тов тр тыс ул ум уч физ фр хим чел шт экз".split()
 
+# Words that keep the hyphen at a line's end, as first or as last part.
+HYPHEN_FIRST_EN = "self one high non well half three low anti two twenty long four re co double forty out thirty ever pre".split()
+HYPHEN_LAST_EN = "up class time year century day five hour run wide haired hand one out two four level long made old six state three war action conscious dimensional down eyed fifth fold foot grade in inch law loving man minded nine owned".split()
+
 SPACE = r"[ \t\xa0\n\x0b\x0c\r]"
 CLOSING, OPENING = r"['\")\]}>«»‹›“”‘’]", r"[(\[{<\"'`»«›‹„‚“”‘’¡¿]"
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -33,7 +37,8 @@ def _any(words) -> str:
 
 @dataclass
 class Lexer:
-    """`hyphens`: None, "drop" or "keep" words that a line end parts; `more` adds abbreviations."""
+    """`hyphens`: None, "drop" or "keep" the hyphens of words that a line end parts; English words that always
+    have one keep it. `more` adds abbreviations."""
 
     language: str = "en"
     sentence_ends: bool = True
@@ -61,8 +66,10 @@ class Lexer:
         www = rf"(?:(?:https?|ftps?|file|news)://|www\.){host}(?:/[^ \t\n-\r\x00-\x1f]+[A-Za-z0-9_/-])?|(?:mailto:)?[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*@{host}"
         hyphen = rf"[-\xad][ \t\xa0]*[\n\x0c\r][ \t\xa0]*"
         rules: list[tuple[str, str]] = []
-        if self.hyphens:
-            rules += [("softhyphen", rf"{word}\xad(?={word})"), ("hyphen", rf"{word}{hyphen}(?=[{lower}])")]
+        self.broken = re.compile(rf"{word}(?:(?:\xad(?=[{letter}])|{hyphen}(?=[{lower}])){word})+")
+        self.cut = re.compile(rf"({hyphen}|\xad)")
+        first, last = (HYPHEN_FIRST_EN, HYPHEN_LAST_EN) if self.language == "en" else ((), ())
+        self.first, self.last = set(first), set(last)
         if self.addresses:
             rules.append(("WWW", www))
         if self.sentence_ends:
@@ -99,8 +106,19 @@ class Lexer:
                     best, name, end = size, n, m.end()
         return name, end
 
+    def _joined(self, m: re.Match) -> str:
+        """The parts of a word without the line ends, and without hyphens unless they are kept."""
+        parts = self.cut.split(m.group())
+        out = parts[0]
+        for before, cut, part in zip(parts[::2], parts[1::2], parts[2::2]):
+            kept = len(cut) > 1 and (self.hyphens == "keep" or before.lower() in self.first or part.lower() in self.last)
+            out += ("-" if kept else "") + part
+        return out
+
     def tokens(self, text: str) -> list[tuple[str, str]]:
         """(type, text) in order; a sentence end is an EOS token without text."""
+        if self.hyphens:
+            text = self.broken.sub(self._joined, text)
         out: list[tuple[str, str]] = []
         at, hold = 0, -1
         while at < len(text):
@@ -122,12 +140,6 @@ class Lexer:
                     at += 1
                 out.append(("EOS", ""))
                 continue
-            if name in ("softhyphen", "hyphen"):
-                part = text[at:end]
-                first = re.match(r"[^\xad\n]*?(?=[-\xad][ \t\xa0]*[\n\x0c\r]|\xad)", part).group()
-                rest = text[end:]
-                text, at = first + ("-" if self.hyphens == "keep" and name == "hyphen" else "") + rest, 0
-                continue
             if name == "HSPACE" and (at == 0 or text[at - 1] in "\n\x0c\r"):
                 name = ""
             if name:
