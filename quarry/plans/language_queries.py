@@ -200,6 +200,18 @@ _CLASSIFIED_ALL = f"""WITH {_LABELLED}, {_words(_ALL, "words")}, {_words("SELECT
   SELECT a.key, length(a.text) AS size, coalesce(sums.score, 0) AS score FROM ({_ALL}) a LEFT JOIN sums ON a.key = sums.key
 )"""
 
+
+
+def with_model(method: str) -> str:
+    """WITH clause that ends in `m`, the model of the clean labelled documents."""
+    return kept(f"WITH {_LABELLED}, {_words('SELECT * FROM t WHERE clean', 'words')}, {_model('words', 'm', method)}")
+
+
+def kept(sql: str) -> str:
+    """Each step is used several times over; kept results spare DuckDB the repetition."""
+    return re.sub(r"\b(\w+) AS \((?=\n)", r"\1 AS MATERIALIZED (", sql)
+
+
 SQL = {
     "explode_text": f"SELECT item_id, array_to_string(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: {_SYMBOL}), ' ') AS exploded FROM benchmark",
     "char_ngram_counts": f"WITH {_words('SELECT doc_id AS key, text FROM documents', 'words')}, {_GRAMS} SELECT ngram, sum(n)::BIGINT AS n, count(*)::BIGINT AS texts FROM g GROUP BY ngram",
@@ -221,7 +233,6 @@ WITH r AS (
   SELECT source, m, w, CASE WHEN w = 0 THEN 1.0 ELSE list_sum(list_transform(range(w, m + 1), lambda k: exp(lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1) - m * ln(2)))) END AS p FROM c
 )
 SELECT source, m AS differing, w AS wins, round(p, 6) AS p, CASE WHEN p <= 0.005 THEN '**' WHEN p <= 0.05 THEN '*' ELSE '' END AS mark FROM p""",
-} | {f"lm_{m}": f"WITH {_LABELLED}, {_words('SELECT * FROM t WHERE clean', 'words')}, {_model('words', 'm', m)} SELECT ord, ngram, round(logp, 6) AS logp, round(bow, 6) AS bow FROM m" for m in lm.METHODS}
+} | {f"lm_{m}": f"{with_model(m)} SELECT ord, ngram, round(logp, 6) AS logp, round(bow, 6) AS bow FROM m" for m in lm.METHODS}
 
-# Each step is used several times over; kept results spare DuckDB the repetition.
-SQL = {name: re.sub(r"\b(\w+) AS \((?=\n)", r"\1 AS MATERIALIZED (", sql) for name, sql in SQL.items()}
+SQL = {name: kept(sql) for name, sql in SQL.items()}

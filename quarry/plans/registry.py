@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarry.plans import language_queries, markup_queries, relational_queries
+from quarry.plans import language_queries, markup_queries, more_queries, relational_queries
 
-MODULES = (relational_queries, language_queries, markup_queries)
+MODULES = (relational_queries, language_queries, markup_queries, more_queries)
 
 
 def queries() -> dict:
