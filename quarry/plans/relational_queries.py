@@ -35,15 +35,16 @@ def namespace_counts(spark, sf_dir):
 
 
 def redirect_closure(spark, sf_dir):
-    """Every document but those at the head of a chain points to the one of a third of its number."""
-    docs = _docs(spark, sf_dir).where("doc_id % 4 <> 0")
+    """Documents of under 1,000 characters point to the one of a third of their number; a longer one ends the chain."""
+    docs = _docs(spark, sf_dir).where("n_chars < 1000")
     return articles.resolve_redirects(docs.select(F.col("doc_id").alias("src"), F.expr("doc_id div 3").alias("dst")))
 
 
 def section_setdiff(spark, sf_dir):
+    """All lines less those of toxic documents, a copy for each."""
     lines = sections.line_sections(_docs(spark, sf_dir))
     rows = lines.select("doc_id", "sec_idx", F.struct("doc_id", "sec_idx").alias("place"), "content")
-    unwanted = lines.where("doc_id % 3 = 0 and sec_idx < 2").select("content")
+    unwanted = lines.join(table(spark, sf_dir, "labels").where("toxic = 1"), "doc_id", "left_semi").select("content")
     return articles.multiset_difference(rows, unwanted, "content", "place").select("doc_id", F.col("sec_idx").cast("long").alias("sec_idx"), "content")
 
 
@@ -70,9 +71,9 @@ def purge_cut(spark, sf_dir):
 
 
 def training_labels(spark, sf_dir):
-    """Labels with limits that fit these tables: dirty from 20 sections under 300 characters."""
+    """Labels by the operator's own limits."""
     rows = sections.line_sections(_docs(spark, sf_dir)).withColumn("n_par", F.length("content") % 7)
-    out = sections.training_labels(rows, sections.heading_stats(rows), common=20, short=300)
+    out = sections.training_labels(rows, sections.heading_stats(rows))
     return out.select("doc_id", F.col("sec_idx").cast("long").alias("sec_idx"), "clean", "dirty")
 
 
@@ -178,11 +179,11 @@ FROM (SELECT source || '/' || doc_id AS title, row_number() OVER (ORDER BY sourc
 SELECT n.ns, (count(d.doc_id) FILTER (WHERE d.lang <> 'de'))::BIGINT AS pages, (count(d.doc_id) FILTER (WHERE d.lang = 'de'))::BIGINT AS redirects
 FROM (SELECT unnest({NAMESPACES}) AS ns) n LEFT JOIN documents d ON d.source = n.ns GROUP BY n.ns""",
     "redirect_closure": """
-WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 3 AS dst FROM documents WHERE doc_id % 4 <> 0),
-w AS (SELECT src, dst FROM e UNION ALL SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src)
-SELECT src, dst AS final, false AS broken FROM w WHERE dst NOT IN (SELECT src FROM e)""",
+WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 3 AS dst FROM documents WHERE n_chars < 1000),
+w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src)
+SELECT w.src, max(w.dst) FILTER (WHERE e.src IS NULL) AS final, max(w.dst) FILTER (WHERE e.src IS NULL) IS NULL AS broken FROM w LEFT JOIN e ON w.dst = e.src GROUP BY w.src""",
     "section_setdiff": f"""
-WITH {_SECTIONS}, u AS (SELECT content, count(*) AS n FROM s WHERE doc_id % 3 = 0 AND sec_idx < 2 GROUP BY content)
+WITH {_SECTIONS}, u AS (SELECT content, count(*) AS n FROM s WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY content)
 SELECT doc_id, sec_idx, content FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, sec_idx) AS copy FROM s) LEFT JOIN u USING (content) WHERE copy > coalesce(n, 0)""",
     "heading_stats": f"WITH {_SECTIONS} SELECT translate(title, '_', '-') AS heading, count(*) AS \"count\", (sum(length(content)) // count(*))::BIGINT AS avg_len FROM s GROUP BY 1",
     "heading_retention": f"""
@@ -203,7 +204,7 @@ WITH {_SECTIONS}, h AS (SELECT translate(title, '_', '-') AS heading, count(*) A
 SELECT doc_id, sec_idx, n <= 1 AND length(content) % 7 >= 4 AS clean,
   CASE WHEN title IN ('Deaths', 'Births', 'Publications') THEN true
     WHEN title IN ('Awards', 'Geography', 'Education', 'Transportation', 'Personal life', 'Family', 'Trivia', 'Results', 'People', 'Achievments', 'Transport') THEN false
-    ELSE NOT regexp_full_match(content, '\\s*') AND n > 20 AND avg_len < 300 END AS dirty
+    ELSE NOT regexp_full_match(content, '\\s*') AND n > 5000 AND avg_len < 750 END AS dirty
 FROM s JOIN h ON translate(s.title, '_', '-') = h.heading""",
     "exploded_islands": f"""
 WITH {_SECTIONS}, i AS (SELECT doc_id, sec_idx, content, (sum(regexp_matches(content, '[^.]{{3}}\\.$')::INT) OVER (PARTITION BY doc_id ORDER BY sec_idx))::BIGINT AS island FROM s), t AS (
