@@ -16,6 +16,8 @@ from quarry.functions.template_calls import Expander
 
 SECTIONS = {"title": pa.string(), "sec_idx": pa.int32(), "level": pa.int32(), "sec_title": pa.string(), "heading": pa.string(), "content": pa.string(), "n_par": pa.int32(), "error": pa.string()}
 NODES = {"title": pa.string(), "node_id": pa.int32(), "parent_id": pa.int32(), "depth": pa.int32(), "cls": pa.string(), "tag": pa.string(), "is_block": pa.bool_(), "text": pa.string()}
+#: Characters of templates, names and actions that are sent to every task.
+TEMPLATE_BYTES = 256 << 20
 SPARK_NAMES = {pa.string(): "string", pa.int32(): "int", pa.bool_(): "boolean"}
 
 
@@ -62,8 +64,12 @@ def nodes_of(pages: DataFrame, title: str = "title", markup: str = "markup") ->
 
 
 def expanded(pages: DataFrame, bodies: dict[str, str], actions: dict[str, str], redirects: dict[str, str] | None = None, default: str = "expand") -> DataFrame:
-    """`pages` (title, markup) with template calls treated. Templates are a small
-    look-up that is sent to every task; `redirects` leads names to canonical ones."""
+    """`pages` (title, markup) with template calls treated. Templates are a look-up
+    that is sent to every task; one of over TEMPLATE_BYTES is refused.
+    `redirects` leads names to canonical ones."""
+    size = sum(len(k) + len(v) for x in (bodies, actions, redirects or {}) for k, v in x.items())
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"{size} characters of templates")
     schema = "title string, markup string, calls array<struct<name:string,direct:boolean>>"
     redirects = redirects or {}
     shared = pages.sparkSession.sparkContext.broadcast((bodies, actions, redirects))

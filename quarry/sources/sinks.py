@@ -23,8 +23,16 @@ def write_model(model: DataFrame, path: str) -> None:
     lines.select(F.col("line").alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
-def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """What `make` gives, kept as Parquet under `path`; made only where nothing is there yet."""
+def content_key(df: DataFrame) -> str:
+    """A name for the rows of a table, whatever their order."""
+    n, x, y = df.select(F.xxhash64(*df.columns).alias("h"), F.hash(*df.columns).cast("long").alias("g")).agg(F.count("*"), F.bit_xor("h"), F.sum("g")).first()
+    return f"{n}-{(x or 0) & (1 << 64) - 1:016x}-{(y or 0) & (1 << 64) - 1:016x}"
+
+
+def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], of: DataFrame | None = None) -> DataFrame:
+    """What `make` gives, kept as Parquet under `path`; made only where nothing is there yet.
+    With `of`, a table that it is made of, in a folder for just these rows."""
+    path = path if of is None else f"{path}/{content_key(of)}"
     if not _exists(spark, path):
         make().write.mode("ignore").parquet(path)
     return spark.read.parquet(path)
@@ -36,9 +44,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_rules(rules: DataFrame, path: str) -> None:
-    """Resolved template actions (name, action) in the `_`-separated form."""
-    rows = rules.orderBy("name").select(F.concat_ws("_", F.translate("name", "_", " "), "action", F.lit("")).alias("value"))
-    rows.coalesce(1).write.mode("overwrite").text(path)
+    """Resolved template actions (name, action) in the `_`-separated form, in order within and across files."""
+    rows = rules.repartitionByRange("name").sortWithinPartitions("name")
+    rows.select(F.concat_ws("_", F.translate("name", "_", " "), "action", F.lit("")).alias("value")).write.mode("overwrite").text(path)
 
 
 def progress(df: DataFrame, name: str, text: str = "text"):

@@ -51,3 +51,16 @@ def test_rules_are_data(spark, tmp_path):
 
 def test_paths_of_a_configuration():
     assert read_config("a = b # c\n# d = e\nf=/g\n", "/h/") == {"a": "/h/b", "f": "/g"} and read_config("a = b") == {"a": "b"}
+
+
+def test_results_are_kept_by_content(spark, tmp_path):
+    from quarry.sources import sinks
+
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(20)], "ord int, pattern string")
+    assert sinks.content_key(rows) == sinks.content_key(rows.repartition(3)) != sinks.content_key(rows.where("ord > 0"))
+    made = []
+    for of in (rows, rows.repartition(2), rows.where("ord > 0")):
+        assert sinks.cached(spark, str(tmp_path / "c"), lambda of=of: made.append(1) or of, of).count() == of.count()
+    assert len(made) == 2
+    sinks.write_rules(spark.createDataFrame([("b_c", "keep"), ("a", "remove")], "name string, action string"), str(tmp_path / "r"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "r")).collect()) == ["a_remove_", "b c_keep_"]
