@@ -23,7 +23,9 @@ BLANK = r"[\x09-\x0d\x1c-\x20]"
 
 def symbols(line: Column) -> Column:
     """`<s>`, the line's characters other than ASCII white space, `</s>`."""
-    return F.concat(F.array(F.lit(START)), F.transform(characters(F.regexp_replace(line, BLANK, "")), symbol), F.array(F.lit(END)))
+    found = characters(F.regexp_replace(line, BLANK, ""))
+    # ASCII characters are their own symbols.
+    return F.concat(F.array(F.lit(START)), F.when(line.rlike(r"\A[\x00-\x7f]*\z"), found).otherwise(F.transform(found, symbol)), F.array(F.lit(END)))
 
 
 def line_symbols(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -39,8 +41,8 @@ def scored_ngrams(rows: DataFrame, key: str, order: int) -> DataFrame:
 
 def _longest(order: int) -> Column:
     """For each symbol of a line after `<s>` the longest n-gram up to `order` that ends there."""
-    size = F.size("w")
-    return F.transform(F.sequence(F.lit(2), size), lambda i: F.array_join(F.slice("w", F.greatest(F.lit(1), i - order + 1), F.least(F.lit(order), i)), " "))
+    # Single look-ups: a slice would copy the line for each symbol. What lies before the line is null, which isn't joined.
+    return F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", *(F.get(F.col("w"), i - k) for k in range(order - 1, -1, -1))))
 
 
 def ngram_counts(rows: DataFrame, order: int) -> DataFrame:
