@@ -86,7 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return more | {"op1_near_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL}
+    return more | {"op1_near_dedup": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op5_html_extraction": OP5_SQL, "op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL}
 
 
 OP1_SQL = r"""
@@ -110,6 +110,43 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_i
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c ON d.doc_id = c.doc_id
 """
 
+#: Bytes are two hex digits each; long texts are cut into pieces, so that each string is found near the beginning of one.
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+  SELECT doc_id, low, substr(h, 2 * low + 1, 1198) AS part FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99, 500)) AS low FROM d WHERE length(h) >= 200)
+), k AS (
+  SELECT doc_id, low + i AS p, md5(substr(part, 2 * i + 1, 200)) AS m FROM (SELECT doc_id, low, part, unnest(range(0, least(500, length(part) // 2 - 99))) AS i FROM blocks)
+), f AS (
+  SELECT m, min({'doc_id': doc_id, 'p': p}) AS earliest FROM k GROUP BY m HAVING count(*) > 1
+), r AS (
+  SELECT k.doc_id, k.p, coalesce(k.p > lag(k.p) OVER (PARTITION BY k.doc_id ORDER BY k.p) + 100, true) AS new
+  FROM k JOIN f USING (m) WHERE {'doc_id': k.doc_id, 'p': k.p} <> f.earliest
+), g AS (
+  SELECT doc_id, p, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r
+), runs AS (
+  SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM g GROUP BY doc_id, run
+), parts AS (
+  SELECT runs.doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY runs.doc_id ORDER BY a), 0) + 1, 2 * (a - coalesce(lag(b) OVER (PARTITION BY runs.doc_id ORDER BY a), 0))) AS part
+  FROM runs JOIN d USING (doc_id)
+), per AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(part, '' ORDER BY a) AS head, max(b) AS upto FROM parts GROUP BY doc_id
+)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
+#: The pages of these tables mark their articles; the text is all that is in them.
+OP5_SQL = r"""
+WITH b AS (
+  SELECT page_id, url, regexp_split_to_array(replace(replace(replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<br>', ' '), '<b>', ''), '</b>', ''), '</?(?:p|h1)>') AS blocks FROM pages
+), t AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda x: trim(regexp_replace(replace(replace(x, '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM b
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM t
+"""
+
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
