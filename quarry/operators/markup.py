@@ -78,9 +78,9 @@ def expanded(pages: DataFrame, bodies: dict[str, str], actions: dict[str, str],
         bodies, actions, redirects = shared.value
 
         def canonical(name: str) -> str | None:
-            for _ in range(20):
-                if name not in redirects:
-                    break
+            seen: set[str] = set()
+            while name in redirects and name not in seen:  # a circle ends where it began
+                seen.add(name)
                 name = redirects[name]
             return name if name in bodies or name in actions else None
 
