@@ -1,4 +1,4 @@
-"""Queries of the ten operators and of the pipeline, and their SQL where SQL can express them."""
+"""Queries of the operators and of the pipeline, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
+from quarry.llm import bpe, decontamination, filter_audit, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
 from quarry.llm.common import short_batches, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +72,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _with_short_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         short_batches(spark)
@@ -81,12 +85,12 @@ def _with_short_batches(query: Callable[[SparkSession, str], DataFrame]) -> Call
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters, op12_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
     more = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return more | {"op1_near_dedup": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op5_html_extraction": OP5_SQL, "op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL}
+    return more | {"op1_near_dedup": OP1_SQL, "op3_suffix_dedup": OP3_SQL, "op5_html_extraction": OP5_SQL, "op4_decontamination": OP4_SQL, "op9_secrets": OP9_SQL, "op10_url_filters": OP10_SQL, "op12_filter_audit": OP12_SQL}
 
 
 OP1_SQL = r"""
@@ -223,3 +227,36 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN per USING (k)
 """
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), first AS (
+  SELECT text, min(doc_id) AS doc_id FROM d GROUP BY text
+), known AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT d.part, coalesce(k.good, 0) AS good, coalesce(k.toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 3 * length(d.text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN first.doc_id < d.doc_id THEN 'E' ELSE '' END AS f
+  FROM d JOIN first ON d.text = first.text LEFT JOIN known k ON d.doc_id = k.doc_id
+), counts AS (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, f
+), letters(x) AS (
+  VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x AND b.x <> e.x AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x
+), each AS (
+  SELECT part, filter_order, step, n, good, toxic, f, substr(filter_order, step, 1) AS letter,
+    contains(f, substr(filter_order, step, 1)) AS fails, translate(f, substr(filter_order, 1, step - 1), '') <> f AS gone
+  FROM counts, orders, (SELECT unnest(range(1, 6))::INT AS step)
+), steps AS (
+  SELECT part, filter_order, step, letter, sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN gone AND fails THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN f = letter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM each GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM steps
+"""
