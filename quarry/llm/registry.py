@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, filter_audit, fingerprints, html_extraction, near_dedup, quality, secrets, suffix_dedup, token_counts, url_filters
+from quarry.llm import bpe, decontamination, filter_audit, fingerprints, html_extraction, near_dedup, periodic_runs, quality, secrets, suffix_dedup, token_counts, url_filters
 from quarry.llm.common import short_batches, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -76,6 +76,19 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    edited = docs.select("doc_id", periodic_runs.repeated_tail(F.coalesce("text", F.lit("")), F.col("doc_id")).alias("text"))
+    found = periodic_runs.collapse(edited)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    found = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), longest.alias("run"), listed.alias("listed"), "collapsed")
+    return found.select(
+        "doc_id", "n_words", "n_runs", (-F.col("run.start")).alias("start"), F.col("run.length").alias("length"), (-F.col("run.period")).alias("period"),
+        F.expr("1000 * run.length div -run.period").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _with_short_batches(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         short_batches(spark)
@@ -85,7 +98,7 @@ def _with_short_batches(query: Callable[[SparkSession, str], DataFrame]) -> Call
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters, op12_filter_audit)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters, op12_filter_audit, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
