@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontamination, filter_audit, fingerprints, html_extraction, near_dedup, periodic_runs, quality, secrets, suffix_dedup, token_counts, url_filters
+from quarry.llm import bpe, decontamination, filter_audit, fingerprints, html_extraction, near_dedup, periodic_runs, pii, quality, secrets, suffix_dedup, token_counts, url_filters
 from quarry.llm.common import short_batches, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,6 +72,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.fit(pii.labelled_lines(docs)))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *map(of_kind, range(len(pii.KINDS))), F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -98,7 +105,7 @@ def _with_short_batches(query: Callable[[SparkSession, str], DataFrame]) -> Call
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters, op12_filter_audit, op13_periodic_runs)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: _with_short_batches(f) for f in (op1_near_dedup, op2_fingerprints, op3_suffix_dedup, op4_decontamination, op5_html_extraction, op6_quality, op7_token_counts, op8_bpe, op9_secrets, op10_url_filters, op11_pii, op12_filter_audit, op13_periodic_runs)}
 
 
 def oracle_sql() -> dict[str, str]:
