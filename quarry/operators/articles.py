@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.common import numbered, settle
+from quarry.operators.common import join_hot, numbered, tabled
 
 #: A page that only points to another one: the target stands in the first group.
 REDIRECT = r"(?i)^\s*#redirect(?:ion)?\s*:?\s*\[\[\s*([^\]|#]*?)\s*(?:[#|][^\]]*)?\]\]"
@@ -56,23 +58,28 @@ def follow_redirect(pages: DataFrame) -> DataFrame:
     return out.withColumn("raw", F.when(F.col("_to").isNull(), F.col("raw")).otherwise(F.col("_raw"))).drop("_to", "_target", "_raw")
 
 
-def resolve_redirects(redirects: DataFrame, rounds: int = 32) -> DataFrame:
+def resolve_redirects(redirects: DataFrame, rounds: int = 64) -> DataFrame:
     """(src, final, broken) for every redirect (src, dst): the end of its chain.
 
-    Each round doubles the length of the chains that are known. Redirects that
-    run in a circle have no end: final is null and broken true.
+    A source of several redirects takes the least. Each round doubles the length of the chains that are followed, and takes
+    those that have come to their end out. A chain of n redirects also has
+    one of every lesser length at its end, so when a round ends none, all that
+    are left run in a circle, or into one: final is null and broken true. The number of
+    rounds grows with the logarithm of the longest chain that has an end.
     """
-    hops = settle(redirects.groupBy("src").agg(F.min("dst").alias("dst")))
+    hops = redirects.groupBy("src").agg(F.min("dst").alias("dst")).where("src is not null")
+    sources = hops.select(F.col("src").alias("dst"), F.lit(True).alias("_more"))
+    state = tabled(join_hot(hops, sources, ["dst"]).select("src", "dst", F.col("_more").isNull().alias("ended")))
+    ended, active = [state.where("ended")], state.where("not ended")
     for _ in range(rounds):
-        step = hops.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))
-        joined = hops.join(step, F.col("dst") == F.col("_s"), "left")
-        moved = settle(joined.select("src", F.coalesce("_d", "dst").alias("dst"), F.col("_d").isNotNull().alias("on")))
-        hops = moved.select("src", "dst")
-        if moved.where("`on`").isEmpty():
+        known = reduce(DataFrame.unionByName, [*ended, active]).select(F.col("src").alias("dst"), F.col("dst").alias("_dst"), F.col("ended").alias("_ended"))
+        moved = tabled(join_hot(active.select("src", "dst"), known, ["dst"]).select("src", F.col("_dst").alias("dst"), F.col("_ended").alias("ended")))
+        active = moved.where("not ended")
+        if moved.where("ended").isEmpty():
             break
-    ends = hops.select(F.col("src").alias("_s")).distinct()
-    out = hops.join(ends, F.col("dst") == F.col("_s"), "left")
-    return out.select("src", F.when(F.col("_s").isNull(), F.col("dst")).alias("final"), F.col("_s").isNotNull().alias("broken"))
+        ended.append(moved.where("ended"))
+    found = reduce(DataFrame.unionByName, ended).select("src", F.col("dst").alias("final"), F.lit(False).alias("broken"))
+    return found.unionByName(active.select("src", F.lit(None).cast(found.schema["final"].dataType).alias("final"), F.lit(True).alias("broken")))
 
 
 def namespace_counts(pages: DataFrame, namespaces: DataFrame) -> DataFrame:

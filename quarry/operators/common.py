@@ -3,23 +3,40 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names in spark.checkpoint.dir.
-    Only on one machine (a local master) a temporary folder serves where it names none."""
+def _shared_folder(df: DataFrame) -> str:
+    """The folder for checkpoints: that of spark.checkpoint.dir. Only on one machine (a local master) a temporary folder serves where the session names none."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    return str(context.getCheckpointDir())
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    _shared_folder(df)
     return df.checkpoint(eager=True)
 
 
+def tabled(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table in the shared folder, the size of which is known.
+
+    Loops of joins need it: a checkpoint keeps the estimated size of its plan, and
+    each join multiplies the estimates of its sides, which squares them in every round.
+    """
+    path = f"{_shared_folder(df)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Keys of more rows than this, and than one in SHARE of all, are hot: there are SHARE of them at most, which are broadcast.
 HOT, SHARE = 1_000_000, 10_000
 

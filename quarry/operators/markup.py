@@ -12,12 +12,9 @@ from pyspark.sql import functions as F
 from quarry.functions import align
 from quarry.functions import markup as wiki
 from quarry.functions.lexer import Lexer
-from quarry.functions.template_calls import Expander
 
 SECTIONS = {"title": pa.string(), "sec_idx": pa.int32(), "level": pa.int32(), "sec_title": pa.string(), "heading": pa.string(), "content": pa.string(), "n_par": pa.int32(), "error": pa.string()}
 NODES = {"title": pa.string(), "node_id": pa.int32(), "parent_id": pa.int32(), "depth": pa.int32(), "cls": pa.string(), "tag": pa.string(), "is_block": pa.bool_(), "text": pa.string()}
-#: Characters of templates, names and actions that are sent to every task.
-TEMPLATE_BYTES = 256 << 20
 SPARK_NAMES = {pa.string(): "string", pa.int32(): "int", pa.bool_(): "boolean"}
 
 
@@ -63,41 +60,6 @@ def nodes_of(pages: DataFrame, title: str = "title", markup: str = "markup") ->
     return _each_page(pages, title, markup, NODES, rows_of)
 
 
-def expanded(pages: DataFrame, bodies: dict[str, str], actions: dict[str, str], redirects: dict[str, str] | None = None, default: str = "expand") -> DataFrame:
-    """`pages` (title, markup) with template calls treated. Templates are a look-up
-    that is sent to every task; one of over TEMPLATE_BYTES is refused.
-    `redirects` leads names to canonical ones."""
-    size = sum(len(k) + len(v) for x in (bodies, actions, redirects or {}) for k, v in x.items())
-    if size > TEMPLATE_BYTES:
-        raise ValueError(f"{size} characters of templates")
-    schema = "title string, markup string, calls array<struct<name:string,direct:boolean>>"
-    redirects = redirects or {}
-    shared = pages.sparkSession.sparkContext.broadcast((bodies, actions, redirects))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bodies, actions, redirects = shared.value
-
-        def canonical(name: str) -> str | None:
-            seen: set[str] = set()
-            while name in redirects and name not in seen:  # a circle ends where it began
-                seen.add(name)
-                name = redirects[name]
-            return name if name in bodies or name in actions else None
-
-        for b in batches:
-            rows = []
-            for title, text in zip(b["title"], b["markup"]):
-                e = Expander(bodies.get, lambda n: actions.get(n, default), canonical)
-                try:
-                    made = None if text is None else e.run(text)
-                except RecursionError:  # such a page is left as it is
-                    made = text
-                rows.append((title, made, [{"name": n, "direct": d} for n, d in e.calls]))
-            yield pd.DataFrame(rows, columns=["title", "markup", "calls"])
-
-    return pages.select("title", "markup").mapInPandas(run, schema)
-
-
 def marked_lines(pages: DataFrame, language: str = "en") -> DataFrame:
     """(title, lines) from (title, markup, keep), where `keep` has sec_idx and
     whether a section is kept whole (else its heading only)."""

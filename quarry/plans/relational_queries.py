@@ -40,6 +40,14 @@ def redirect_closure(spark, sf_dir):
     return articles.resolve_redirects(docs.select(F.col("doc_id").alias("src"), F.expr("doc_id div 3").alias("dst")))
 
 
+def redirect_circles(spark, sf_dir):
+    """Documents without a label point to the one whose number is their length, counted round; those with a label end a chain. Some run in circles."""
+    docs = _docs(spark, sf_dir)
+    n = docs.agg(F.count("*").alias("n"))
+    hops = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_anti").join(F.broadcast(n))
+    return articles.resolve_redirects(hops.select(F.col("doc_id").alias("src"), (F.col("n_chars") % F.col("n")).alias("dst")))
+
+
 def section_setdiff(spark, sf_dir):
     """All lines less those of toxic documents, a copy for each."""
     lines = sections.line_sections(_docs(spark, sf_dir))
@@ -146,7 +154,7 @@ def balanced_chunks(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    list_articles_sorted, article_blacklist, namespace_counts, redirect_closure, section_setdiff, heading_stats, heading_retention, purge_cut,
+    list_articles_sorted, article_blacklist, namespace_counts, redirect_closure, redirect_circles, section_setdiff, heading_stats, heading_retention, purge_cut,
     training_labels, exploded_islands, template_rule_resolution, template_substrings, template_usage, entity_decode, html_heading_rewrite,
     mask_roundtrip, sentence_split_simple, corpus_lines, balanced_chunks,
 )}
@@ -178,6 +186,15 @@ FROM (SELECT source || '/' || doc_id AS title, row_number() OVER (ORDER BY sourc
     "namespace_counts": f"""
 SELECT n.ns, (count(d.doc_id) FILTER (WHERE d.lang <> 'de'))::BIGINT AS pages, (count(d.doc_id) FILTER (WHERE d.lang = 'de'))::BIGINT AS redirects
 FROM (SELECT unnest({NAMESPACES}) AS ns) n LEFT JOIN documents d ON d.source = n.ns GROUP BY n.ns""",
+    "redirect_circles": """
+WITH RECURSIVE r AS (
+  SELECT doc_id AS src, n_chars % (SELECT count(*) FROM documents) AS dst FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+), reach(src, dst) AS (
+  SELECT src, dst FROM r UNION SELECT reach.src, r.dst FROM reach JOIN r ON reach.dst = r.src
+), ends AS (
+  SELECT reach.src, reach.dst FROM reach LEFT JOIN r ON reach.dst = r.src WHERE r.src IS NULL
+)
+SELECT r.src, ends.dst AS final, ends.dst IS NULL AS broken FROM r LEFT JOIN ends ON r.src = ends.src""",
     "redirect_closure": """
 WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 3 AS dst FROM documents WHERE n_chars < 1000),
 w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src)
