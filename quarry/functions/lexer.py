@@ -11,15 +11,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-# Words that mostly begin a sentence, months, and common abbreviations, each written with a point.
-BEGINNERS_EN = "About After All Although Among An And Another As At Because Before Both But By Do Don't During Each Even Every Finally For From He Her Here His How However If I'm I'll In It Its It's Just Let Like Many May Maybe More Moreover Most My No Not Now Of On Once One Only Or Other Our Perhaps She Since So Some Sometimes Such That That's The Their Then There These They This Those Though Thus To Two Under We Well What When Where While Why With Yet You".split()
-BEGINNERS_DE = "Aber Als Am An Auch Auf Aus Bei Bis Da Dabei Damit Dann Das Dass Dem Den Denn Der Des Die Dies Diese Dieser Dieses Doch Durch Ein Eine Einen Einer Eines Er Es Für Ihr Im In Ist Man Mit Nach Nicht Noch Nun Nur Ob Oder Seit Sie Sein Seine So Und Unter Um Vom Von Vor Wann Warum Was Weil Wenn Wer Wie Wir Wo Zu Zum Zur Zwei".split()
+from quarry.functions.abbreviations import BEGINNERS_DE, BEGINNERS_EN, Automaton, automaton
+
+# Months.
 MONTHS_EN = "January February March April May June July August September October November December Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec".split()
 MONTHS_DE = "Januar Jänner Februar Feber März April Mai Juni Juli August September Oktober November Dezember Jan Feb Apr Jun Jul Aug Sep Sept Okt Nov Dez".split()
 MONTHS_RU = "января февраля марта апреля мая июня июля августа сентября октября ноября декабря янв фев апр авг сент окт нояб дек".split()
-ABBREVIATIONS_EN = "Adj Adm Assoc Bart Brig Capt Capts Cmdr Col Cols Comdr Comm Corp Crpl Dr Drs Emer Gen Gens Gov Govs Hon Ing Jr Lt Lts Maj Messrs Mr Mrs Ms Mssrs Pres Prof Rep Reps Rev Revs Sec Sen Sens Sgt Sr St Supt app approx Assn Atty Ave bibl biol Bldg Blvd Bros ca Cal Calif cap cc cent cf ch chap Co Colo Conn Ct dept Dept dist Dist ed Ed eds eq Eq esp Est est etc Ex fig Fig figs Figs Fla fr ft gal govt hist Hwy Ibid ibid Ill illus Inc incl Ind inst int introd Ky lang lat lb lbs Ltd Mass Md Mich Minn Mo mos Mt Mts mus Neb Nev No nos Okla Ont op Op Ore org oz Pa par Penna pl pop pp Pp pt Pt pub publ pvt Que ref Ref res Rd Ry sc sec seq sp spec sq ss Ste subj Tenn Tex trans Univ univ Va vol Vol vols vs Vs Vt Wash Wis Wm yd yrs al viz".split()
-ABBREVIATIONS_DE = "Abb Abk Abs Abt allg Anm Art Aufl Bd Bde bes bez bzgl bzw ca Chr dgl Dipl Dr Dres ebd ehem eigtl einschl entspr etc ev evtl exkl Fa ff Fig Fr geb gegr gem ges gest gez ggf Gr Hbf hg Hr Hrn Hrsg hrsg inkl Ing insb insbes Jh Jhd Jhdt Kap kath Lit lt luth Mag max min Mio Mrd mtl nat Nr Nrn od orig phil Pfr Pkt Prof Red Reg resp röm Sr St Std Str tgl Tel theol ua usf usw Verf verh vgl Vol vorm wiss zahlr zool zit zus zzgl Zzt".split()
-ABBREVIATIONS_RU = "акад англ арх бул вв гг гл гор гр греч др ед изд илл им инж исп кап кв км коп лат мед мес мин млн млрд муж нем обл обр ок оп оф пер пл пос поч пр пред прим проф рис род руб рус сб св сев см ср ст стр табл тел тов тр тыс ул ум уч физ фр хим чел шт экз".split()
 
 # Words that keep the hyphen at a line's end, as first or as last part.
 HYPHEN_FIRST_EN = "self one high non well half three low anti two twenty long four re co double forty out thirty ever pre".split()
@@ -35,6 +32,52 @@ def _any(words) -> str:
     return "|".join(map(re.escape, sorted(words, key=len, reverse=True)))
 
 
+class Mailed:
+    """A rule for mail addresses that looks once at each run of their characters. Has the interface of a compiled pattern."""
+
+    groupindex: dict[str, int] = {}
+
+    def __init__(self, host: str):
+        self.run, self.host = re.compile(r"[A-Za-z0-9_.:-]+"), re.compile(host)
+        self.whole = re.compile(rf"(?:mailto:)?[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*@{host}")
+        self.text, self.stop, self.possible = "", -1, False
+
+    def match(self, text: str, at: int) -> re.Match | None:
+        if text is not self.text or at >= self.stop:
+            m = self.run.match(text, at)
+            self.text, self.stop = text, m.end() if m else at
+            self.possible = text.startswith("@", self.stop) and bool(self.host.match(text, self.stop + 1))
+        return self.whole.match(text, at) if self.possible else None
+
+
+class Pointed:
+    """A rule for what stands before a point: the longest of the entries of an automaton and of what a pattern finds. `behind` is the
+    point and what follows it; its group `ahead`, if it has one, is only looked at. Has the interface of a compiled pattern."""
+
+    def __init__(self, known: Automaton, pattern: str, behind: str):
+        self.known, self.pattern, self.behind = known, re.compile(pattern), re.compile(behind)
+        self.groupindex = self.behind.groupindex
+
+    def match(self, text: str, at: int) -> Match | None:
+        m = self.pattern.match(text, at)
+        ends = {self.known.end(text, at), m.end() if m else -1} - {-1}
+        for end in sorted(ends, reverse=True):
+            if found := self.behind.match(text, end):
+                return Match(end + 1, found.end("ahead") if self.groupindex else end + 1)
+        return None
+
+
+@dataclass
+class Match:
+    """Where a match ends, and where what it looks at ends."""
+
+    stop: int
+    ahead: int
+
+    def end(self, group: str | int = 0) -> int:
+        return self.ahead if group == "ahead" else self.stop
+
+
 @dataclass
 class Lexer:
     """`hyphens`: None, "drop" or "keep" the hyphens of words that a line end parts; English words that always
@@ -51,7 +94,8 @@ class Lexer:
         letter = LATIN + "Ѐ-ӿ" if self.language == "ru" else LATIN
         upper = "A-ZÀ-ÖØ-ÞЀ-Я" if self.language == "ru" else "A-ZÀ-ÖØ-Þ"
         lower = "a-zß-öø-ÿа-я" if self.language == "ru" else "a-zß-öø-ÿ"
-        months, abbreviations, beginners = {"en": (MONTHS_EN, ABBREVIATIONS_EN, BEGINNERS_EN), "de": (MONTHS_DE, ABBREVIATIONS_DE, BEGINNERS_DE), "ru": (MONTHS_RU, ABBREVIATIONS_RU, [])}[self.language]
+        months, beginners = {"en": (MONTHS_EN, BEGINNERS_EN), "de": (MONTHS_DE, BEGINNERS_DE), "ru": (MONTHS_RU, [])}[self.language]
+        known = automaton(self.language, self.more, letter, SPACE)
         word = rf"[{letter}]+(?:-[{letter}]+)*"
         if self.language == "ru":
             word = rf"(?:\d+-)?{word}"
@@ -60,28 +104,30 @@ class Lexer:
         month = rf"(?:(?:{_any(months)})\.?|(?:x?i{{1,3}}|i?x|x?i?v|vi{{1,3}}|X?I{{1,3}}|I?X|X?I?V|VI{{1,3}})(?:\.|{SPACE}))"
         year = rf"(?:[1-9][0-9]{{0,3}}|0[0-9])(?:{SPACE}*[AB]\.{SPACE}*[CDP]\.{SPACE}*(?:E\.{SPACE}*)?)?"
         initials = rf"(?:(?:[{letter}]|[{upper}][{lower}])\.{SPACE}*)+[{letter}][{lower}]?"
-        pointed = rf"(?:{initials}|{_any((*abbreviations, *self.more))})"
         single = rf"[{upper}]|{word}-?[Ss]tr" + (r"|\d{1,4}|[IVXLC]+" if self.language == "de" else "")
         host = r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+"
-        www = rf"(?:(?:https?|ftps?|file|news)://|www\.){host}(?:/[^ \t\n-\r\x00-\x1f]+[A-Za-z0-9_/-])?|(?:mailto:)?[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)*@{host}"
+        www = rf"(?:(?:https?|ftps?|file|news)://|www\.){host}(?:/[^ \t\n-\r\x00-\x1f]+[A-Za-z0-9_/-])?"
         hyphen = rf"[-\xad][ \t\xa0]*[\n\x0c\r][ \t\xa0]*"
-        rules: list[tuple[str, str]] = []
+        rules: list[tuple[str, str | Pointed | Mailed]] = []
         self.broken = re.compile(rf"{word}(?:(?:\xad(?=[{letter}])|{hyphen}(?=[{lower}])){word})+")
         self.cut = re.compile(rf"({hyphen}|\xad)")
         first, last = (HYPHEN_FIRST_EN, HYPHEN_LAST_EN) if self.language == "en" else ((), ())
         self.first, self.last = set(first), set(last)
         if self.addresses:
-            rules.append(("WWW", www))
+            rules += [("WWW", www), ("WWW", Mailed(host))]
         if self.sentence_ends:
-            rules += [("hold", rf"(?:{word}|\d+){SPACE}+\([^.!?]{{1,40}}[.!?][^\n]{{0,40}}?\)"), ("hold", rf"(?:{day}(?:\.{SPACE}*|{SPACE}*){month}{SPACE}*{year}|{month}{SPACE}*{day},?{SPACE}*{year}|{day}\.{SPACE}*{month})"), ("hold", rf"(?:{single}|{pointed})\.(?![{letter}])")]
+            rules += [("hold", rf"(?:{word}|\d+){SPACE}+\([^.!?]{{1,40}}[.!?][^\n]{{0,40}}?\)"), ("hold", rf"(?:{day}(?:\.{SPACE}*|{SPACE}*){month}{SPACE}*{year}|{month}{SPACE}*{day},?{SPACE}*{year}|{day}\.{SPACE}*{month})"), ("hold", Pointed(known, rf"(?:{initials}|{single})(?=\.)", rf"\.(?![{letter}])"))]
             rules.append(("end", rf"[.!?]+(?={CLOSING}*{SPACE}+{mark})"))
             if beginners:
-                rules.append(("begins", rf"{pointed}\.(?={CLOSING}*{SPACE}+{OPENING}*(?:(?:{_any(beginners)})(?:{SPACE}|,)|(?:A|I|The){SPACE}[a-z]))"))
+                rules.append(("begins", Pointed(known, rf"{initials}(?=\.)", rf"\.(?P<ahead>{CLOSING}*{SPACE}+{OPENING}*(?:(?:{_any(beginners)})(?:{SPACE}|,)|(?:A|I|The){SPACE}[a-z]))")))
         rules += [("WORD", word), ("NUMBER", r"\d+(?:[,.]\d+)?"), ("VSPACE", rf"[ \t\xa0]*[\n-\r]+{SPACE}*"), ("HSPACE", r"[ \t\xa0]+"), ("", r"[\x00-\x1f]+"), ("OTHER", r"(?s).")]
         look = re.compile(r"\(\?=(.*)\)$", re.S)
         self.rules = []
         for name, pattern in rules:
-            ahead = look.search(pattern) if name in ("end", "begins") else None
+            if not isinstance(pattern, str):
+                self.rules.append((name, pattern))
+                continue
+            ahead = look.search(pattern) if name == "end" else None
             # What a rule looks at counts towards its length: it is a group of its own.
             self.rules.append((name, re.compile(pattern[: ahead.start()] + f"(?=(?P<ahead>{ahead.group(1)}))" if ahead else pattern)))
         self.word = re.compile(word)

@@ -38,12 +38,12 @@ def sentences_of(language: str = "en", **options):
     return run
 
 
-def segment(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """`docs` with `sentences` in the lexer of each row's language; other languages are read as English."""
+def segment(docs: DataFrame, text: str = "text", lang: str = "lang", more: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """`docs` with `sentences` in the lexer of each row's language; other languages are read as English. `more` has further abbreviations by language."""
 
     @F.pandas_udf("array<string>")
     def run(rows: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        lexers = {x: Lexer(x) for x in ("en", "de", "ru")}
+        lexers = {x: Lexer(x, more=(more or {}).get(x, ())) for x in ("en", "de", "ru")}
         for texts, langs in rows:
             yield pd.Series([None if t is None else lexers.get(x, lexers["en"]).sentences(t) for t, x in zip(texts, langs)], dtype=object)
 

@@ -43,9 +43,8 @@ def redirect_closure(spark, sf_dir):
 def redirect_circles(spark, sf_dir):
     """Documents without a label point to the one whose number is their length, counted round; those with a label end a chain. Some run in circles."""
     docs = _docs(spark, sf_dir)
-    n = docs.agg(F.count("*").alias("n"))
-    hops = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_anti").join(F.broadcast(n))
-    return articles.resolve_redirects(hops.select(F.col("doc_id").alias("src"), (F.col("n_chars") % F.col("n")).alias("dst")))
+    hops = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_anti")
+    return articles.resolve_redirects(hops.select(F.col("doc_id").alias("src"), (F.col("n_chars") % F.lit(docs.count())).alias("dst")))
 
 
 def section_setdiff(spark, sf_dir):
