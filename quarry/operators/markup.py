@@ -60,6 +60,24 @@ def nodes_of(pages: DataFrame, title: str = "title", markup: str = "markup") ->
     return _each_page(pages, title, markup, NODES, rows_of)
 
 
+def aligned(pages: DataFrame) -> DataFrame:
+    """(title, lines) from (title, markup, sentences): sentences of one's own with the marks of the article's first section put back. Null markup gives no lines."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        marks = wiki.Renderer("mark")
+        for b in batches:
+            rows = []
+            for title, text, sentences in zip(b["title"], b["markup"], b["sentences"]):
+                try:
+                    tree = [] if text is None else align.article_tree(title or "", text)
+                except (ValueError, RecursionError):  # such a page has no lines
+                    tree = []
+                rows.append((title, align.marked_sentences(tree[0], [s or "" for s in sentences], marks) if tree and sentences is not None else []))
+            yield pd.DataFrame(rows, columns=["title", "lines"])
+
+    return pages.select("title", "markup", "sentences").mapInPandas(run, "title string, lines array<string>")
+
+
 def marked_lines(pages: DataFrame, language: str = "en") -> DataFrame:
     """(title, lines) from (title, markup, keep), where `keep` has sec_idx and
     whether a section is kept whole (else its heading only)."""
