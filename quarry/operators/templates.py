@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from quarry.operators.common import numbered
+from quarry.functions.patterns import LEAST, required
+from quarry.operators.common import numbered, tabled
 
 #: Fixed pattern: stretches whose template calls don't count.
 RAW = r"(?is)<!--.*?-->|<(nowiki|math|gallery|source|pre|timeline|poem|ref)>.*?</\1>"
-#: Rules of up to this many bytes are broadcast.
+#: Patterns that require nothing are sent to all tasks up to this many bytes.
 BROADCAST_BYTES = 32 << 20
 #: Fixed signs of the template scanner.
 SCANNER = r"(?s)<!--.*?-->|(?i)</?(?:noinclude|includeonly|onlyinclude)>|\{\{\{|\}\}\}|\{\{|\}\}|\[\[|\]\]|\||[^<{}\[\]|]+|."
@@ -28,20 +31,50 @@ def scanner_tokens(pages: DataFrame, key: str, text: str = "markup") -> DataFram
     return rows.select(key, "pos", kind.otherwise("text").alias("kind"), "text")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _required(patterns: pd.Series) -> pd.Series:
+    return patterns.map(required)
+
+
+def _grams(text: Column) -> Column:
+    """The different stretches of LEAST characters of a text, A-Z in lower case."""
+    text = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    places = F.sequence(F.lit(1), F.length(text) - (LEAST - 1))
+    return F.when(F.length(text) >= LEAST, F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(LEAST))))).otherwise(F.array().cast("array<string>"))
+
+
+def possible_pairs(regex: DataFrame, names: DataFrame) -> DataFrame:
+    """(name, ord): names that have what a pattern requires; a superset of those that it meets.
+
+    `regex` has ord and required, stretches one of which a match must hold. Each stretch is looked for by the one of its grams
+    that the fewest names have, so that a name meets the few rules that share a rare gram with it, and not all of them.
+    """
+    wanted = regex.select("ord", F.explode("required").alias("stretch")).select("ord", "stretch", F.explode(_grams(F.col("stretch"))).alias("gram"))
+    own = names.select("name").where("name is not null").distinct().select("name", F.explode(_grams(F.col("name"))).alias("gram"))
+    own = tabled(own.join(wanted.select("gram").distinct(), "gram", "left_semi"))
+    counts = own.groupBy("gram").agg(F.count("*").alias("n"))
+    # A gram that no name has rules its stretch out.
+    rare = wanted.join(counts, "gram", "left").groupBy("ord", "stretch").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("least"))
+    return rare.select("ord", F.col("least.gram").alias("gram")).distinct().join(own, "gram").select("name", "ord").distinct()
+
+
 def resolve_rules(rules: DataFrame, names: DataFrame) -> DataFrame:
     """(name, action): the action of the first rule that meets a name.
 
     `rules` has ord, pattern and action; `/…/` is searched in all `names`
-    (name) in either case of letters, anything else is a name. The patterns are
-    a hand-written list that is sent to every task; one of over BROADCAST_BYTES
-    is refused.
+    (name) in either case of ASCII letters, anything else is a name. Patterns are tried on the names that hold what
+    they require. Those that require nothing (no three letters in a row) are
+    sent to every task and tried on all names; more than BROADCAST_BYTES of these are refused.
     """
     is_regex = F.col("pattern").rlike("^/.*/$")
-    regex = rules.where(is_regex).select("ord", F.concat(F.lit("(?i)"), F.expr("substring(pattern, 2, length(pattern) - 2)")).alias("_re"), "action")
-    size = regex.agg(F.sum(F.octet_length("_re") + 64)).first()[0] or 0
+    inner = F.expr("substring(pattern, 2, length(pattern) - 2)")
+    regex = tabled(rules.where(is_regex).select("ord", F.concat(F.lit("(?i)"), inner).alias("_re"), "action", _required(inner).alias("required")))
+    listed, free = regex.where("required is not null"), regex.where("required is null").drop("required")
+    size = free.agg(F.sum(F.octet_length("_re") + 64)).first()[0] or 0
     if size > BROADCAST_BYTES:
-        raise ValueError(f"{size} bytes of patterns")
-    hits = names.join(F.broadcast(regex), F.expr("rlike(name, _re)")).select("name", "ord", "action")
+        raise ValueError(f"{size} bytes of patterns that require nothing")
+    pairs = possible_pairs(listed, names).join(listed.drop("required"), "ord").where("rlike(name, _re)").select("name", "ord", "action")
+    hits = pairs.unionByName(names.join(F.broadcast(free), F.expr("rlike(name, _re)")).select("name", "ord", "action")) if size else pairs
     literal = rules.where(~is_regex).select(F.col("pattern").alias("name"), "ord", "action")
     return hits.unionByName(literal).groupBy("name").agg(F.min_by("action", "ord").alias("action"))
 

@@ -40,6 +40,19 @@ def redirect_closure(spark, sf_dir):
     return articles.resolve_redirects(docs.select(F.col("doc_id").alias("src"), F.expr("doc_id div 3").alias("dst")))
 
 
+def template_rule_index(spark, sf_dir):
+    """As many rules as parts: first letters of the name behind its start, its last word and size at the end, or either of two words; they are tried on brand, type and name of all parts."""
+    part = table(spark, sf_dir, "part")
+    first, last = F.substring_index("p_name", " ", 1), F.substring_index("p_name", " ", -1)
+    size = F.col("p_size").cast("string")
+    pattern = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("/^"), F.upper(first), F.lit(".*"), last, F.lit(" "), size, F.lit("$/")))
+    pattern = pattern.when(F.col("p_size") % 4 == 1, F.concat(F.lit("/("), "p_type", F.lit("|no"), last, F.lit(") [a-z]+ "), size, F.lit("?$/")))
+    pattern = pattern.when(F.col("p_size") % 4 == 2, F.concat(F.lit("/"), last, F.lit(" ?"), size, F.lit("+$/"))).otherwise(F.concat(first, F.lit(" "), size))
+    rules = part.select(F.col("p_partkey").alias("ord"), pattern.alias("pattern"), F.col("p_brand").alias("action"))
+    names = part.select(F.concat_ws(" ", "p_type", "p_name", size).alias("name")).union(part.select(F.concat_ws(" ", "p_name", size))).distinct()
+    return templates.resolve_rules(rules, names).join(names, "name", "left_semi")
+
+
 def redirect_circles(spark, sf_dir):
     """Documents without a label point to the one whose number is their length, counted round; those with a label end a chain. Some run in circles."""
     docs = _docs(spark, sf_dir)
@@ -153,7 +166,7 @@ def balanced_chunks(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    list_articles_sorted, article_blacklist, namespace_counts, redirect_closure, redirect_circles, section_setdiff, heading_stats, heading_retention, purge_cut,
+    list_articles_sorted, article_blacklist, namespace_counts, redirect_closure, redirect_circles, template_rule_index, section_setdiff, heading_stats, heading_retention, purge_cut,
     training_labels, exploded_islands, template_rule_resolution, template_substrings, template_usage, entity_decode, html_heading_rewrite,
     mask_roundtrip, sentence_split_simple, corpus_lines, balanced_chunks,
 )}
@@ -185,6 +198,18 @@ FROM (SELECT source || '/' || doc_id AS title, row_number() OVER (ORDER BY sourc
     "namespace_counts": f"""
 SELECT n.ns, (count(d.doc_id) FILTER (WHERE d.lang <> 'de'))::BIGINT AS pages, (count(d.doc_id) FILTER (WHERE d.lang = 'de'))::BIGINT AS redirects
 FROM (SELECT unnest({NAMESPACES}) AS ns) n LEFT JOIN documents d ON d.source = n.ns GROUP BY n.ns""",
+    "template_rule_index": """
+WITH p AS (
+  SELECT p_partkey, p_brand, p_type, p_name, p_size, string_split(p_name, ' ')[1] AS first, string_split(p_name, ' ')[-1] AS last FROM part
+), rules AS (
+  SELECT p_partkey AS ord, p_brand AS action, p_size % 4 = 3 AS literal, CASE p_size % 4 WHEN 0 THEN '(?i)^' || upper(first) || '.*' || last || ' ' || p_size || '$'
+    WHEN 1 THEN '(?i)(' || p_type || '|no' || last || ') [a-z]+ ' || p_size || '?$' WHEN 2 THEN '(?i)' || last || ' ?' || p_size || '+$' ELSE first || ' ' || p_size END AS pattern FROM p
+), names AS (
+  SELECT p_type || ' ' || p_name || ' ' || p_size AS name FROM p UNION SELECT p_name || ' ' || p_size FROM p
+), hits AS (
+  SELECT name, ord, action FROM names JOIN rules ON NOT literal AND regexp_matches(name, pattern) UNION ALL SELECT name, ord, action FROM names JOIN rules ON literal AND name = pattern
+)
+SELECT name, arg_min(action, ord) AS action FROM hits GROUP BY name""",
     "redirect_circles": """
 WITH RECURSIVE r AS (
   SELECT doc_id AS src, n_chars % (SELECT count(*) FROM documents) AS dst FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
