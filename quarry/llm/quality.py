@@ -20,8 +20,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The fit takes this many documents of each label at most (those of least id hash), and of a longer text so many pieces, spread over all of it; scores take whole texts.
-SAMPLE_DOCUMENTS, SAMPLE_PIECES = 3_000, 4
+#: The fit takes this many documents of each label at most, those of least id hash, with their whole texts.
+SAMPLE_DOCUMENTS = 1_500
 PIECE, DICTIONARY, LEVEL = 2_048, 112_640, 3
 #: With so many bytes text and share of labels weigh the same.
 SHORT = 128
@@ -66,14 +66,16 @@ def weight(text: bytes) -> float:
     return len(text) / (len(text) + SHORT)
 
 
+def _pieces(texts: list[bytes], budget: int) -> list[bytes]:
+    """Pieces of texts, up to a budget of bytes: all of them, or some that are evenly spread over all texts."""
+    pieces = [t[i : i + PIECE] for t in texts for i in range(0, len(t), PIECE)]
+    step = max(1.0, sum(map(len, pieces)) / max(1, budget))
+    return [pieces[int(k * step)] for k in range(int(len(pieces) / step))]
+
+
 def _dictionary(texts: list[bytes], budget: int) -> bytes:
     """A dictionary of pieces, up to a budget of bytes that both labels share; empty if there is too little text."""
-    pieces, n = [], 0
-    for t in texts:
-        for i in range(0, len(t), PIECE):
-            if n < budget:
-                pieces.append(t[i : i + PIECE])
-                n += len(pieces[-1])
+    pieces = _pieces(texts, budget)
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -95,13 +97,6 @@ def _curve(difference: np.ndarray, w: np.ndarray, y: np.ndarray, prior: float) -
     return float(found[0]), float(found[1])
 
 
-def _spread(text: Column) -> Column:
-    """A text, or as many pieces as a sample takes, spread evenly over all of a longer one."""
-    n = F.length(text)
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)), lambda i: F.substring(text, F.floor(i * (n - PIECE) / (SAMPLE_PIECES - 1)).cast("int") + 1, F.lit(PIECE)))
-    return F.when(n <= SAMPLE_PIECES * PIECE, text).otherwise(F.array_join(pieces, ""))
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", held_out: Column | None = None, sample: int = SAMPLE_DOCUMENTS) -> Model:
     """Learn from labelled rows that aren't held out.
 
@@ -115,9 +110,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).na.drop()
     found: dict[int, list[bytes]] = {}
     for y in (1, 0):
-        # Bounded: ids of least hash, and some pieces of their texts.
+        # Bounded: ids of least hash.
         ids = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample).select("id")
-        rows = texts.join(F.broadcast(ids), "id").select("id", _spread(F.col("text")).alias("text")).groupBy("id").agg(F.min("text").alias("text"))
+        rows = texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"))
         found[y] = [r["text"].encode() for r in sorted(rows.withColumn("h", F.xxhash64("id")).collect(), key=lambda r: (r["h"], r["id"]))]
     good, bad = found[1], found[0]
     sampled = float(np.log((len(good) + 1) / (len(bad) + 1)))

@@ -304,8 +304,10 @@ def test_quality_learns_from_its_fold_only(spark):
     for i in (3, 4):
         near = [abs(model.score(rows[i][1].encode()[:n]) - share) for n in (2, 40, 400)]
         assert near == sorted(near)
-    long = spark.createDataFrame([("ab" * 20_000,), ("short",)], "t string").select(quality._spread(F.col("t")).alias("t")).collect()
-    assert [len(r.t) for r in long] == [4 * 2_048, 5]
+    # Half of the pieces are pieces of all of a long text.
+    long = b"".join(b"%08d" % i for i in range(20_000))
+    assert [int(x[:8]) // 1_000 for x in quality._pieces([long], 80_000)][:: 4] == [0, 2, 4, 6, 8, 10, 12, 14, 16, 18]
+    assert quality._pieces([long, b"x"], 1 << 20)[-1] == b"x" and quality._pieces([], 0) == []
     flat = quality.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
     assert len({x.score for x in quality.score(docs, flat).collect()}) == 1
 
