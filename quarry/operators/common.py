@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _shared_folder(df: DataFrame) -> str:
+def shared_folder(df: DataFrame) -> str:
     """The folder for checkpoints: that of spark.checkpoint.dir. Only on one machine (a local master) a temporary folder serves where the session names none."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -22,7 +22,7 @@ def _shared_folder(df: DataFrame) -> str:
 
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    _shared_folder(df)
+    shared_folder(df)
     return df.checkpoint(eager=True)
 
 
@@ -32,7 +32,7 @@ def tabled(df: DataFrame) -> DataFrame:
     Loops of joins need it: a checkpoint keeps the estimated size of its plan, and
     each join multiplies the estimates of its sides, which squares them in every round.
     """
-    path = f"{_shared_folder(df)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -196,10 +196,33 @@ def accuracy(scores: DataFrame) -> DataFrame:
 
 
 def sign_test(wins: Column, differing: Column) -> Column:
-    """One-sided binomial probability of at least `wins` of `differing` fair trials."""
-    log_choose = lambda n, k: F.expr("0D") + _lgamma(n + 1) - _lgamma(k + 1) - _lgamma(n - k + 1)
-    term = lambda k: F.exp(log_choose(differing, k) - differing * F.log(F.lit(2.0)))
-    return F.when(wins <= 0, 1.0).otherwise(F.aggregate(F.sequence(wins, differing), F.lit(0.0), lambda a, k: a + term(k)))
+    """One-sided binomial probability of at least `wins` of `differing` fair trials.
+
+    The tail is summed from its greatest term on, each term from the one before; of the lesser half of the
+    trials the other tail is taken. Terms beyond twelve square roots of the trials are too small
+    to count, so that a billion trials take as little memory as a thousand.
+    """
+    m, w = differing.cast("double"), wins.cast("double")
+    upper = 2 * w > m
+    k = F.when(upper, w).otherwise(m - w + 1)
+    n = F.least(m - k, F.ceil(12 * F.sqrt(m)) + 60).cast("int")
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
+
+    def step(a: Column, j: Column) -> Column:
+        term = F.when(j == 0, 1.0).otherwise(a["term"] * (m - k - j + 1) / (k + j))
+        return F.struct(term.alias("term"), (a["sum"] + term).alias("sum"))
+
+    tail = F.exp(_log_share(m, k)) * F.aggregate(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), start, step)["sum"]
+    return F.when(w <= 0, 1.0).when(w > m, 0.0).when(upper, tail).otherwise(1 - tail)
+
+
+def _log_share(m: Column, k: Column) -> Column:
+    """Logarithm of the share of exactly k wins of m fair trials. With many of both, by Stirling's series around a half, where great terms cancel out before they are worked out."""
+    few = _lgamma(m + 1) - _lgamma(k + 1) - _lgamma(m - k + 1) - m * F.log(F.lit(2.0))
+    d = (2 * k - m) / m
+    off = m / 2 * ((1 + d) * F.log1p(d) + (1 - d) * F.log1p(-d))
+    rest = 1 / (12 * m) - 1 / (12 * k) - 1 / (12 * (m - k)) - 1 / (360 * F.pow(m, F.lit(3.0))) + 1 / (360 * F.pow(k, F.lit(3.0))) + 1 / (360 * F.pow(m - k, F.lit(3.0)))
+    return F.when((m - k > 32) & (k > 32), rest - off - 0.5 * F.log(6.283185307179586 * k * (m - k) / m)).otherwise(few)
 
 
 def _lgamma(x: Column) -> Column:
@@ -269,6 +292,18 @@ def sign_test_of(scores: DataFrame, target: str) -> DataFrame:
     return counts.withColumn("p", p).withColumn("mark", significance(F.col("p")))
 
 
+def sign_test_by_position(target: DataFrame, other: DataFrame) -> DataFrame:
+    """(differing, wins, p, mark) of two lists of outcomes (place, right) that have no key: line by line.
+
+    What one list has more of than the other counts for nothing; null outcomes are wrong.
+    """
+    own = target.select("place", F.coalesce("right", F.lit(False)).alias("own"))
+    rows = own.join(other.select("place", F.coalesce("right", F.lit(False)).alias("right")), "place")
+    counts = rows.agg(F.count_if(F.col("own") != F.col("right")).alias("differing"), F.count_if(F.col("own") & ~F.col("right")).alias("wins"))
+    p = sign_test(F.col("wins"), F.col("differing"))
+    return counts.withColumn("p", p).withColumn("mark", significance(F.col("p")))
+
+
 def arpa_lines(model: DataFrame) -> DataFrame:
     """(ord, place, line): the model in the ARPA text format, to be written in this order."""
     entry = F.concat(F.format_string("%.6f\t%s", F.coalesce("logp", F.lit(-99.0)), "ngram"), F.when(F.col("bow") != 0, F.format_string("\t%.6f", "bow")).otherwise(""))

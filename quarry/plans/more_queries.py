@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
 from quarry.operators import articles, sections, templates
 from quarry.operators import language_model as lm
+from quarry.operators.common import shared_folder
 from quarry.plans.language_queries import ORDER, labelled, with_model
 from quarry.plans.language_queries import SQL as LANGUAGE_SQL
+from quarry.sources import pages as sources
 from quarry.sources.tables import table
 
 SPACES = {"en": 0, "de": 1, "fr": 2}
@@ -161,6 +165,20 @@ def sign_test_by_text(spark, sf_dir):
     return out.select("classifier", "differing", "wins", F.round("p", 6).alias("p"), "mark")
 
 
+def sign_test_by_position(spark, sf_dir):
+    """Outcomes by letters and by length, written line by line in the order of documents, and compared line by line."""
+    scores = _rule_scores(spark, sf_dir)
+    right = F.when(F.col("label_clean"), F.col("score") > 0).otherwise(F.col("score") < 0)
+    lists = []
+    for name in ("letters", "length"):
+        rows = scores.where(F.col("classifier") == name).select("key", F.when(right, "1").otherwise("0").alias("value"))
+        path = f"{shared_folder(rows)}/outcomes-{uuid.uuid4().hex}"
+        rows.repartitionByRange("key").sortWithinPartitions("key").select("value").write.text(path)
+        lists.append(sources.read_lines(spark, path).select("place", (F.col("value") == "1").alias("right")))
+    out = lm.sign_test_by_position(*lists)
+    return out.select("differing", "wins", F.round("p", 6).alias("p"), "mark")
+
+
 def classifier_names(spark, sf_dir):
     """Paths of models, made of the parts' types, and what their names tell."""
     part = table(spark, sf_dir, "part").select(F.regexp_replace("p_type", "[^A-Za-z]+", "-").alias("t"), (F.col("p_size") % 5 + 1).alias("n")).distinct()
@@ -171,7 +189,7 @@ def classifier_names(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     list_articles, redirect_targets, follow_redirects, article_list, names_split, empty_articles, character_totals, title_mark_check, file_kinds, file_sections, paragraph_breaks,
     elapsed_times, exploded_documents, base25_codes, template_summary, template_substrings_skip, scanner_tokens, raw_tags_removed, lm_sizes, lm_arpa, tune_lm, tune_classifiers,
-    sign_test_by_text, classifier_names,
+    sign_test_by_text, sign_test_by_position, classifier_names,
 )}
 
 _PAGES = """p AS (
@@ -256,6 +274,12 @@ FROM o GROUP BY classifier""",
   SELECT classifier, m, w, CASE WHEN w = 0 THEN 1.0 ELSE list_sum(list_transform(range(w, m + 1), lambda k: exp(lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1) - m * ln(2)))) END AS p FROM c
 )
 SELECT classifier, m AS differing, w AS wins, round(p, 6) AS p, CASE WHEN p <= 0.005 THEN '**' WHEN p <= 0.05 THEN '*' ELSE '' END AS mark FROM p""",
+    "sign_test_by_position": f"""WITH {_RULES}, c AS (
+  SELECT o.classifier, count(*) FILTER (WHERE o.ok <> t.ok) AS m, count(*) FILTER (WHERE t.ok AND NOT o.ok) AS w FROM o JOIN o t ON o.doc_id = t.doc_id AND t.classifier = 'letters' WHERE o.classifier = 'length' GROUP BY 1
+), p AS (
+  SELECT classifier, m, w, CASE WHEN w = 0 THEN 1.0 ELSE list_sum(list_transform(range(w, m + 1), lambda k: exp(lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1) - m * ln(2)))) END AS p FROM c
+)
+SELECT m AS differing, w AS wins, round(p, 6) AS p, CASE WHEN p <= 0.005 THEN '**' WHEN p <= 0.05 THEN '*' ELSE '' END AS mark FROM p""",
     "classifier_names": """
 WITH t AS (SELECT DISTINCT regexp_replace(p_type, '[^A-Za-z]+', '-', 'g') AS t, p_size % 5 + 1 AS n FROM part), k AS (SELECT t, n, unnest(['clean', 'dirty']) AS kind, unnest(['', '.gz']) AS z FROM t)
 SELECT t || '_' || n || 'gram_wb' AS label, kind, n::BIGINT AS "order", 'lms/' || kind || '_' || t || '_' || n || 'gram_wb.lm' || z AS path FROM k""",

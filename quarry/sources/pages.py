@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.articles import redirect_target
+from quarry.operators.common import numbered
 
 PAGE = "title string, ns int, redirect struct<_title:string>, revision struct<text:struct<_VALUE:string>>"
 
@@ -24,6 +25,15 @@ def read_article_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.trim(F.regexp_replace(first, "</?article>", "")).alias("title"), F.regexp_replace("value", r"\A[^\n]*\n?", "").alias("markup"))
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(place, value): the lines of text files with their numbers from 0, by name of the file, then as they stand in it.
+
+    A file may be read in many blocks: each task counts the lines of its own, and blocks are put in order by where they begin.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return numbered(lines.withColumn("_by", F.struct("file_path", "file_block_start", F.monotonically_increasing_id().alias("n"))), "_by", "place").select("place", "value")
+
+
 def read_names(spark: SparkSession, path: str, drop_blank: bool = True) -> DataFrame:
     """(title) of a list, one name a line."""
     names = spark.read.text(path).select(F.trim("value").alias("title"))
