@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 import pandas as pd
@@ -106,30 +107,38 @@ def decode_entities(text: Column, names: tuple[str, ...] = ("lt", "gt", "quot",
     return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
 
-def entity_decoder(unknown: str = "keep", replacement: str = "", latin1: bool = False):
-    """A pandas UDF for all named and numeric references.
+#: A reference: a number in hexadecimal or decimal digits, or a name.
+REFERENCE = r"&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
 
-    `unknown` references are kept, skipped, or replaced. With `latin1`
+
+def code_point(code: Column) -> Column:
+    """The character of a number; null beyond Unicode, for 0 and for halves of pairs."""
+    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def entity_decoder(unknown: str = "keep", replacement: str = "", latin1: bool = False) -> Callable[[Column], Column]:
+    """A native function of a column for all named and numeric references.
+
+    `unknown` references are kept, skipped, or replaced; so are numbers that no character has. With `latin1`
     characters beyond U+00FF count as unknown.
     """
-    import re
-
-    pattern = re.compile(r"&(?:#[xX]([0-9a-fA-F]+)|#([0-9]+)|([A-Za-z][A-Za-z0-9]*));")
-
-    def one(m: re.Match) -> str:
-        hexa, number, name = m.groups()
-        if name:
-            c = ENTITIES.get(name)
-        else:
-            code = int(hexa, 16) if hexa else int(number)
-            c = chr(code) if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000 else None
-        if c is None or latin1 and ord(c) > 255:
-            return {"keep": m.group(), "skip": "", "replace": replacement}[unknown]
-        return c
-
-    @F.pandas_udf("string")
-    def decode(text: pd.Series) -> pd.Series:
-        return text.map(lambda s: None if s is None else pattern.sub(one, s))
+    names = F.create_map(*(F.lit(x) for pair in ENTITIES.items() if not latin1 or ord(pair[1]) < 256 for x in pair))
+
+    def one(ref: Column, known: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(ref, "^&#[xX]?0*([0-9a-fA-F]*);$", 1), "^$", "0")
+        number = F.when(F.length(digits) > 8, "0").when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        if latin1:
+            number = F.when(number < 256, number).otherwise(0)
+        found = F.when(ref.startswith("&#"), code_point(number)).otherwise(F.try_element_at(known, F.substring(ref, 2, F.length(ref) - 2)))
+        return F.coalesce(found, {"keep": ref, "skip": F.lit(""), "replace": F.lit(replacement)}[unknown])
+
+    def decode(text: Column) -> Column:
+        parts, refs = F.split(text, REFERENCE, -1), F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+        before = F.concat(F.array(F.lit(None).cast("string")), refs)
+        # The names are bound once, not made again for each reference.
+        whole = lambda known: F.array_join(F.zip_with(parts, before, lambda p, r: F.when(r.isNull(), p).otherwise(F.concat(one(r, known), p))), "")
+        return F.get(F.transform(F.array(names), whole), F.lit(0))
 
     return decode
 

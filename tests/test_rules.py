@@ -64,3 +64,19 @@ def test_results_are_kept_by_content(spark, tmp_path):
     assert len(made) == 2
     sinks.write_rules(spark.createDataFrame([("b_c", "keep"), ("a", "remove")], "name string, action string"), str(tmp_path / "r"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "r")).collect()) == ["a_remove_", "b c_keep_"]
+
+
+def test_references_of_all_kinds(spark):
+    """Every name, numbers at the edges of Unicode, and what is no reference."""
+    from html.entities import name2codepoint
+
+    from pyspark.sql import functions as F
+
+    from quarry.functions import text
+
+    named = "".join(f"&{n};" for n in name2codepoint)
+    edges = "&#65;&#x41;&#X00041;&#0;&#x10FFFF;&#x110000;&#xD800;&#xDFFF;&#xE000;&#99999999999999999999;&#xffffffffffff;&;&#;&#x;&amp;lt;&Amp;&bogus1;&lt"
+    rows = spark.createDataFrame([(named,), (edges,), ("",), (None,), ("no & or ;",)], "t string")
+    found = [r[0] for r in rows.coalesce(1).select(text.entity_decoder()(F.col("t"))).collect()]
+    assert found == ["".join(map(chr, name2codepoint.values())), "AAA&#0;\U0010ffff&#x110000;&#xD800;&#xDFFF;&#99999999999999999999;&#xffffffffffff;&;&#;&#x;&lt;&Amp;&bogus1;&lt", "", None, "no & or ;"]
+    assert [r[0] for r in rows.coalesce(1).select(text.entity_decoder("replace", "_", latin1=True)(F.col("t"))).collect()][1] == "AAA________&;&#;&#x;&lt;__&lt"
