@@ -51,6 +51,7 @@ _tag = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)
 _heading = re.compile(r"^(={1,6})\s*(.*?)\s*\1\s*$")
 _html_heading = re.compile(r"<h([1-6])\b[^>]*>(.*?)</h\1\s*>", re.I | re.S)
 _inline = re.compile(r"'{2,5}|\[\[|\]\]|\[(?=https?://|ftp://|mailto:)|\]|https?://[^\s<>\[\]\"']+|<")
+_link_signs = re.compile(r"\[\[|\]\]")
 _list = re.compile(r"^([*#:;]+)\s*(.*)$")
 
 
@@ -63,9 +64,12 @@ class Node:
     tag: str = ""
 
     def walk(self):
-        yield self
-        for c in self.children:
-            yield from c.walk()
+        """This node and all below it in pre-order."""
+        stack = [self]
+        while stack:
+            n = stack.pop()
+            yield n
+            stack += n.children[::-1]
 
 
 def parse(title: str, markup: str) -> Node:
@@ -232,6 +236,7 @@ def _link(target: str, label: str | None) -> Node:
 def _inlines(text: str, parent: Node) -> None:
     """Links, quotes and tags. What isn't closed ends with its surroundings."""
     stack = [parent]
+    closings: dict[int, int] | None = None
 
     def say(s: str) -> None:
         if s:
@@ -257,7 +262,9 @@ def _inlines(text: str, parent: Node) -> None:
             for cls in {2: ("Italic",), 3: ("Bold",), 4: ("Bold",), 5: ("Bold", "Italic")}[len(s)]:
                 toggle(cls)
         elif s == "[[":
-            end = _closing(text, at)
+            closings = _closings(text) if closings is None else closings
+            end = closings.get(at, -2)
+            end = _closing(text, at) if end < -1 else end
             if end < 0:
                 say(s)
                 continue
@@ -314,10 +321,23 @@ def _inlines(text: str, parent: Node) -> None:
             say(s)
 
 
+def _closings(text: str) -> dict[int, int]:
+    """For the content of each `[[`, where the `]]` stands that closes it; -1 if none does. In one pass."""
+    found: dict[int, int] = {}
+    stack: list[int] = []
+    for m in _link_signs.finditer(text):
+        if m.group() == "[[":
+            stack.append(m.end())
+            found[m.end()] = -1
+        elif stack:
+            found[stack.pop()] = m.start()
+    return found
+
+
 def _closing(text: str, at: int) -> int:
     """The `]]` that closes a link, with links inside."""
     depth = 1
-    for m in re.compile(r"\[\[|\]\]").finditer(text, at):
+    for m in _link_signs.finditer(text, at):
         depth += 1 if m.group() == "[[" else -1
         if depth == 0:
             return m.start()
@@ -385,7 +405,7 @@ class Renderer:
         elif action == "keep" and n.cls in NO_CLOSE:
             return start.replace(">", " />") + "\n" if self.own is None else start + "\n"
         else:
-            out = "".join(map(self.render, n.children))
+            out = "".join([self.render(c) for c in n.children])
             if action == "keep":
                 out = out.strip()
                 out = start + out + end if out else ""
@@ -395,7 +415,7 @@ class Renderer:
         if n.cls == "Text":
             return n.text
         action, start, end = self.rule(n)
-        inner = "".join(map(self.render, n.children))
+        inner = "".join([self.render(c) for c in n.children])
         block = n.cls in BLOCK
         if action == "purge":
             return "\n" if self.extra and block else " "
@@ -419,7 +439,7 @@ class Renderer:
         return (start + title + (self.parameters(n) if n.cls == "Section" else "") + end).replace("\n", "")
 
     def title(self, n: Node) -> str:
-        return n.text if n.cls == "Article" else "".join(map(self.render, n.children[0].children)).strip()
+        return n.text if n.cls == "Article" else "".join([self.render(c) for c in n.children[0].children]).strip()
 
 
 def sections(title: str, markup: str, mode: str = "classify", rules: dict[str, Rule] | None = None) -> list[dict]:

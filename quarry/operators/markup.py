@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,10 +23,15 @@ def _schema(columns: dict[str, pa.DataType]) -> str:
     return ", ".join(f"{c} {SPARK_NAMES[t]}" for c, t in columns.items())
 
 
+#: Nodes within nodes that can be followed; deeper pages give an error row.
+DEEPEST = 200_000
+
+
 def _each_page(pages: DataFrame, title: str, markup: str, columns: dict[str, pa.DataType], rows_of) -> DataFrame:
     """The rows that `rows_of(title, markup)` makes of every page that has markup."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sys.setrecursionlimit(DEEPEST)
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 part = b.slice(at, 200)
@@ -64,6 +70,7 @@ def aligned(pages: DataFrame) -> DataFrame:
     """(title, lines) from (title, markup, sentences): sentences of one's own with the marks of the article's first section put back. Null markup gives no lines."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sys.setrecursionlimit(DEEPEST)
         marks = wiki.Renderer("mark")
         for b in batches:
             rows = []
@@ -83,6 +90,7 @@ def marked_lines(pages: DataFrame, language: str = "en") -> DataFrame:
     whether a section is kept whole (else its heading only)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sys.setrecursionlimit(DEEPEST)
         lexer, plain, marks = Lexer(language), wiki.Renderer("segment"), wiki.Renderer("mark")
         for b in batches:
             rows = []

@@ -80,3 +80,24 @@ def test_references_of_all_kinds(spark):
     found = [r[0] for r in rows.coalesce(1).select(text.entity_decoder()(F.col("t"))).collect()]
     assert found == ["".join(map(chr, name2codepoint.values())), "AAA&#0;\U0010ffff&#x110000;&#xD800;&#xDFFF;&#99999999999999999999;&#xffffffffffff;&;&#;&#x;&lt;&Amp;&bogus1;&lt", "", None, "no & or ;"]
     assert [r[0] for r in rows.coalesce(1).select(text.entity_decoder("replace", "_", latin1=True)(F.col("t"))).collect()][1] == "AAA________&;&#;&#x;&lt;__&lt"
+
+
+def test_pages_of_any_depth(spark):
+    """Nodes within nodes and signs that nothing closes: no error rows, and in little time."""
+    import random
+    import time
+
+    from quarry.functions import markup
+    from quarry.operators import markup as pages
+
+    deep = "<div>" * 3000 + "x" + "</div>" * 3000
+    rows = spark.createDataFrame([("d", deep), ("l", "[[" * 20_000 + "x"), ("q", "'''''" * 20_000)], "title string, markup string")
+    began = time.time()
+    found = pages.sections_of(rows, mode="segment").collect()
+    assert {r.title: r.content for r in found}["d"] == "x" and all(r.error is None for r in found) and pages.nodes_of(rows.where("title = 'd'")).count() == 3002
+    assert time.time() - began < 40
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choice(["[[", "]]", "[", "]", "a"]) for _ in range(rng.randrange(12)))
+        closings = markup._closings(text)
+        assert all(end == markup._closing(text, at) for at, end in closings.items())
