@@ -88,6 +88,17 @@ def training_labels(sections: DataFrame, stats: DataFrame, rare: int = 1, common
     return out.withColumn("clean", F.coalesce(clean, F.lit(False))).withColumn("dirty", F.coalesce(dirty, F.lit(False))).drop("_h", "_n", "_len")
 
 
+def limits_of(stats: DataFrame, common: float = 0.99, short: float = 0.5) -> dict[str, int]:
+    """Limits for `training_labels` that follow from the headings themselves: the count that the share `common` of all headings doesn't
+    exceed, and the average length that the share `short` of those of a greater count doesn't exceed. No limits without headings."""
+    at = lambda c, q: f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})"
+    count = stats.agg(F.expr(at("count", common))).first()[0]
+    if count is None:
+        return {}
+    length = stats.where(F.col("count") > count).agg(F.expr(at("avg_len", short))).first()[0]
+    return {"common": int(count)} | ({} if length is None else {"short": int(length) + 1})
+
+
 def is_exploded(lines: DataFrame) -> Column:
     """For use in an aggregate over lines (line_no, line): true or false by the first heading line, null without any."""
     kind = F.when(F.col("line").rlike(HEADING_LINE), False).when(F.col("line").rlike(EXPLODED_HEADING_LINE), True)

@@ -97,6 +97,14 @@ def training_labels(spark, sf_dir):
     return out.select("doc_id", F.col("sec_idx").cast("long").alias("sec_idx"), "clean", "dirty")
 
 
+def training_labels_by_share(spark, sf_dir):
+    """Labels by limits that follow from the headings: the commonest hundredth, and the shorter half of these."""
+    rows = sections.line_sections(_docs(spark, sf_dir)).withColumn("n_par", F.length("content") % 7)
+    stats = sections.heading_stats(rows)
+    out = sections.training_labels(rows, stats, **sections.limits_of(stats))
+    return out.select("doc_id", F.col("sec_idx").cast("long").alias("sec_idx"), "clean", "dirty")
+
+
 def exploded_islands(spark, sf_dir):
     """Lines that end in a point and a three-letter word stand for headings."""
     lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -167,7 +175,7 @@ def balanced_chunks(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     list_articles_sorted, article_blacklist, namespace_counts, redirect_closure, redirect_circles, template_rule_index, section_setdiff, heading_stats, heading_retention, purge_cut,
-    training_labels, exploded_islands, template_rule_resolution, template_substrings, template_usage, entity_decode, html_heading_rewrite,
+    training_labels, training_labels_by_share, exploded_islands, template_rule_resolution, template_substrings, template_usage, entity_decode, html_heading_rewrite,
     mask_roundtrip, sentence_split_simple, corpus_lines, balanced_chunks,
 )}
 
@@ -246,6 +254,13 @@ SELECT doc_id, sec_idx, n <= 1 AND length(content) % 7 >= 4 AS clean,
   CASE WHEN title IN ('Deaths', 'Births', 'Publications') THEN true
     WHEN title IN ('Awards', 'Geography', 'Education', 'Transportation', 'Personal life', 'Family', 'Trivia', 'Results', 'People', 'Achievments', 'Transport') THEN false
     ELSE NOT regexp_full_match(content, '\\s*') AND n > 5000 AND avg_len < 750 END AS dirty
+FROM s JOIN h ON translate(s.title, '_', '-') = h.heading""",
+    "training_labels_by_share": f"""
+WITH {_SECTIONS}, h AS (SELECT translate(title, '_', '-') AS heading, count(*) AS n, sum(length(content)) // count(*) AS avg_len FROM s GROUP BY 1), c AS (SELECT min(n) AS most FROM h WHERE (SELECT count(*) FROM h x WHERE x.n <= h.n) >= 0.99 * (SELECT count(*) FROM h)), g AS (SELECT avg_len, row_number() OVER (ORDER BY avg_len) AS r, count(*) OVER () AS k FROM h, c WHERE n > most), l AS (SELECT min(avg_len) AS least FROM g WHERE r >= 0.5 * k)
+SELECT doc_id, sec_idx, n <= 1 AND length(content) % 7 >= 4 AS clean,
+  CASE WHEN title IN ('Deaths', 'Births', 'Publications') THEN true
+    WHEN title IN ('Awards', 'Geography', 'Education', 'Transportation', 'Personal life', 'Family', 'Trivia', 'Results', 'People', 'Achievments', 'Transport') THEN false
+    ELSE NOT regexp_full_match(content, '\\s*') AND n > (SELECT most FROM c) AND avg_len <= (SELECT least FROM l) END AS dirty
 FROM s JOIN h ON translate(s.title, '_', '-') = h.heading""",
     "exploded_islands": f"""
 WITH {_SECTIONS}, i AS (SELECT doc_id, sec_idx, content, (sum(regexp_matches(content, '[^.]{{3}}\\.$')::INT) OVER (PARTITION BY doc_id ORDER BY sec_idx))::BIGINT AS island FROM s), t AS (
