@@ -4,9 +4,9 @@ A rule is a host, with all its subdomains, and a prefix of the path. The
 canonical key of a place is its host's labels in reverse order, a slash, and
 its path: `com.example/` + `/en/7`. Everything under a rule has a key that
 starts with the rule's key, so that a rule is an interval of the sorted keys,
-and two rules' intervals are nested or disjoint. A url of n host labels is
-looked up under its n domain suffixes, because a rule of `com` also holds for
-`example.com` with a path of its own.
+and two rules' intervals are nested or disjoint. A url is looked up under its host's
+domain suffixes, because a rule of `com` also holds for `example.com` with a
+path of its own; only those with as many labels as some rule's host can have one.
 
 Rules and urls are dealt into ranges of keys; a rule goes to each range that
 its interval meets. Each range is sorted once and swept with a stack of the
@@ -44,11 +44,12 @@ def _reversed(labels: Column) -> Column:
     return F.array_join(F.reverse(labels), ".")
 
 
-def _suffix_keys(host: Column, path: Column) -> Column:
-    """The keys of a place under each of its host's suffixes."""
+def _suffix_keys(host: Column, path: Column, sizes: list[int]) -> Column:
+    """The keys of a place under those suffixes of its host that have as many labels as some rule's host."""
     labels = F.split(host, r"\.", -1)
     n = F.size(labels)
-    return F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(_reversed(F.slice(labels, n - k + 1, k)), F.lit("/"), path))
+    fit = F.filter(F.array(*map(F.lit, sizes)).cast("array<int>"), lambda k: k <= n)
+    return F.transform(fit, lambda k: F.concat(_reversed(F.slice(labels, n - k + 1, k)), F.lit("/"), path))
 
 
 def _dealer(bounds: list[bytes], schema: pa.Schema):
@@ -106,10 +107,12 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     """
     spark = pages.sparkSession
     urls = pages.select(F.col(id_col).alias("_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
+    rules = rules.select(ascii_lower(F.col("host")).alias("host"), "path", "verdict").na.drop().groupBy("host", "path").agg(F.min(F.struct(F.col("verdict") != "block", "verdict"))["verdict"].alias("verdict"))
+    # k different numbers of labels take k * k / 2 labels of rules at least.
+    sizes = sorted(r[0] for r in rules.select(F.size(F.split("host", r"\.", -1))).distinct().collect())
     places = urls.select("host", "path").distinct()
     nothing = F.lit(None).cast("string")
-    places = places.select(F.explode(_suffix_keys(F.col("host"), F.col("path"))).alias("key"), F.lit(1).alias("kind"), "host", "path", nothing.alias("rule"), nothing.alias("verdict"))
-    rules = rules.select(ascii_lower(F.col("host")).alias("host"), "path", "verdict").na.drop().groupBy("host", "path").agg(F.min(F.struct(F.col("verdict") != "block", "verdict"))["verdict"].alias("verdict"))
+    places = places.select(F.explode(_suffix_keys(F.col("host"), F.col("path"), sizes)).alias("key"), F.lit(1).alias("kind"), "host", "path", nothing.alias("rule"), nothing.alias("verdict"))
     rules = rules.select(F.concat(_reversed(F.split("host", r"\.", -1)), F.lit("/"), "path").alias("key"), F.lit(0).alias("kind"), "host", "path", F.concat("host", "path").alias("rule"), "verdict")
 
     # Split points only balance the ranges; a fixed number of keys of low hash serves.

@@ -411,3 +411,11 @@ def test_url_filters(spark):
     out = url_filters.judge(pages, rules)
     assert got(out.withColumn("page_id", F.coalesce("page_id", F.lit(-1))), "host", "path", "rule", "verdict") == sorted(want * 2, key=repr)
     assert url_filters.judge(pages.limit(0), rules).count() == 0 and url_filters.judge(pages, rules.limit(0)).where("rule is not null").count() == 0
+
+
+def test_hosts_of_very_many_labels(spark):
+    """A host is looked up under as many suffixes as rules have numbers of labels, however long it is."""
+    host = "a." * 200_000 + "example.com"
+    pages = spark.createDataFrame([(1, f"http://{host}/x/y"), (2, "http://" + "." * 100_000), (3, "http://com/x")], "page_id long, url string")
+    rules = spark.createDataFrame([("example.com", "/x", "block"), ("com", "/x", "allow"), ("a.example.com", "/z", "block")], "host string, path string, verdict string")
+    assert sorted((r.page_id, r.rule, r.verdict) for r in url_filters.judge(pages, rules).collect()) == [(1, "example.com/x", "block"), (2, None, "allow"), (3, "com/x", "allow")]
