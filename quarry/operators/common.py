@@ -41,16 +41,17 @@ def tabled(df: DataFrame) -> DataFrame:
 HOT, SHARE = 1_000_000, 10_000
 
 
-def join_hot(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], least: int = HOT) -> DataFrame:
     """`rows` left join `table`, which has each key of `on` once at most. Null keys meet nothing.
 
     The rows of a hot key aren't gathered in one task: what `table` has for
-    it is broadcast to them.
+    it is broadcast to them. Hot are keys of more than `least` rows, where rows
+    are large, but never more than SHARE keys.
     """
     total = rows.count()
-    if total <= HOT:  # no key can be hot
+    if total <= least:  # no key can be hot
         return rows.join(table, on, "left")
-    counts = rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > max(HOT, total // SHARE))
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > max(least, total // SHARE))
     hot = settle(counts.na.drop(subset=on).drop("_n").join(table, on, "left").withColumn("_hot", F.lit(True)))
     if hot.isEmpty():
         return rows.join(table, on, "left")
