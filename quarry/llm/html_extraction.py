@@ -9,11 +9,17 @@ of its repetitions and if it nests with the other classes; valid classes make
 up the template, and what stands between their tokens are the slots.
 
 The main text is what the slots of the main element hold: the innermost element
-of the template that holds more than half of the host's slot text. Text of the
-template is none, wherever it stands. Within the main element labels of HTML
-tell slots that serve the site (menus, forms, adverts, comments ...). Marks of
-articles decide only on hosts without a template or without a main element,
-and on a page of which the template would leave nothing.
+of the template that holds more than half of the host's slot text. Blocks of
+the template's text are none of it, but for those that belong to text of the
+page: blocks that also hold a slot's text, and headings of blocks that do. What
+serves the site within the main element is told by structure and not by words:
+by HTML's own elements for it, by articles within the article, by elements of
+the template that hold links for the most part, and by marks that the template
+also has outside the main element. Marks of articles decide only on hosts
+without a template or without a main element, and on a page of which the
+template would leave nothing; where a page has no such mark either, it is the
+page's innermost element with more than half of its text. Only there, where a
+page tells nothing about its host, usual names of comments and the like count.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import settle
 from quarry.llm.url_filters import url_host
+from quarry.operators.common import join_hot
 
 #: A class belongs to a host's template if this share of the host's pages, and this many at least, have it.
 SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.6, 3, 3
@@ -37,6 +44,8 @@ SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.6, 3, 3
 MAIN_SHARE = 0.5
 #: Templates of up to this many bytes are broadcast; more are joined by host.
 BROADCAST_BYTES = 32 << 20
+#: A host of more pages than this has many.
+HOT_PAGES = 10_000
 
 # Fixed values of HTML: kinds of elements.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -44,8 +53,12 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "del", "dfn", "
 SITE = {"nav", "footer", "aside", "form", "head", "title", "noscript", "template", "button", "select", "textarea", "iframe", "svg", "object", "dialog", "menu", "script", "style"}
 #: Elements that hold others; the main element is one of them.
 CONTAINERS = {"html", "body", "div", "main", "article", "section", "center", "table", "tbody", "tr", "td"}
-#: Words in class, id and role of elements that serve the site.
-SITE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "copyright", "disqus", "footer", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "related", "reply", "replies", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "teaser", "toolbar", "widget"}
+#: Lists, which serve the site where they hold links.
+LISTS = {"ul", "ol", "dl"}
+#: Elements that head the blocks behind them.
+HEADS = {"h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "caption", "figcaption", "legend", "summary"}
+#: Whole classes, ids and roles of elements that serve the site, where only a page's own marks decide.
+SITE_NAMES = {"ad", "ads", "advertisement", "banner", "breadcrumbs", "comments", "complementary", "contentinfo", "cookies", "disqus_thread", "footer", "menu", "navigation", "newsletter", "respond", "search", "sidebar"}
 
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</?[a-z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>|[^<]+|<", re.I | re.S)
 _tag = re.compile(r"<(/?)([a-z][^\s/>]*)", re.I)
@@ -55,14 +68,15 @@ _split = re.compile(r"[^a-z0-9]+")
 
 class Token:
     """kind: text, open, close or other; path: a hash of the open elements' names; site: within an element that
-    serves the site; main: within an article; within: in the main element; mass: characters of text in an
-    element that serve no site; depth: of an element that may be the main one, else -1."""
+    serves the site; main: within an article; within: in the main element; link: within a link; head: of a text, its
+    element heads others; named: in an element of SITE_NAMES; mass: characters of text in an element that serve no site; links: those of them in links;
+    end: place behind an element's last token; depth: of an element that may be the main one, else -1."""
 
-    __slots__ = ("kind", "text", "name", "path", "site", "main", "within", "mass", "depth", "_key")
+    __slots__ = ("kind", "text", "name", "path", "site", "main", "within", "link", "head", "named", "mass", "links", "end", "depth", "_key")
 
     def __init__(self, kind, text, name, path, site, main, within=False, depth=-1):
         self.kind, self.text, self.name, self.path, self.site, self.main, self.within, self.depth = kind, text, name, path, site, main, within, depth
-        self.mass, self._key = 0, None
+        self.mass, self.links, self.end, self.link, self.head, self.named, self._key = 0, 0, 0, False, False, False, None
 
     def key(self) -> int:
         """Signed 64 bits of what the token is and where it stands."""
@@ -76,16 +90,22 @@ def tokens(page: str, main: int | None = None) -> list[Token]:
     """The page's tokens. Elements that aren't closed end with the element around them; inline elements open nothing.
     `main` is the key of the main element's tag."""
     out: list[Token] = []
-    # Name, path of what it holds, serves the site, mark of the article, in the main element, its tag, text before it.
-    stack: list[tuple[str, int, bool, str, bool, Token, int]] = [("", 0, False, "", False, Token("open", "", "", 0, False, ""), 0)]
+    # Name, path of what it holds, serves the site, mark of the article, in the main element, its tag, text and text of links before it.
+    stack: list[tuple[str, int, bool, str, bool, Token, int, int]] = [("", 0, False, "", False, Token("open", "", "", 0, False, ""), 0, 0)]
     opened: dict[str, int] = defaultdict(int)
-    mass = 0
+    mass = links = 0
+    anchor = 0  # number of elements around the open link, if any
+    named = 0  # number of elements around the open element of SITE_NAMES, if any
 
     def close(at: int) -> None:
-        for name, _, _, _, _, tag, before in stack[at:]:
-            tag.mass = mass - before
+        nonlocal anchor, named
+        for name, _, _, _, _, tag, before, linked in stack[at:]:
+            tag.mass, tag.links, tag.end = mass - before, links - linked, len(out)
             opened[name] -= 1
         del stack[at:]
+        # A link that isn't closed ends with the element around it.
+        anchor = 0 if at < anchor else anchor
+        named = 0 if at <= named else named
 
     for m in _token.finditer(page):
         s = m.group()
@@ -95,10 +115,17 @@ def tokens(page: str, main: int | None = None) -> list[Token]:
             continue
         _, path, in_site, mark, within, *_ = stack[-1]
         if not tag:
-            out.append(Token("text", s, "", path, in_site, mark, within))
-            mass += 0 if in_site else len(s.strip())
+            # A section of characters is text without references.
+            t = Token("text", entities.escape(s[9:-3], quote=False) if s[:9] == "<![CDATA[" else s, "", path, in_site, mark, within)
+            t.link, t.head, t.named = anchor > 0, stack[-1][0] in HEADS, named > 0
+            out.append(t)
+            size = 0 if in_site else len(s.strip())
+            mass += size
+            links += size if anchor else 0
             continue
         name = tag.group(2).lower()
+        if name == "a":
+            anchor = 0 if tag.group(1) else len(stack)
         if tag.group(1):
             if name in INLINE or name in VOID:
                 out.append(Token("other", " " if name == "br" else "", name, 0, False, ""))
@@ -112,15 +139,19 @@ def tokens(page: str, main: int | None = None) -> list[Token]:
             continue
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1][0] == name or stack[-1][0] == "p":
             close(len(stack) - 1)
-        words = set(_split.split(" ".join(x.strip("\"'") for x in _mark.findall(s)).lower())) - {""}
+        marks = " ".join(x.strip("\"'") for x in _mark.findall(s)).lower()
+        words = set(_split.split(marks)) - {""}
         _, path, in_site, mark, within, *_ = stack[-1]
-        t = Token("open", "", ".".join([name, *sorted(words)]), path, False, "", depth=len(stack) if name in CONTAINERS else -1)
+        t = Token("open", "", ".".join([name, *sorted(words)]), path, False, "", within, depth=len(stack) if name in CONTAINERS else -1)
         out.append(t)
         if name not in VOID and not s.endswith("/>"):
-            site = in_site or name in SITE or name == "header" and mark != "article" or bool(words & SITE_WORDS)
+            # An article within an article is a reader's comment, a header outside of one is the site's.
+            site = in_site or name in SITE or name == "header" and mark != "article" or name == "article" and mark == "article"
             mark = "article" if mark == "article" or name == "article" else mark or ("main" if name == "main" or "main" in words else "")
-            stack.append((name, xxhash.xxh3_64_intdigest(f"{path}/{name}"), site, mark, within or main is not None and t.key() == main, t, mass))
+            stack.append((name, xxhash.xxh3_64_intdigest(f"{path}/{name}"), site, mark, within or main is not None and t.key() == main, t, mass, links))
             opened[name] += 1
+            if not named and (name in CONTAINERS or name in LISTS) and not SITE_NAMES.isdisjoint(marks.split()):
+                named = len(stack) - 1
     close(1)
     return out
 
@@ -195,37 +226,89 @@ def _chosen(found: list[list[Token]]) -> set[Token]:
 
 
 def _marked(page: list[Token]) -> tuple[str, set[Token]]:
-    """The mark that a page has text in, if any, and the texts that the marks choose."""
-    own = [t for t in page if t.kind == "text" and not t.site]
+    """The mark that a page has text in, if any, and the texts that the marks choose; without one, those of the innermost element with over half of the text."""
+    own = [t for t in page if t.kind == "text" and not t.site and not t.named]
     level = next((m for m in ("article", "main") if any(t.main == m and t.text.strip() for t in own)), "")
-    return level, {t for t in own if not level or t.main == level}
+    if level:
+        return level, {t for t in own if t.main == level}
+    total = sum(len(t.text.strip()) for t in own)
+    large = [(t.depth, -i) for i, t in enumerate(page) if t.depth >= 0 and t.mass > MAIN_SHARE * total]
+    if large:
+        at = -max(large)[1]
+        own = [t for t in page[at : page[at].end] if t.kind == "text" and not t.site and not t.named]
+    return level, set(own)
+
+
+def _of_the_site(page: list[Token], fixed: set[int]) -> set[Token]:
+    """Texts in the main element that serve the site: in elements of the template that are links for the most part,
+    or that have the marks of an element of the template outside. What is more than half of the main element's text serves no site."""
+    tags = [(i, t) for i, t in enumerate(page) if t.kind == "open" and t.end > i and t.key() in fixed]
+    first = next((i for i, t in enumerate(page) if t.within), 0)
+    # An element around the main one is no other element.
+    outside = {t.name for i, t in tags if not t.within and "." in t.name and not (i < first < t.end)}
+    inside: dict[str, set[Token]] = defaultdict(set)
+    for i, t in tags:
+        kind = t.name.split(".")[0]
+        if t.within and (kind in CONTAINERS or kind in LISTS) and (2 * t.links > t.mass or t.name in outside):
+            inside[t.name].update(x for x in page[i : t.end] if x.kind == "text")
+    weight = lambda texts: sum(len(x.text.strip()) for x in texts if not x.site)
+    total = weight(t for t in page if t.kind == "text" and t.within)
+    return {x for texts in inside.values() if 2 * weight(texts) <= total for x in texts}
+
+
+def _blocks(page: list[Token]) -> list[list[Token]]:
+    """Texts and inline tags between the tags of blocks."""
+    out: list[list[Token]] = [[]]
+    for t in page:
+        if t.kind in ("open", "close"):
+            out.append([])
+        else:
+            out[-1].append(t)
+    return [b for b in out if b]
+
+
+def _with_own_labels(blocks: list[list[Token]], chosen: set[Token], around: set[Token], heads: bool) -> set[Token]:
+    """The chosen texts, and those of the template `around` them that belong to them: in one block with them, or with `heads` in headings that the chosen follow."""
+    out, follows = set(chosen), False
+    for b in reversed(blocks):
+        texts = [t for t in b if t.kind == "text" and t.text.strip()]
+        if not texts:
+            continue
+        if any(t in chosen for t in texts) or follows and heads and all(t.head and t in around for t in texts):
+            out.update(t for t in texts if t in around)
+            follows = True
+        else:
+            follows = False
+    return out
 
 
 def extract(page: str, classes: dict[int, int] | None = None, main: int | None = None) -> str:
     """The main text of a page, given the classes of its host's template and the key of its main element."""
     seq = tokens(page, main)
+    blocks = _blocks(seq)
     valid = valid_classes(seq, classes) if classes else set()
     if valid:
-        found = slots(seq, {k for k, c in classes.items() if c in valid})
-        within = main is not None and classes.get(main) in valid
-        chosen = {t for x in found for t in x if t.within and not t.site} if within else _chosen(found)
+        fixed = {k for k, c in classes.items() if c in valid}
+        found = slots(seq, fixed)
+        if main is not None and classes.get(main) in valid:
+            site = _of_the_site(seq, fixed)
+            around, heads = {t for t in seq if t.kind == "text" and t.within and not t.site and t not in site}, True
+            chosen = {t for x in found for t in x if t in around}
+        else:
+            chosen = _chosen(found)
+            level = {t.main for t in chosen}
+            heads = "" not in level  # headings outside of a known article may be the site's
+            around = {t for t in seq if t.kind == "text" and not t.site and t.main in level}
+        chosen = _with_own_labels(blocks, chosen, around, heads)
     if not valid or not chosen:
         level, texts = _marked(seq)
         if level or not valid:
             chosen = texts
-    blocks, block = [], []
-    for t in seq:
-        if t.kind in ("open", "close"):
-            blocks.append(block)
-            block = []
-        elif t.kind == "text":
-            if t in chosen or not t.site and t.text.isspace():
-                block.append(entities.unescape(t.text))
-        elif t.text:
-            block.append(t.text)
-    blocks.append(block)
-    folded = (" ".join("".join(b).split()) for b in blocks)
-    return "\n".join(b for b in folded if b)
+    lines = []
+    for b in blocks:
+        parts = (entities.unescape(t.text) if t.kind == "text" and (t in chosen or not t.site and t.text.isspace()) else t.text if t.kind == "other" else "" for t in b)
+        lines.append(" ".join("".join(parts).split()))
+    return "\n".join(x for x in lines if x)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +367,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), url_host(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     deduced = settle(templates(source.select("host", F.xxhash64("html").alias("row"), "html")))
     size = deduced.agg(F.sum(F.aggregate("template", F.lit(0), lambda a, c: a + 16 + 8 * F.size(c["tokens"])))).first()[0] or 0
-    joined = source.join(F.broadcast(deduced) if size <= BROADCAST_BYTES else deduced, "host", "left")
+    # Beyond that, hosts of many pages (there are few of them) still get theirs by broadcast, so that no task has all pages of one.
+    joined = source.join(F.broadcast(deduced), "host", "left") if size <= BROADCAST_BYTES else join_hot(source, deduced, ["host"], HOT_PAGES)
     kind = pages.schema[id_col].dataType.simpleString()
     out = joined.select("id", "url", "html", "template", "main").mapInArrow(_extract, f"id {kind}, url string, text string")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

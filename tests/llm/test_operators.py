@@ -419,3 +419,29 @@ def test_hosts_of_very_many_labels(spark):
     pages = spark.createDataFrame([(1, f"http://{host}/x/y"), (2, "http://" + "." * 100_000), (3, "http://com/x")], "page_id long, url string")
     rules = spark.createDataFrame([("example.com", "/x", "block"), ("com", "/x", "allow"), ("a.example.com", "/z", "block")], "host string, path string, verdict string")
     assert sorted((r.page_id, r.rule, r.verdict) for r in url_filters.judge(pages, rules).collect()) == [(1, "example.com/x", "block"), (2, None, "allow"), (3, "com/x", "allow")]
+
+
+HARD = (
+    "<nav>Menu</nav><div class='ad'>Buy {0}</div>{1}<h1>Head {0}</h1><h2>Summary</h2><p>Story {0} that is long enough to be one</p>"
+    "<p class='share-price'>Now {0}</p><div class='search-history'>Past {0}</div><p id='notice-period'>In {0}</p><p>By <b>Ann {0}</b></p>"
+    "<p>Send this to a friend</p><div class='ad'>Inner {0}</div><h3>Related</h3><ul><li><a href=x>Link {0}</a></li><li><a href=y>More {0}</a></li></ul>"
+    "<p>x <![CDATA[h&amp;<i]]> {0}</p>{2}<footer>Foot {0}</footer>"
+)
+PLAIN = "Head {0}\nSummary\nStory {0} that is long enough to be one\nNow {0}\nPast {0}\nIn {0}\nBy Ann {0}\nx h&amp;<i {0}"
+
+
+def test_slots_are_decided_by_structure_and_not_by_words(spark):
+    """Marks alone leave the inner advert, the links and the site's sentence in; words in classes would take three blocks of the article."""
+    hosts = {"a": ("<article>", "</article>"), "b": ("<div>", "</div>"), "c": ("<main>", "</main>")}
+    rows = [(10 * n + i, f"http://{h}.example/{i}", HARD.format(f"q{n}x{i}", *marks)) for n, (h, marks) in enumerate(hosts.items()) for i in range(6)]
+    out = html_extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert got(out, "page_id", "text") == sorted([(10 * n + i, PLAIN.format(f"q{n}x{i}")) for n in range(3) for i in range(6)], key=repr)
+
+
+def test_a_host_of_many_pages_is_joined_like_the_others(spark, monkeypatch):
+    rows = [(i, f"http://h{int(i > 40)}.example/{i}", HARD.format(f"q{i}", "<article>", "</article>")) for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    want = got(html_extraction.main_text(pages), "page_id", "text")
+    monkeypatch.setattr(html_extraction, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(html_extraction, "HOT_PAGES", 20)
+    assert got(html_extraction.main_text(pages), "page_id", "text") == want and len(want) == 50
