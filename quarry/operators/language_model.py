@@ -75,22 +75,29 @@ def continuation_counts(counts: DataFrame, order: int) -> DataFrame:
     return out.select("ord", "ngram", F.when(keep, F.col("c")).otherwise(F.coalesce("t", F.col("c"))).cast("long").alias("c"))
 
 
-def _discounts(counts: DataFrame, modified: bool) -> DataFrame:
-    """(ord, d1, d2, d3): the discounts of each order; where counts of counts are lacking, 0.5."""
-    n = counts.groupBy("ord").agg(*(F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in range(1, 5)))
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    ok = (F.col("n1") > 0) & (F.col("n2") > 0)
-    if not modified:
-        d = F.when(ok, y).otherwise(0.5)
-        return n.select("ord", d.alias("d1"), d.alias("d2"), d.alias("d3"))
-    ok3, ok4 = ok & (F.col("n3") > 0), ok & (F.col("n3") > 0) & (F.col("n4") > 0)
+def _counts_of_counts(c: Column) -> list[Column]:
+    return [F.count_if(c == i).cast("double") for i in range(1, 5)]
+
+
+def _three_discounts(n: list[Column], modified: bool) -> list[Column]:
+    """The discounts of counts 1, 2 and more by the counts of counts 1 to 4; where these are lacking, 0.5."""
+    y = n[0] / (n[0] + 2 * n[1])
+    ok = (n[0] > 0) & (n[1] > 0)
     flat = F.when(ok, y).otherwise(0.5)
-    d1 = F.when(ok, 1 - 2 * y * F.col("n2") / F.col("n1")).otherwise(flat)
-    d2 = F.when(ok3, 2 - 3 * y * F.col("n3") / F.nullif(F.col("n2"), F.lit(0.0))).otherwise(flat)
-    d3 = F.when(ok4, 3 - 4 * y * F.col("n4") / F.nullif(F.col("n3"), F.lit(0.0))).otherwise(flat)
+    if not modified:
+        return [flat] * 3
+    ok3, ok4 = ok & (n[2] > 0), ok & (n[2] > 0) & (n[3] > 0)
+    d1 = F.when(ok, 1 - 2 * y * n[1] / n[0]).otherwise(flat)
+    d2 = F.when(ok3, 2 - 3 * y * n[2] / F.nullif(n[1], F.lit(0.0))).otherwise(flat)
+    d3 = F.when(ok4, 3 - 4 * y * n[3] / F.nullif(n[2], F.lit(0.0))).otherwise(flat)
     # A negative discount would raise a probability: the single discount serves then.
-    keep = lambda d: F.when(d >= 0, d).otherwise(flat)
-    return n.select("ord", keep(d1).alias("d1"), keep(d2).alias("d2"), keep(d3).alias("d3"))
+    return [F.when(d >= 0, d).otherwise(flat) for d in (d1, d2, d3)]
+
+
+def _discounts(counts: DataFrame, modified: bool) -> DataFrame:
+    """(ord, d1, d2, d3): the discounts of each order."""
+    n = counts.groupBy("ord").agg(*(x.alias(f"n{i}") for i, x in enumerate(_counts_of_counts(F.col("c")), 1)))
+    return n.select("ord", *(d.alias(f"d{i}") for i, d in enumerate(_three_discounts([F.col(f"n{i}") for i in range(1, 5)], modified), 1)))
 
 
 def train(rows: DataFrame, order: int, method: str) -> DataFrame:
@@ -237,10 +244,80 @@ def significance(p: Column) -> Column:
     return F.when(p <= 0.005, "**").when(p <= 0.05, "*").otherwise("")
 
 
-def grid(rows: DataFrame, orders: tuple[int, ...], methods: tuple[str, ...] = METHODS) -> DataFrame:
-    """All models of a grid in one DataFrame, with `method` and `max_order`."""
-    models = [train(rows, n, m).select(F.lit(m).alias("method"), F.lit(n).alias("max_order"), "ord", "ngram", "logp", "bow") for n in orders for m in methods]
-    return reduce(DataFrame.unionByName, models)
+#: More training sets than this, times orders, have no place in one grid: their figures are broadcast.
+GRID_FIGURES = 100_000
+
+
+def grid(rows: DataFrame, orders: tuple[int, ...], methods: tuple[str, ...] = METHODS, by: str | None = None) -> DataFrame:
+    """(method, max_order, ord, ngram, logp, bow): the models that `train` gives for every order and method, and with
+    `by` (a column of `rows`, which comes first) for every training set.
+
+    N-grams are counted once, up to the highest order. Probabilities of a length and what a context of that length
+    leaves are the same in all orders beyond it; only Kneser-Ney takes plain counts for the longest n-grams and
+    counts of continuations for all others, so that it has two of each. They stand side by side in one row for each
+    n-gram, and models are picked out of these rows at the end: joins and groupings are as many as for one model.
+    A null of `by` is a training set like others; a set without lines has no model.
+    """
+    if not set(methods) <= set(METHODS) or min(orders, default=0) < 1:
+        raise ValueError((orders, methods))
+    top = max(orders)
+    key = ["g", "ord", "ngram"]
+    # An array, as a null in it equals another.
+    longest = rows.select(F.array(by if by else F.lit(0)).alias("g"), F.explode(_longest(top)).alias("ngram")).groupBy("g", "ngram").agg(F.count("*").alias("c"))
+    w = F.split("ngram", " ")
+    ends = F.transform(F.sequence(F.lit(1), F.size(w)), lambda k: F.struct(k.alias("ord"), F.array_join(F.slice(w, F.size(w) - k + 1, k), " ").alias("ngram")))
+    counts = settle(longest.select("g", F.explode(ends).alias("x"), "c").groupBy("g", "x.ord", "x.ngram").agg(F.sum("c").alias("c")).select(*key, "c"))
+    before = counts.where("ord > 1").select("g", (F.col("ord") - 1).alias("ord"), _suffix(F.col("ngram")).alias("ngram")).groupBy(*key).agg(F.count("*").alias("t"))
+    continued = F.when(F.col("ngram").startswith(START), F.col("c")).otherwise(F.coalesce("t", "c"))
+    counts = settle(counts.join(before, key, "left").select(*key, _context(F.col("ngram")).alias("h"), "c", continued.alias("k")))
+
+    figures = counts.groupBy("g", "ord").agg(F.count("*").alias("n"), *(x.alias(f"{c}{i}") for c in "ck" for i, x in enumerate(_counts_of_counts(F.col(c)), 1)))
+    figures = settle(figures)
+    if figures.count() > GRID_FIGURES:
+        raise ValueError("too many training sets for one grid")
+    discounts = {(c, modified): _three_discounts([F.col(f"{c}{i}") for i in range(1, 5)], modified) for c in "ck" for modified in (False, True)}
+    symbols_of = figures.where("ord = 1").select("g", (F.col("n") + 1).alias("v"))
+    told = figures.select("g", "ord", *(d.alias(f"d_{c}_{m:d}_{i}") for (c, m), three in discounts.items() for i, d in enumerate(three, 1))).join(F.broadcast(symbols_of), "g")
+    totals = counts.groupBy("g", "ord", "h").agg(F.sum("c").alias("ch"), F.sum("k").alias("kh"), F.count("*").alias("types"))
+    joined = counts.join(totals, ["g", "ord", "h"]).join(F.broadcast(told), ["g", "ord"])
+
+    def discounted(c: str, modified: bool) -> Column:
+        d = F.when(F.col(c) == 1, F.col(f"d_{c}_{modified:d}_1")).when(F.col(c) == 2, F.col(f"d_{c}_{modified:d}_2")).otherwise(F.col(f"d_{c}_{modified:d}_3"))
+        return F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(f"{c}h")
+
+    # For each method the places of its probability below the highest order and at it.
+    kinds, places = [], {}
+    for m in methods:
+        if m.endswith("kneser_ney"):
+            places[m] = (len(kinds), len(kinds) + 1)
+            kinds += [discounted("k", m.startswith("modified")), discounted("c", m.startswith("modified"))]
+        else:
+            places[m] = (len(kinds), len(kinds))
+            kinds.append({"additive": (F.col("c") + 1) / (F.col("ch") + F.col("v")), "witten_bell": F.col("c") / (F.col("ch") + F.col("types")), "absolute": F.greatest(F.col("c") - 1, F.lit(0)) / F.col("ch")}[m])
+    p, q, b = ([f"{x}{i}" for i in range(len(kinds))] for x in "pqb")
+    inner = {i: pair[0] for pair in places.values() for i in pair}
+    probs = settle(joined.select(*key, "h", *(F.when(x > 0, x).alias(p[i]) for i, x in enumerate(kinds))).where(F.coalesce(*p).isNotNull()))
+    rest = (F.greatest(1 - F.coalesce(F.sum(x), F.lit(0.0)), F.lit(1e-12)).alias(x) for x in p)
+    unknown = probs.where("ord = 1").groupBy("g").agg(*rest).select("g", F.lit(1).alias("ord"), F.lit(UNKNOWN).alias("ngram"), F.lit("").alias("h"), *p)
+    # A method may leave no single symbol a probability: its `<unk>` has all of it.
+    every = figures.where("ord = 1").select("g").join(unknown, "g", "left")
+    unknown = every.select("g", F.lit(1).alias("ord"), F.lit(UNKNOWN).alias("ngram"), F.lit("").alias("h"), *(F.coalesce(x, F.lit(1.0)).alias(x) for x in p))
+    probs = probs.unionByName(unknown)
+    lower = probs.select("g", (F.col("ord") + 1).alias("ord"), F.col("ngram").alias("s"), *(F.col(p[i]).alias(q[i]) for i in sorted(set(inner.values()))))
+    mass = probs.where("ord > 1").withColumn("s", _suffix(F.col("ngram"))).join(lower, ["g", "ord", "s"], "left")
+    sums = [x for i in range(len(p)) for x in (F.sum(p[i]).alias(f"sp{i}"), F.sum(F.when(F.col(p[i]).isNotNull(), F.coalesce(q[inner[i]], F.lit(0.0)))).alias(f"sq{i}"))]
+    left = [(F.greatest(1 - F.col(f"sp{i}"), F.lit(1e-12)) / F.greatest(1 - F.col(f"sq{i}"), F.lit(1e-12))) for i in range(len(p))]
+    bow = mass.groupBy("g", "ord", "h").agg(*sums).select("g", (F.col("ord") - 1).alias("ord"), F.col("h").alias("ngram"), *(F.when(F.col(f"sp{i}").isNotNull(), x).alias(b[i]) for i, x in enumerate(left)))
+    wide = probs.drop("h").join(bow, key, "full").select(*key, F.array(*p).alias("p"), F.array(*b).alias("b"))
+
+    models = F.array(*(F.struct(F.lit(m).alias("method"), F.lit(n).alias("max_order"), F.lit(places[m][0]).alias("below"), F.lit(places[m][1]).alias("at")) for n in sorted(set(orders)) for m in methods))
+    each = wide.select(*key, "p", "b", F.explode(F.filter(models, lambda x: x["max_order"] >= F.col("ord"))).alias("x")).select(*key, "p", "b", "x.*")
+    longer = F.col("max_order") - F.col("ord")
+    chosen = F.get("p", F.when(longer > 0, F.col("below")).otherwise(F.col("at")))
+    weight = F.when(longer > 0, F.get("b", F.when(longer > 1, F.col("below")).otherwise(F.col("at"))))
+    out = each.select("g", "method", "max_order", "ord", "ngram", F.log10(chosen).alias("logp"), weight.alias("weight")).where("logp is not null or weight is not null")
+    out = out.withColumn("bow", F.log10(F.coalesce("weight", F.lit(1.0)))).drop("weight")
+    return out.withColumn("g", F.get("g", F.lit(0))).withColumnRenamed("g", by) if by else out.drop("g")
 
 
 def vocabulary_size(model: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import exploded
@@ -13,6 +13,7 @@ from quarry.sources.tables import table
 
 ORDER = 3
 METHOD = "witten_bell"
+GRID_ORDERS = (2, 3, 4, 5, 10)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,11 +81,26 @@ def sign_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("_p", p).select("source", "differing", "wins", F.round("_p", 6).alias("p"), lm.significance(F.col("_p")).alias("mark"))
 
 
+def _mean(column: str) -> Column:
+    """Rounded; zero has no sign."""
+    mean = F.round(F.avg(column), 6)
+    return F.when(mean == 0, 0.0).otherwise(mean)
+
+
+def lm_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models of what each role says, of all orders and smoothings: their n-grams, and means of what they give these."""
+    rows = table(spark, sf_dir, "conversations").select(F.coalesce("role", F.lit("")).alias("role"), "text")
+    models = lm.grid(lm.line_symbols(rows, "role"), GRID_ORDERS, by="role")
+    figures = (F.count("*").alias("ngrams"), F.count("logp").alias("scored"), *(_mean(c).alias(c) for c in ("logp", "bow")))
+    return models.groupBy("role", "method", "max_order", "ord").agg(*figures)
+
+
 QUERIES = {
     "explode_text": explode_text, "char_ngram_counts": char_ngram_counts,
     "lm_additive": _trained("additive"), "lm_witten_bell": _trained("witten_bell"), "lm_absolute": _trained("absolute"),
     "lm_kneser_ney": _trained("kneser_ney"), "lm_modified_kneser_ney": _trained("modified_kneser_ney"),
     "lm_classify": lm_classify, "lm_classify_all": lm_classify_all, "lm_perplexity": lm_perplexity, "classifier_accuracy": classifier_accuracy, "sign_test": sign_test,
+    "lm_grid": lm_grid,
 }
 
 _SYMBOL = r"""CASE WHEN unicode(c) < 128 THEN c WHEN unicode(c) < 256 THEN '\x' || lpad(lower(to_hex(unicode(c))), 2, '0')
@@ -201,6 +217,50 @@ _CLASSIFIED_ALL = f"""WITH {_LABELLED}, {_words(_ALL, "words")}, {_words("SELECT
 )"""
 
 
+def _grid() -> str:
+    """Each model for itself: its n-grams with the counts that its order gives them."""
+    flat = "CASE WHEN n1 > 0 AND n2 > 0 THEN n1 / (n1 + 2 * n2) ELSE 0.5 END"
+    y = "n1 / (n1 + 2 * n2)"
+    three = ((1, "n1 > 0 AND n2 > 0", f"(1 - 2 * {y} * n2 / n1)"), (2, "n1 > 0 AND n2 > 0 AND n3 > 0", f"(2 - 3 * {y} * n3 / n2)"), (3, "n1 > 0 AND n2 > 0 AND n3 > 0 AND n4 > 0", f"(3 - 4 * {y} * n4 / n3)"))
+    modified = ", ".join(f"CASE WHEN {ok} AND {x} >= 0 THEN {x} ELSE {flat} END AS d{i}" for i, ok, x in three)
+    count_of = ", ".join(f"(count(*) FILTER (WHERE k = {i}))::DOUBLE AS n{i}" for i in range(1, 5))
+    p = {
+        "additive": "(c + 1) / (ch + v)", "witten_bell": "c / (ch + types)", "absolute": "greatest(c - 1, 0) / ch",
+        "kneser_ney": "greatest(k - d, 0.0) / kh", "modified_kneser_ney": "greatest(k - CASE k WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END, 0.0) / kh",
+    }
+    each = " UNION ALL ".join(f"SELECT role, n, ord, ngram, h, '{m}' AS method, ({x})::DOUBLE AS p FROM told WHERE {x} > 0" for m, x in p.items())
+    return rf"""WITH t AS (SELECT coalesce(role, '') AS key, text FROM conversations), {_words("SELECT * FROM t", "words")}, raw AS (
+  SELECT key AS role, k AS ord, array_to_string(w[i - k + 1 : i], ' ') AS ngram, count(*) AS c
+  FROM (SELECT key, w, unnest(range(2, len(w) + 1)) AS i FROM words_w) x JOIN (SELECT unnest(range(1, {max(GRID_ORDERS) + 1})) AS k) y ON k <= i GROUP BY ALL
+), before AS (
+  SELECT role, ord - 1 AS ord, regexp_replace(ngram, '^[^ ]+ ?', '') AS ngram, count(*) AS t FROM raw WHERE ord > 1 GROUP BY ALL
+), counts AS (
+  SELECT r.role, n, r.ord, r.ngram, regexp_replace(r.ngram, ' ?[^ ]+$', '') AS h, c, CASE WHEN r.ord = n OR starts_with(r.ngram, '<s>') THEN c ELSE coalesce(t, c) END AS k
+  FROM raw r JOIN (SELECT unnest({list(GRID_ORDERS)}) AS n) o ON r.ord <= n LEFT JOIN before b ON r.role = b.role AND r.ord = b.ord AND r.ngram = b.ngram
+), few AS (
+  SELECT role, n, ord, {count_of} FROM counts GROUP BY ALL
+), discounts AS (
+  SELECT role, n, ord, {flat} AS d, {modified} FROM few
+), sizes AS (
+  SELECT role, n, count(*) + 1 AS v FROM counts WHERE ord = 1 GROUP BY ALL
+), totals AS (
+  SELECT role, n, ord, h, sum(c) AS ch, sum(k) AS kh, count(*) AS types FROM counts GROUP BY ALL
+), told AS (
+  SELECT * FROM counts JOIN totals USING (role, n, ord, h) JOIN discounts USING (role, n, ord) JOIN sizes USING (role, n)
+), known AS (
+  {each}
+), probs AS (
+  SELECT * FROM known UNION ALL
+  SELECT s.role, s.n, 1, '<unk>', '', m.method, greatest(1 - coalesce(sum(p), 0), 1e-12)
+  FROM sizes s CROSS JOIN (SELECT unnest({list(p)}) AS method) m LEFT JOIN known k ON k.role = s.role AND k.n = s.n AND k.method = m.method AND k.ord = 1 GROUP BY ALL
+), weights AS (
+  SELECT a.role, a.n, a.method, a.ord - 1 AS ord, a.h AS ngram, greatest(1 - sum(a.p), 1e-12) / greatest(1 - sum(coalesce(l.p, 0)), 1e-12) AS b
+  FROM probs a LEFT JOIN probs l ON l.role = a.role AND l.n = a.n AND l.method = a.method AND l.ord = a.ord - 1 AND l.ngram = regexp_replace(a.ngram, '^[^ ]+ ?', '') WHERE a.ord > 1 GROUP BY ALL
+), models AS (
+  SELECT role, method, n::INT AS max_order, ord::INT AS ord, ngram, log10(p) AS logp, log10(coalesce(b, 1.0)) AS bow FROM probs FULL JOIN weights USING (role, n, method, ord, ngram)
+)
+SELECT role, method, max_order, ord, count(*)::BIGINT AS ngrams, count(logp)::BIGINT AS scored, CASE WHEN round(avg(logp), 6) = 0 THEN 0 ELSE round(avg(logp), 6) END AS logp, CASE WHEN round(avg(bow), 6) = 0 THEN 0 ELSE round(avg(bow), 6) END AS bow FROM models GROUP BY role, method, max_order, ord"""
+
 
 def with_model(method: str) -> str:
     """WITH clause that ends in `m`, the model of the clean labelled documents."""
@@ -213,6 +273,7 @@ def kept(sql: str) -> str:
 
 
 SQL = {
+    "lm_grid": _grid(),
     "explode_text": f"SELECT item_id, array_to_string(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: {_SYMBOL}), ' ') AS exploded FROM benchmark",
     "char_ngram_counts": f"WITH {_words('SELECT doc_id AS key, text FROM documents', 'words')}, {_GRAMS} SELECT ngram, sum(n)::BIGINT AS n, count(*)::BIGINT AS texts FROM g GROUP BY ngram",
     "lm_classify": f"{_CLASSIFIED} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
