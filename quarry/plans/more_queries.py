@@ -12,6 +12,7 @@ from quarry.operators import language_model as lm
 from quarry.operators.common import shared_folder
 from quarry.plans.language_queries import ORDER, labelled, with_model
 from quarry.plans.language_queries import SQL as LANGUAGE_SQL
+from quarry.sources import page_store
 from quarry.sources import pages as sources
 from quarry.sources.tables import table
 
@@ -30,6 +31,16 @@ def list_articles(spark, sf_dir):
     return articles.list_articles(_pages(spark, sf_dir))
 
 
+def markup_look_up(spark, sf_dir):
+    """All pages in a store, and the first one of each source and language looked up in it, besides names that it doesn't have."""
+    pages = _pages(spark, sf_dir)
+    path = f"{shared_folder(pages)}/pages-{uuid.uuid4().hex}"
+    page_store.write_page_store(pages, path)
+    first = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.min("doc_id").cast("string").alias("title"))
+    names = first.select("title").unionByName(first.select(F.concat("title", F.lit("?")).alias("title")))
+    return page_store.look_up(page_store.read_page_store(spark, path), names).select("title", "ns", F.md5("raw").alias("digest"))
+
+
 def redirect_targets(spark, sf_dir):
     return _pages(spark, sf_dir).select("title", articles.redirect_target(F.col("raw")).alias("target")).where("target is not null")
 
@@ -187,7 +198,7 @@ def classifier_names(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    list_articles, redirect_targets, follow_redirects, article_list, names_split, empty_articles, character_totals, title_mark_check, file_kinds, file_sections, paragraph_breaks,
+    list_articles, markup_look_up, redirect_targets, follow_redirects, article_list, names_split, empty_articles, character_totals, title_mark_check, file_kinds, file_sections, paragraph_breaks,
     elapsed_times, exploded_documents, base25_codes, template_summary, template_substrings_skip, scanner_tokens, raw_tags_removed, lm_sizes, lm_arpa, tune_lm, tune_classifiers,
     sign_test_by_text, sign_test_by_position, classifier_names,
 )}
@@ -220,6 +231,7 @@ _RULES = """r AS (
 
 SQL = {
     "list_articles": f"WITH {_PAGES} SELECT title FROM p WHERE ns = 0 AND target IS NULL",
+    "markup_look_up": f"WITH {_PAGES} SELECT title, ns, md5(raw) AS digest FROM p WHERE title IN (SELECT min(doc_id)::VARCHAR FROM documents GROUP BY source, lang)",
     "redirect_targets": f"WITH {_PAGES} SELECT title, target FROM p WHERE target IS NOT NULL",
     "follow_redirects": f"WITH {_PAGES} SELECT p.title, md5(CASE WHEN p.target IS NULL THEN p.raw ELSE q.raw END) AS digest FROM p LEFT JOIN p q ON p.target = q.title",
     "article_list": "SELECT l.doc_id, n_chars::BIGINT AS n_chars FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id",
