@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import exploded
 from quarry.operators import language_model as lm
+from quarry.operators.packed_scoring import classify_packed
 from quarry.sources.tables import table
 
 ORDER = 3
@@ -58,6 +59,13 @@ def lm_classify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("key", F.round("score", 4).alias("score"), "is_clean")
 
 
+def lm_classify_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As lm_classify_all, with models that every task holds packed."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    out = classify_packed(docs, *_models(labelled(spark, sf_dir)), ORDER)
+    return out.select("key", F.round("score", 4).alias("score"), "is_clean")
+
+
 def lm_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = labelled(spark, sf_dir)
     clean, dirty = _models(texts)
@@ -99,7 +107,7 @@ QUERIES = {
     "explode_text": explode_text, "char_ngram_counts": char_ngram_counts,
     "lm_additive": _trained("additive"), "lm_witten_bell": _trained("witten_bell"), "lm_absolute": _trained("absolute"),
     "lm_kneser_ney": _trained("kneser_ney"), "lm_modified_kneser_ney": _trained("modified_kneser_ney"),
-    "lm_classify": lm_classify, "lm_classify_all": lm_classify_all, "lm_perplexity": lm_perplexity, "classifier_accuracy": classifier_accuracy, "sign_test": sign_test,
+    "lm_classify": lm_classify, "lm_classify_all": lm_classify_all, "lm_classify_packed": lm_classify_packed, "lm_perplexity": lm_perplexity, "classifier_accuracy": classifier_accuracy, "sign_test": sign_test,
     "lm_grid": lm_grid,
 }
 
@@ -277,6 +285,7 @@ SQL = {
     "explode_text": f"SELECT item_id, array_to_string(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: {_SYMBOL}), ' ') AS exploded FROM benchmark",
     "char_ngram_counts": f"WITH {_words('SELECT doc_id AS key, text FROM documents', 'words')}, {_GRAMS} SELECT ngram, sum(n)::BIGINT AS n, count(*)::BIGINT AS texts FROM g GROUP BY ngram",
     "lm_classify": f"{_CLASSIFIED} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
+    "lm_classify_packed": f"{_CLASSIFIED_ALL} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
     "lm_classify_all": f"{_CLASSIFIED_ALL} SELECT key, round(score, 4) AS score, score > 0 AND size > 0 AS is_clean FROM s",
     "classifier_accuracy": f"{_CLASSIFIED} SELECT count(*)::BIGINT AS total, (count(*) FILTER (WHERE CASE WHEN clean THEN score > 0 ELSE score < 0 END))::BIGINT AS \"right\" FROM s",
     "lm_perplexity": f"""{_BOTH}, sums AS (
