@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from quarry.functions import charsets
 from quarry.functions import text as tx
 from quarry.operators import articles, sections, templates
 from quarry.operators import language_model as lm
@@ -101,6 +102,14 @@ def elapsed_times(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.hms(F.col("n_chars")).alias("time"))
 
 
+def charset_variants(spark, sf_dir):
+    """Every text in each charset of the tokenizer's variants and back: its bytes, and whether all of it comes back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = [(c, charsets.encoded(F.col("text"), c)) for c in sorted({c for _, c in charsets.VARIANTS.values()})]
+    out = docs.select("doc_id", F.explode(F.array(*(F.struct(F.lit(c).alias("charset"), F.octet_length(b).cast("long").alias("n_bytes"), (charsets.decoded(b, c) == F.col("text")).alias("same")) for c, b in rows))).alias("x"))
+    return out.select("doc_id", "x.*")
+
+
 def exploded_documents(spark, sf_dir):
     """All documents exploded and put together again."""
     out = table(spark, sf_dir, "documents").select("doc_id", "text", tx.exploded(F.col("text")).alias("e"))
@@ -199,7 +208,7 @@ def classifier_names(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     list_articles, markup_look_up, redirect_targets, follow_redirects, article_list, names_split, empty_articles, character_totals, title_mark_check, file_kinds, file_sections, paragraph_breaks,
-    elapsed_times, exploded_documents, base25_codes, template_summary, template_substrings_skip, scanner_tokens, raw_tags_removed, lm_sizes, lm_arpa, tune_lm, tune_classifiers,
+    elapsed_times, charset_variants, exploded_documents, base25_codes, template_summary, template_substrings_skip, scanner_tokens, raw_tags_removed, lm_sizes, lm_arpa, tune_lm, tune_classifiers,
     sign_test_by_text, sign_test_by_position, classifier_names,
 )}
 
@@ -250,6 +259,16 @@ FROM (SELECT *, CASE WHEN regexp_matches(line, '^<h[1-6]>.*</h[1-6]>$') THEN fal
 SELECT page_id, island, length(text) AS n_chars, md5(text) AS digest FROM t""",
     "paragraph_breaks": r"SELECT doc_id, len(list_filter(regexp_extract_all(text, '[ \t\n\r]+'), lambda s: length(s) - length(replace(s, chr(10), '')) >= 2))::BIGINT AS breaks FROM documents",
     "elapsed_times": "SELECT doc_id, (n_chars // 3600) || ':' || lpad((n_chars // 60 % 60)::VARCHAR, 2, '0') || ':' || lpad((n_chars % 60)::VARCHAR, 2, '0') AS time FROM documents",
+    # What the charsets have beyond ASCII.
+    "charset_variants": r"""
+WITH c AS (
+  SELECT unnest(['cp1251', 'cp1252', 'iso8859-1', 'iso8859-5', 'utf-8']) AS charset, unnest([
+    '[^\x00-\x7f\x98\x{a0}\x{a4}\x{a6}\x{a7}\x{a9}\x{ab}-\x{ae}\x{b0}\x{b1}\x{b5}-\x{b7}\x{bb}\x{401}-\x{40c}\x{40e}-\x{44f}\x{451}-\x{45c}\x{45e}\x{45f}\x{490}\x{491}\x{2013}\x{2014}\x{2018}-\x{201a}\x{201c}-\x{201e}\x{2020}-\x{2022}\x{2026}\x{2030}\x{2039}\x{203a}\x{20ac}\x{2116}\x{2122}]',
+    '[^\x00-\x7f\x{81}\x{8d}\x{8f}\x{90}\x{9d}\x{a0}-\x{ff}\x{152}\x{153}\x{160}\x{161}\x{178}\x{17d}\x{17e}\x{192}\x{2c6}\x{2dc}\x{2013}\x{2014}\x{2018}-\x{201a}\x{201c}-\x{201e}\x{2020}-\x{2022}\x{2026}\x{2030}\x{2039}\x{203a}\x{20ac}\x{2122}]',
+    '[^\x00-\x{ff}]', '[^\x00-\x{a0}\x{ad}\x{a7}\x{401}-\x{40c}\x{40e}-\x{44f}\x{451}-\x{45c}\x{45e}\x{45f}\x{2116}]', '[^\x00-\x{10ffff}]']) AS lacking
+)
+SELECT doc_id, charset, (CASE WHEN charset = 'utf-8' THEN strlen(text) ELSE length(text) END)::BIGINT AS n_bytes, NOT regexp_matches(text, lacking) AS same
+FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) CROSS JOIN c""",
     "exploded_documents": f"SELECT doc_id, md5({_EXPLODED.format('text')}) AS digest, true AS same FROM documents",
     "base25_codes": """
 SELECT doc_id, CASE WHEN k >= 625 THEN chr((97 + k // 625)::INT) ELSE '' END || CASE WHEN k >= 25 THEN chr((97 + k // 25 % 25)::INT) ELSE '' END || chr((97 + k % 25)::INT) AS code

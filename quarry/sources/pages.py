@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.charsets import VARIANTS, decoded
 from quarry.operators.articles import redirect_target
 from quarry.operators.common import numbered
 
@@ -18,6 +19,13 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     return pages.select("title", "ns", raw.alias("raw"), F.coalesce("redirect._title", redirect_target(raw)).alias("redirect_target"))
 
 
+def read_running_text(spark: SparkSession, path: str, variant: str) -> DataFrame:
+    """(path, lang, text) of files of running text in a language variant's charset, a file a row; empty files have none."""
+    lang, charset = VARIANTS[variant]
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.lit(lang).alias("lang"), decoded(F.col("content"), charset).alias("text"))
+
+
 def read_article_files(spark: SparkSession, path: str) -> DataFrame:
     """(title, markup) of plain files: the title, in `<article>` tags, is the first line."""
     files = spark.read.text(path, wholetext=True)
