@@ -14,9 +14,12 @@ Consecutive strings of one anchor make a stretch of a document.
    share `length` bytes all but the earliest string repeat.
 3. An anchor whose stretches are more than a share of a shard is dealt by a
    second key that equal strings have in common: a 128-bit hash of the string.
-   All but the earliest string of each hash repeat.
+   All but the earliest string of each hash repeat; those that a task has met
+   before are told there.
 4. The covered bytes of each document are joined with its text and removed.
 
+Steps 2 to 4 read one shuffle of the texts.
+
 A corpus has as many shards as its stretches have bytes for. A shard may be
 larger than memory: its text, its rows and all that the sort holds go to files
 of the task beyond a budget. Rows of an anchor are else only streamed in order.
@@ -41,8 +44,8 @@ ANCHOR, SEGMENT = 24, 1 << 18
 BASE = 0xD6E8FEB86659FD93
 #: Bytes of a shard, about, and of the stretches of one anchor beyond which its strings are dealt one by one.
 SHARD_BYTES, HOT_BYTES = 16 << 20, 2 << 20
-#: Anchors of up to this many bytes are broadcast; more are joined. Strings that go on at once.
-BROADCAST_BYTES, STRINGS = 32 << 20, 1 << 16
+#: Anchors of up to this many bytes are broadcast; more are joined. Strings that go on at once, and that a task remembers.
+BROADCAST_BYTES, STRINGS, MET = 32 << 20, 1 << 16, 1 << 17
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -170,18 +173,75 @@ def _cut(length: int):
 
 
 def _strings(length: int, key_type: pa.DataType):
-    """(string, key, start) of every string of the wanted stretches; string is a hash of its bytes."""
+    """(n, content, check, key, start) of the strings of the wanted stretches; content and check are a hash of a string's bytes.
+
+    A string that the task has not met, at an earlier place, has n 0. Others are
+    covered: n of them from `start` on are one row, and content deals these rows evenly.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = xxhash.xxh3_128_digest
+        h, met, dealt = xxhash.xxh3_128_digest, {}, 0
+        rows, digests, starts, ns = [], [], [], []
+
+        def batch(keys: pa.Array) -> pa.RecordBatch:
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            columns = [pa.array(ns, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), keys.take(pa.array(rows, pa.int64())).cast(key_type), pa.array(starts, pa.int32())]
+            for x in (rows, digests, starts, ns):
+                x.clear()
+            return pa.RecordBatch.from_arrays(columns, ["n", "content", "check", "key", "start"])
+
         for b in batches:
-            for i, (text, wanted) in enumerate(zip(b.column(1), b.column(2).to_pylist())):
-                text, key = text.as_py().encode(), b.column(0).slice(i, 1).cast(key_type)
-                start = np.concatenate([np.arange(x["start"], x["start"] + x["n"], dtype=np.int32) for x in wanted])
-                for low in range(0, len(start), STRINGS):
-                    part = start[low : low + STRINGS]
-                    found = [h(text[x : x + length]) for x in part.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), key.take(pa.array(np.zeros(len(part), np.int64))), pa.array(part)], ["string", "key", "start"])
+            for i, (key, text, wanted) in enumerate(zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist())):
+                if not wanted:
+                    continue
+                text = text.as_py().encode()
+                for x in sorted((x["start"], x["n"]) for x in wanted):
+                    first, upto = x[0], x[0] + x[1]
+                    run_end = -1  # where the covered strings in hand end
+                    for at in range(first, upto):
+                        digest, place = h(text[at : at + length]), (key, at)
+                        before = met.get(digest)
+                        if before is not None and before < place:
+                            if run_end == at:
+                                ns[-1] += 1
+                            else:
+                                dealt += 1
+                                rows.append(i)
+                                digests.append(h(dealt.to_bytes(8, "little")))
+                                starts.append(at)
+                                ns.append(1)
+                            run_end = at + 1
+                        else:
+                            if before is None and len(met) >= MET:
+                                met.clear()
+                            met[digest] = place
+                            rows.append(i)
+                            digests.append(digest)
+                            starts.append(at)
+                            ns.append(0)
+                        if len(rows) >= STRINGS:
+                            yield batch(b.column(0))
+                            run_end = -1
+            if rows:
+                yield batch(b.column(0))
+
+    return run
+
+
+def _later_strings():
+    """Covered stretches (key, start, n) from rows of `_strings` sorted by n, content, check, key and start: all but the first of each string."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = (None, None)  # content and check of the row before
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n, content, check = (b.column(i).to_numpy() for i in (0, 1, 2))
+            new = np.append(content[0] != last[0], content[1:] != content[:-1]) | np.append(check[0] != last[1], check[1:] != check[:-1])
+            covered = pa.array(np.flatnonzero((n > 0) | ~new))
+            last = (content[-1], check[-1])
+            if len(covered):
+                yield pa.RecordBatch.from_arrays([b.column(3).take(covered), b.column(4).take(covered), pa.array(np.maximum(n, 1)).take(covered)], ["key", "start", "n"])
 
     return run
 
@@ -297,20 +357,30 @@ def _ordered_key(i: Column, text: Column) -> Column:
     return F.concat_ws("|", F.coalesce(F.lpad(shifted.cast("string"), 40, "0"), F.lit("~")), F.sha2(text, 256))
 
 
+def _with_wanted(dealt: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text, wanted) of every document, with the texts that are wanted only.
+
+    An inner join would ask for keys that aren't null before the texts are dealt,
+    and so deal them anew.
+    """
+    return dealt.join(wanted, "key", "left").select("key", F.when(F.col("wanted").isNotNull(), F.col("text")).alias("text"), "wanted")
+
+
 def _repeated_strings(dealt: DataFrame, stretches: DataFrame, length: int, key_type: pa.DataType) -> DataFrame:
     """Covered stretches (key, start, n) of the strings of `stretches` that an earlier one of them equals.
 
-    The earliest of each string is folded before it is sent, so that a string
-    that many documents share sends a row for each task, not for each place.
+    A task sends a string once as long as it remembers it, so that one that many
+    documents share sends a row for each task, not for each place. Nothing is
+    settled: the texts are those that `dealt` sends in the job that reads the result.
     """
-    key = dealt.schema["key"].dataType.simpleString()
+    key, n_tasks = dealt.schema["key"].dataType.simpleString(), partitions(dealt.sparkSession)
     wanted = stretches.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("wanted"))
-    strings = settle(dealt.join(wanted, "key").select("key", "text", "wanted").mapInArrow(_strings(length, key_type), f"string binary, key {key}, start int"))
-    first = strings.groupBy("string").agg(F.min(F.struct("key", "start")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
-    hit = strings.join(first, "string").where(F.struct("key", "start") != F.col("first")).select("key", "start")
+    strings = _with_wanted(dealt, wanted).mapInArrow(_strings(length, key_type), f"n int, content long, check long, key {key}, start int")
+    hit = strings.repartition(n_tasks, "content").sortWithinPartitions("n", "content", "check", "key", "start").mapInArrow(_later_strings(), f"key {key}, start int, n int")
     # Strings that follow one another make one stretch.
-    run = F.col("start") - F.row_number().over(Window.partitionBy("key").orderBy("start"))
-    return hit.withColumn("run", run).groupBy("key", "run").agg(F.min("start").alias("start"), F.count("*").cast("int").alias("n")).drop("run")
+    before = Window.partitionBy("key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    run = F.col("start") - F.coalesce(F.sum("n").over(before), F.lit(0))
+    return hit.withColumn("run", run).groupBy("key", "run").agg(F.min("start").alias("start"), F.sum("n").cast("int").alias("n")).drop("run")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -358,7 +428,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         covered = covered.unionByName(_repeated_strings(dealt, to_sort.join(hot, "anchor", "left_semi"), length, key_type))
         to_sort = to_sort.join(hot, "anchor", "left_anti")
     wanted = to_sort.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
-    cut = dealt.join(wanted, "key", "left").select("key", "text", "wanted").mapInArrow(_cut(length), f"anchor long, key {key}, start int, n int, bytes binary")
+    cut = _with_wanted(dealt, wanted).mapInArrow(_cut(length), f"anchor long, key {key}, start int, n int, bytes binary")
     shards = cut.repartition(n_shards, "anchor").sortWithinPartitions("key", "start").mapInArrow(_sort_shard(length), f"key {key}, start int, n int")
     covered = covered.unionByName(shards)
     covered = covered.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("covered"))

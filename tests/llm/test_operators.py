@@ -217,6 +217,27 @@ def test_an_anchor_that_many_documents_share_is_split(spark, monkeypatch):
     assert sorted((x.doc_id, x.n_bytes, [tuple(s) for s in x.spans], bytes(x.kept)) for x in out.collect()) == sorted(brute_repeats(rows, 100))
 
 
+def test_hot_anchors_share_the_shuffle_of_the_texts(spark, monkeypatch):
+    """The input is read three times, hot anchors or not: to count its ids, to find stretches and to deal the texts."""
+    r = random.Random(12)
+    word = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    line, ends = word(60), [word(70) for _ in range(4)]
+    rows = [(i, word(90) + line + r.choice(ends)) for i in range(50)] + [(50, "no"), (51, None)]
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 500)
+    strings, hot = suffix_dedup._repeated_strings, []
+    monkeypatch.setattr(suffix_dedup, "_repeated_strings", lambda *args: hot.append(1) or strings(*args))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(counted, "doc_id long, text string")
+    found = sorted((x.doc_id, x.n_bytes, [tuple(s) for s in x.spans], bytes(x.kept)) for x in suffix_dedup.remove_repeats(docs, length=100).collect())
+    assert found == sorted(brute_repeats(rows, 100)) and hot and read.value == 3 * len(rows)
+
+
 def test_contamination_in_blocks(spark):
     items = spark.createDataFrame([(1, "one two three"), (2, " ".join(f"w{i}" for i in range(15))), (3, ""), (None, "x y"), (4, None), (10, "One, two; THREE")], "item_id long, text string")
     rows = [(1, "zero ONE-two three four"), (2, None), (3, ""), (4, " ".join(f"w{i}" for i in range(2, 13)) + " one two three"), (None, "one two"), (5, "w0 w1 w2")]

@@ -165,6 +165,37 @@ def test_anchors_are_equal_for_equal_strings():
         assert all(whole[w] == g for w, g in mine if w in whole)
 
 
+@pytest.mark.parametrize("met,at_once", [(1 << 17, 1 << 16), (7, 5)])
+def test_a_task_sends_a_string_once(monkeypatch, met, at_once):
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "MET", met)
+    monkeypatch.setattr(suffix_dedup, "STRINGS", at_once)
+    r = random.Random(6)
+    line = "".join(r.choice("abcdefgh ") for _ in range(60))
+    texts = {k: r.choice("xyz") * r.randint(0, 9) + line + r.choice("é ") * r.randint(0, 30) for k in range(60)}
+    wanted = {k: [{"start": 40, "n": len(t.encode()) - 69}, {"start": 0, "n": 35}] if len(t.encode()) > 80 else None for k, t in texts.items()}
+    keys = [*texts]
+    r.shuffle(keys)  # earlier places may come later
+    kind = pa.schema([("key", pa.int64()), ("text", pa.string()), ("wanted", pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())])))])
+    batch = lambda ks: pa.RecordBatch.from_pylist([{"key": k, "text": texts[k] if wanted[k] else None, "wanted": wanted[k]} for k in ks], schema=kind)
+    rows = []
+    for ks in (sorted(keys[:30]), keys[30:]):  # two tasks
+        sent = [x for b in suffix_dedup._strings(30, pa.int64())(batch(ks[i : i + 8]) for i in range(0, len(ks), 8)) for x in b.to_pylist()]
+        seen = [(x["content"], x["check"]) for x in sent if not x["n"]]
+        if met > 1000 and ks == sorted(ks):
+            assert len(seen) == len(set(seen))
+        rows += sent
+    rows.sort(key=lambda x: (x["n"], x["content"], x["check"], x["key"], x["start"]))
+    kind = pa.schema([("n", pa.int32()), ("content", pa.int64()), ("check", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
+    out = suffix_dedup._later_strings()(pa.RecordBatch.from_pylist(rows[i : i + 11], schema=kind) for i in range(0, len(rows), 11))
+    found = [(x["key"], x["start"] + j) for b in out for x in b.to_pylist() for j in range(x["n"])]
+    places = sorted((k, x["start"] + j) for k in texts for x in wanted[k] or () for j in range(x["n"]))
+    first = {}
+    want = [(k, p) for k, p in places if first.setdefault(texts[k].encode()[p : p + 30], (k, p)) != (k, p)]
+    assert sorted(found) == want and len(want) > 500
+
+
 def test_wu_manber_finds_every_occurrence():
     r = random.Random(5)
     for k in range(400):
