@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators.common import join_hot, settle
+from quarry.operators.common import join_hot, settle, short_batches
 
 __all__ = ["ascii_lower", "join_hot", "partitions", "settle", "short_batches", "table"]
 
@@ -24,13 +24,3 @@ def ascii_lower(c: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def short_batches(spark: SparkSession, rows: int = 1_000, size: int = 16 << 20) -> None:
-    """Documents are long rows: fewer of them, and of their bytes, in each Arrow
-    batch keep the memory of executors and Python workers low. The two settings
-    of the session are lowered and stay so; smaller ones are left alone."""
-    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
-        key = f"spark.sql.execution.arrow.{key}"
-        if not 0 < int(str(spark.conf.get(key)).rstrip("b")) <= most:
-            spark.conf.set(key, str(most))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -48,3 +49,31 @@ def test_scanner_tokens_and_raw_tags(spark):
     ]
     raw = spark.createDataFrame([("a<!-- {{b}}\n -->c<NOWIKI>{{d}}</nowiki>e<ref name=x>f</ref>",)], "t string").select(templates.without_raw_tags(F.col("t"))).first()[0]
     assert raw == "a\nc\ne<ref name=x>f</ref>"
+
+
+def test_words_in_a_row_are_single_tokens():
+    text = "Foo bar, baz; qux-quux (12 May 2001) in mai xvi drops, then e@x.org sees. Two  \t\nMay I go? Yes, a-b c1 \xa0d"
+    for options in ({}, {"sentence_ends": False, "addresses": False}):
+        lexer = Lexer("en", **options)
+        tokens = lexer.tokens(text)
+        found, longest = lexer.counts(text)
+        assert found == {t: sum(n == t for n, _ in tokens) for t in found} and longest == 8
+        assert [p for n, p in tokens if n == "WORD"][:5] == ["Foo", "bar", "baz", "qux-quux", "May"]
+        assert tokens[:4] == [("WORD", "Foo"), ("HSPACE", " "), ("WORD", "bar"), ("OTHER", ",")]
+        assert ("RUN", "Foo bar, baz; ") == next(lexer.parts(text))
+
+
+def test_counts_take_no_list_of_tokens():
+    text = "one two, three 4 " * 100_000
+    tracemalloc.start()
+    found, longest = Lexer("en", sentence_ends=False, addresses=False).counts(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found["WORD"], found["NUMBER"], found["OTHER"], longest) == (300_000, 100_000, 100_000, 5)
+    assert peak < 8 << 20
+
+
+def test_counts_of_null_and_empty_texts(spark):
+    rows = spark.createDataFrame([(1, None), (2, ""), (3, "a bb 7!")], "k int, text string")
+    out = rows.select("k", tokenizer.counts_of("en")(F.col("text")).alias("x")).select("k", "x.*").orderBy("k").collect()
+    assert [tuple(r) for r in out] == [(1, None, None, None, None), (2, 0, 0, 0, 0), (3, 2, 1, 1, 2)]
