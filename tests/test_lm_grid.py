@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import language_model as lm
 
@@ -41,3 +44,22 @@ def test_a_grid_of_nothing(spark):
     for orders, methods in (((), lm.METHODS), ((0,), lm.METHODS), ((2,), ("none",))):
         with pytest.raises(ValueError):
             lm.grid(rows_of(spark), orders, methods)
+
+
+def test_tables_of_ngrams_are_never_broadcast(spark, monkeypatch):
+    # A text of few bytes has many n-grams, which the estimated sizes of plans don't know.
+    monkeypatch.setattr(lm, "settle", lambda df: df)
+    keys = re.compile(r"(\w+) (\[[^\]]*(?:ngram|\bh|\bs)#[^\]]*\])")
+
+    def joins(df):
+        return [kind for kind, _ in keys.findall(df._jdf.queryExecution().executedPlan().toString()) if kind.endswith("Join")]
+
+    for model in (lm.grid(rows_of(spark), (2, 3), by="kind"), lm.train(rows_of(spark), 2, "kneser_ney")):
+        assert len(joins(model)) >= 4 and set(joins(model)) == {"SortMergeJoin"}
+
+
+def test_parts_of_ngrams(spark):
+    rows = spark.createDataFrame([("<s> a b",), ("a",)], "x string")
+    out = rows.select(lm._context(F.col("x")), lm._suffix(F.col("x")), lm._ends(F.col("x"))).collect()
+    assert [tuple(r[:2]) for r in out] == [("<s> a", "a b"), ("", "")]
+    assert [[tuple(e) for e in r[2]] for r in out] == [[(1, "b"), (2, "a b"), (3, "<s> a b")], [(1, "a")]]
