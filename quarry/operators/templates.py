@@ -65,7 +65,9 @@ def resolve_rules(rules: DataFrame, names: DataFrame) -> DataFrame:
     (name) in either case of ASCII letters, anything else is a name. Patterns are tried on the names that hold what
     they require. Those that require nothing (no three letters in a row) are
     sent to every task and tried on all names; more than BROADCAST_BYTES of these are refused.
+    Of rules with one pattern the first stands for all, as no other can be first.
     """
+    rules = rules.groupBy("pattern").agg(F.min("ord").alias("ord"), F.min_by("action", "ord").alias("action"))
     is_regex = F.col("pattern").rlike("^/.*/$")
     inner = F.expr("substring(pattern, 2, length(pattern) - 2)")
     regex = tabled(rules.where(is_regex).select("ord", F.concat(F.lit("(?i)"), inner).alias("_re"), "action", _required(inner).alias("required")))
