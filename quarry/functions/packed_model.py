@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 #: Numbers of the symbols that are no characters.
 MARKS = {"<s>": 0x110000, "</s>": 0x110001, "<unk>": 0x110002}
 START, END = MARKS["<s>"], MARKS["</s>"]
+NAMES = {code: mark for mark, code in MARKS.items()}
+FILLER = 0x110003
 #: Places that are scored at once.
 PIECE = 1 << 20
 
@@ -87,6 +89,57 @@ def text_codes(text: str) -> np.ndarray:
     return np.concatenate(([START], out, [END]))
 
 
+def symbol_of(code: int) -> str:
+    """The symbol of a number: a mark, an ASCII character, or the escape of another."""
+    if code >= START:
+        return NAMES[code]
+    return chr(code) if code < 0x80 else f"\\x{code:02x}" if code < 0x100 else f"\\u{code:04x}" if code < 0x10000 else f"\\U{code:08x}"
+
+
+def longest_counts(codes: np.ndarray, order: int) -> tuple[list[str], np.ndarray]:
+    """The different n-grams of texts' symbols, one text behind the other, and how often each occurs: for each symbol after `<s>` the longest one up to `order` that ends there."""
+    # Before each `<s>` stand so many fillers that all n-grams have `order` places.
+    opens = codes == START
+    fill = max(order - 2, 0)
+    full = np.repeat(codes, np.where(opens, fill + 1, 1))
+    first = np.flatnonzero(opens) + fill * np.arange(np.count_nonzero(opens))
+    for i in range(fill):
+        full[first + i] = FILLER
+    total: dict[str, int] = {}
+    for at in range(0, len(full), PIECE):
+        part = full[max(0, at - order + 1) : at + PIECE]
+        reach = at - max(0, at - order + 1)
+        ends = np.flatnonzero(part < FILLER)
+        ends = ends[(ends >= reach) & (part[ends] != START)]
+        if not len(ends):
+            continue
+        own = np.flatnonzero(np.bincount(part))
+        number = np.zeros(own[-1] + 1, np.int64)
+        number[own] = np.arange(len(own))
+        small = number[part]
+        key, room = small[ends - order + 1], len(own)
+        for k in range(order - 2, -1, -1):
+            if room * len(own) >= 1 << 62:
+                different, key = np.unique(key, return_inverse=True)
+                room = len(different)
+            key, room = key * len(own) + small[ends - k], room * len(own)
+        if room <= min(4 * PIECE, 16 * len(ends)):
+            counts = np.bincount(key, minlength=room)
+            place = np.zeros(room, np.int64)
+            place[key] = ends
+            there = np.flatnonzero(counts)
+            place, counts = place[there], counts[there]
+        else:
+            _, which, counts = np.unique(key, return_index=True, return_counts=True)
+            place = ends[which]
+        names = ["" if c == FILLER else symbol_of(int(c)) + " " for c in own]
+        grams = small[place[:, None] + np.arange(1 - order, 1)].tolist()
+        for gram, n in zip(grams, counts.tolist()):
+            text = "".join([names[x] for x in gram])[:-1]
+            total[text] = total.get(text, 0) + n
+    return list(total), np.fromiter(total.values(), np.int64, len(total))
+
+
 def pack(model: pa.Table) -> PackedModel:
     """The model (ngram, logp, bow). N-grams that others begin with become nodes without a probability where they are lacking."""
     words = pc.split_pattern(model["ngram"].combine_chunks(), " ")

@@ -7,13 +7,17 @@ that a model may be larger than any machine.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.packed_model import longest_counts, text_codes
 from quarry.functions.text import characters, symbol
-from quarry.operators.common import join_hot, settle
+from quarry.operators.common import join_hot, settle, short_batches
 
 START, END, UNKNOWN = "<s>", "</s>", "<unk>"
 METHODS = ("additive", "witten_bell", "absolute", "kneser_ney", "modified_kneser_ney")
@@ -51,10 +55,35 @@ def ngram_counts(rows: DataFrame, order: int) -> DataFrame:
     Lines give one n-gram for each symbol; the shorter ones are the ends of
     these, and counted from the distinct ones.
     """
-    longest = rows.select(F.explode(_longest(order)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("c"))
+    return _all_lengths(rows.select(F.explode(_longest(order)).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("c")))
+
+
+def _all_lengths(longest: DataFrame) -> DataFrame:
     return longest.select(F.explode(_ends(F.col("ngram"))).alias("x"), "c").groupBy("x.ord", "x.ngram").agg(F.sum("c").alias("c")).select("ord", "ngram", "c")
 
 
+def text_ngram_counts(texts: DataFrame, order: int, by: str, text: str = "text") -> DataFrame:
+    """(`by`, ord, ngram, c): what `ngram_counts` gives for the lines of the texts of each value of `by`, in one pass over all of them.
+
+    A task counts the symbols of a batch as arrays, so that only its different n-grams leave it.
+    """
+    short_batches(texts.sparkSession)
+    kind = texts.schema[by].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of: dict = {}
+            for value, t in zip(b.column(0).to_pylist(), b.column(1)):
+                if t := t.as_py():
+                    of.setdefault(value, []).append(text_codes(t))
+            for value, codes in of.items():
+                grams, counts = longest_counts(np.concatenate(codes), order)
+                yield pa.RecordBatch.from_arrays([pa.array([value] * len(grams), b.column(0).type), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], [by, "ngram", "c"])
+
+    longest = texts.select(by, text).mapInArrow(run, f"`{by}` {kind}, ngram string, c long").groupBy(by, "ngram").agg(F.sum("c").alias("c"))
+    return longest.select(by, F.explode(_ends(F.col("ngram"))).alias("x"), "c").groupBy(by, "x.ord", "x.ngram").agg(F.sum("c").alias("c")).select(by, "ord", "ngram", "c")
+
+
 def _ends(ngram: Column) -> Column:
     """(ord, ngram) of the ends of an n-gram, itself among them."""
     size = F.length(ngram) - F.length(F.replace(ngram, F.lit(" "), F.lit(""))) + 1
@@ -120,10 +149,15 @@ def train(rows: DataFrame, order: int, method: str) -> DataFrame:
     N-grams without probability are left out. bow spreads what a context's
     n-grams leave over those of the next lower order.
     """
+    return train_counts(ngram_counts(rows, order), order, method)
+
+
+def train_counts(counts: DataFrame, order: int, method: str) -> DataFrame:
+    """As `train`, of counts (ord, ngram, c)."""
     if method not in METHODS:
         raise ValueError(method)
     # Counts are used many times over; they are kept, so that texts are read once.
-    counts = settle(ngram_counts(rows, order))
+    counts = settle(counts)
     if method.endswith("kneser_ney"):
         counts = settle(continuation_counts(counts, order))
     counts = counts.withColumn("h", _context(F.col("ngram")))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import exploded
 from quarry.operators import language_model as lm
-from quarry.operators.packed_scoring import classify_packed
+from quarry.operators.common import settle
+from quarry.operators.packed_scoring import classify_by_key, classify_packed
 from quarry.sources.tables import table
 
 ORDER = 3
@@ -24,8 +25,9 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "key")
 
 
-def _models(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return tuple(lm.train(lm.line_symbols(texts.where(F.col("clean") == c), "key"), ORDER, METHOD) for c in (True, False))
+def both_models(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    counts = settle(lm.text_ngram_counts(texts, ORDER, by="clean"))
+    return tuple(lm.train_counts(counts.where(F.col("clean") == c).drop("clean"), ORDER, METHOD) for c in (True, False))
 
 
 def explode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,34 +50,34 @@ def _trained(method: str):
 
 def lm_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = labelled(spark, sf_dir)
-    out = lm.classify(texts, *_models(texts), ORDER)
+    out = lm.classify(texts, *both_models(texts), ORDER)
     return out.select("key", F.round("score", 4).alias("score"), "is_clean")
 
 
 def lm_classify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, labelled or not, by the models of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    out = lm.classify(docs, *_models(labelled(spark, sf_dir)), ORDER)
+    out = classify_by_key(docs, *both_models(labelled(spark, sf_dir)), ORDER)
     return out.select("key", F.round("score", 4).alias("score"), "is_clean")
 
 
 def lm_classify_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As lm_classify_all, with models that every task holds packed."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    out = classify_packed(docs, *_models(labelled(spark, sf_dir)), ORDER)
+    out = classify_packed(docs, *both_models(labelled(spark, sf_dir)), ORDER)
     return out.select("key", F.round("score", 4).alias("score"), "is_clean")
 
 
 def lm_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = labelled(spark, sf_dir)
-    clean, dirty = _models(texts)
+    clean, dirty = both_models(texts)
     rows = [lm.perplexity(texts.where(F.col("clean") == c), m, ORDER).select(F.lit(s).alias("test_set"), F.lit(n).alias("model"), "symbols", F.round("logp", 3).alias("logp"), F.round("ppl", 6).alias("ppl")) for s, c in (("clean", True), ("dirty", False)) for n, m in (("clean", clean), ("dirty", dirty))]
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
 def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = labelled(spark, sf_dir)
-    scores = lm.classify(texts, *_models(texts), ORDER).join(texts.select("key", F.col("clean").alias("label_clean")), "key")
+    scores = lm.classify(texts, *both_models(texts), ORDER).join(texts.select("key", F.col("clean").alias("label_clean")), "key")
     return lm.accuracy(scores)
 
 
