@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import exploded
 from quarry.operators import language_model as lm
 from quarry.operators.common import settle
-from quarry.operators.packed_scoring import classify_by_key, classify_packed
+from quarry.operators.packed_scoring import classify_by_key, classify_packed, text_scores_of
 from quarry.sources.tables import table
 
 ORDER = 3
@@ -71,8 +71,11 @@ def lm_classify_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lm_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = labelled(spark, sf_dir)
     clean, dirty = both_models(texts)
-    rows = [lm.perplexity(texts.where(F.col("clean") == c), m, ORDER).select(F.lit(s).alias("test_set"), F.lit(n).alias("model"), "symbols", F.round("logp", 3).alias("logp"), F.round("ppl", 6).alias("ppl")) for s, c in (("clean", True), ("dirty", False)) for n, m in (("clean", clean), ("dirty", dirty))]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    found = settle(text_scores_of(texts, {"clean": clean, "dirty": dirty}, ORDER, by="clean"))
+    every = spark.createDataFrame([(c, "clean" if c else "dirty", m) for c in (True, False) for m in ("clean", "dirty")], "clean boolean, test_set string, model string")
+    out = every.join(found, ["clean", "model"], "left")
+    ppl = F.pow(F.lit(10.0), -F.col("logp") / F.nullif(F.col("n"), F.lit(0)))
+    return out.select("test_set", "model", F.col("n").alias("symbols"), F.round("logp", 3).alias("logp"), F.round(ppl, 6).alias("ppl"))
 
 
 def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,5 +58,5 @@ def test_no_ngram_of_a_text_is_joined(spark, monkeypatch):
     for name in ("scored_ngrams", "ngram_scores", "line_symbols"):
         monkeypatch.setattr(lm, name, no_join)
     sf = "/root/testdata/sf0.001"
-    for name in ("lm_classify_all",):
+    for name in ("lm_classify_all", "lm_perplexity"):
         assert language_queries.QUERIES[name](spark, sf).count()
