@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators import articles, language_model, markup, sections
+from quarry.operators import articles, markup, sections
+from quarry.operators.common import settle
+from quarry.operators.packed_scoring import classify_by_key
 
 
 def build_corpus(pages: DataFrame, clean: DataFrame, dirty: DataFrame, order: int, unwanted: DataFrame | None = None, language: str = "en") -> DataFrame:
@@ -17,9 +19,10 @@ def build_corpus(pages: DataFrame, clean: DataFrame, dirty: DataFrame, order: in
     """
     if unwanted is not None:
         pages = articles.without(pages, unwanted)
-    rows = markup.sections_of(pages).where(F.col("error").isNull())
+    # Pages are parsed once for scores and headings.
+    rows = settle(markup.sections_of(pages).where(F.col("error").isNull()))
     keyed = rows.withColumn("key", F.struct("title", "sec_idx"))
-    scores = language_model.classify(keyed.select("key", F.concat_ws("\n", "heading", "content").alias("text")), clean, dirty, order)
+    scores = classify_by_key(keyed.select("key", F.concat_ws("\n", "heading", "content").alias("text")), clean, dirty, order)
     rows = keyed.join(scores, "key").withColumn("clean", F.col("is_clean") & (F.length("content") > 0))
     kept = sections.retain_headings(rows, "title").where("sprint")
     keep = kept.groupBy("title").agg(F.collect_list(F.struct("sec_idx", F.col("clean").alias("whole"))).alias("keep"))

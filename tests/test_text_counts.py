@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import packed_model
 from quarry.operators import language_model as lm
 from quarry.operators import packed_scoring as ps
-from quarry.plans import language_queries
+from quarry.plans import language_queries, markup_queries
 
 TEXTS = [(1, "ab\n\nbé \t x", True), (2, "a", True), (3, "", True), (4, None, False), (5, "\U0001f642 a\xa0\n", False), (6, "Aaaa" * 30, None), (7, "abab ab", False), (7, "ab", True), (None, "ab", True)]
 SCHEMA = "key int, text string, clean boolean"
@@ -60,3 +60,5 @@ def test_no_ngram_of_a_text_is_joined(spark, monkeypatch):
     sf = "/root/testdata/sf0.001"
     for name in ("lm_classify_all", "lm_perplexity"):
         assert language_queries.QUERIES[name](spark, sf).count()
+    # Nor of a page's section.
+    assert markup_queries.build_corpus(spark, sf).count()
