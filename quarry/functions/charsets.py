@@ -1,8 +1,13 @@
-"""Texts in the single-byte charsets of the tokenizer's language variants, by built-in functions alone."""
+"""Texts in the single-byte charsets of the tokenizer's language variants: columns by built-in functions alone, and whole tables in one pass."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import codecs
+from collections.abc import Iterator
+from functools import cache
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Language and charset of each variant.
@@ -40,3 +45,41 @@ def encoded(text: Column, charset: str) -> Column:
 def is_kept(text: Column, charset: str) -> Column:
     """Whether a charset has all characters of a text."""
     return F.lit(True) if charset == "utf-8" else ~text.rlike(f"[^\\x00-\\x7f{upper_half(charset)}]")
+
+
+@cache
+def _tables(charset: str):
+    """The character of each byte, and the map of characters to bytes."""
+    characters = "".join(map(chr, range(128))) + upper_half(charset)
+    return characters, codecs.charmap_build(characters)
+
+
+def encode_text(text: str, charset: str) -> bytes:
+    """As `encoded`, of one text."""
+    return text.encode() if charset == "utf-8" else codecs.charmap_encode(text, "replace", _tables(charset)[1])[0]
+
+
+def decode_text(content: bytes, charset: str) -> str:
+    """As `decoded`, of the bytes of one text."""
+    return content.decode("utf-8", "replace") if charset == "utf-8" else codecs.charmap_decode(content, "strict", _tables(charset)[0])[0]
+
+
+def there_and_back(docs: DataFrame, charsets: list[str], key: str, text: str = "text") -> DataFrame:
+    """(key, charset, n_bytes, same): each text in each charset and read again. Null counts as empty.
+
+    One pass by Python's codecs: built-in functions take characters one by one, as often as there are charsets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, same = [], []
+            for t in b.column(1):
+                t = t.as_py() or ""
+                for c in charsets:
+                    content = encode_text(t, c)
+                    size.append(len(content))
+                    same.append(decode_text(content, c) == t)
+            keys = b.column(0).take(pa.array([i for i in range(b.num_rows) for _ in charsets], pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(charsets * b.num_rows, pa.string()), pa.array(size, pa.int64()), pa.array(same, pa.bool_())], [key, "charset", "n_bytes", "same"])
+
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, charset string, n_bytes long, same boolean")

@@ -10,7 +10,7 @@ from quarry.functions import charsets
 from quarry.functions import text as tx
 from quarry.operators import articles, sections, templates
 from quarry.operators import language_model as lm
-from quarry.operators.common import shared_folder
+from quarry.operators.common import shared_folder, short_batches
 from quarry.plans.language_queries import ORDER, labelled, with_model
 from quarry.plans.language_queries import SQL as LANGUAGE_SQL
 from quarry.sources import page_store
@@ -104,10 +104,8 @@ def elapsed_times(spark, sf_dir):
 
 def charset_variants(spark, sf_dir):
     """Every text in each charset of the tokenizer's variants and back: its bytes, and whether all of it comes back."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = [(c, charsets.encoded(F.col("text"), c)) for c in sorted({c for _, c in charsets.VARIANTS.values()})]
-    out = docs.select("doc_id", F.explode(F.array(*(F.struct(F.lit(c).alias("charset"), F.octet_length(b).cast("long").alias("n_bytes"), (charsets.decoded(b, c) == F.col("text")).alias("same")) for c, b in rows))).alias("x"))
-    return out.select("doc_id", "x.*")
+    short_batches(spark)
+    return charsets.there_and_back(table(spark, sf_dir, "documents"), sorted({c for _, c in charsets.VARIANTS.values()}), "doc_id")
 
 
 def exploded_documents(spark, sf_dir):
