@@ -77,3 +77,19 @@ def test_counts_of_null_and_empty_texts(spark):
     rows = spark.createDataFrame([(1, None), (2, ""), (3, "a bb 7!")], "k int, text string")
     out = rows.select("k", tokenizer.counts_of("en")(F.col("text")).alias("x")).select("k", "x.*").orderBy("k").collect()
     assert [tuple(r) for r in out] == [(1, None, None, None, None), (2, 0, 0, 0, 0), (3, 2, 1, 1, 2)]
+
+
+def test_few_places_are_tried_by_all_rules():
+    class Counting:
+        def __init__(self, rule):
+            self.rule, self.groupindex, self.tries = rule, rule.groupindex, 0
+
+        def match(self, text, at):
+            self.tries += 1
+            return self.rule.match(text, at)
+
+    lexer = Lexer("en")
+    lexer.rules = [(n, Counting(p)) for n, p in lexer.rules]
+    # Only the words before a bracket, in one and at the end.
+    assert len(lexer.sentences("One two, three; (four) five. " * 100)) == 100
+    assert lexer.rules[0][1].tries <= 300
