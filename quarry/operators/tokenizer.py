@@ -69,7 +69,8 @@ def segment(docs: DataFrame, text: str = "text", lang: str = "lang", more: dict[
             yield pd.Series([None if t is None else lexers.get(x, lexers["en"]).sentences(t) for t, x in zip(texts, langs)], dtype=object)
 
     short_batches(docs.sparkSession)
-    return docs.withColumn("sentences", run(F.col(text), F.col(lang)))
+    # Taken as deterministic, it would run twice where sentences are exploded: once for a filter of empty lists.
+    return docs.withColumn("sentences", run.asNondeterministic()(F.col(text), F.col(lang)))
 
 
 def token_lines(docs: DataFrame, key: str, text: str = "text", language: str = "en", lower: bool = False, separator: str = " ", **options) -> DataFrame:

@@ -93,3 +93,10 @@ def test_few_places_are_tried_by_all_rules():
     # Only the words before a bracket, in one and at the end.
     assert len(lexer.sentences("One two, three; (four) five. " * 100)) == 100
     assert lexer.rules[0][1].tries <= 300
+
+
+def test_exploded_sentences_are_made_once(spark):
+    docs = spark.createDataFrame([(1, "en", "One two. Three."), (2, "en", ""), (3, "de", None)], "k int, lang string, text string")
+    out = tokenizer.segment(docs).select("k", F.posexplode("sentences").alias("pos", "sentence"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in out.orderBy("k", "pos").collect()] == [(1, 0, "One two."), (1, 1, "Three.")]
